@@ -1,0 +1,20 @@
+"""Finding hot keys."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# No more than this many keys can each hold more than one part in MAX_HOT_KEYS of the rows.
+MAX_HOT_KEYS = 100_000
+
+
+def hot_keys(df: DataFrame, key: str, at_least: int) -> DataFrame:
+    """The keys that hold over 1/MAX_HOT_KEYS of all rows and at least ``at_least`` rows.
+
+    At most MAX_HOT_KEYS rows whatever the data, so the result is safe to broadcast. The counts are combined map-side
+    before the shuffle. A hot NULL key is returned as well.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.where((F.col("n") >= at_least) & (F.col("n") > total / MAX_HOT_KEYS)).select(key)
