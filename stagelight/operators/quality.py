@@ -17,49 +17,49 @@ def constraint_violations(
 ) -> DataFrame:
     """One row per constraint of the given tables: rows checked and rows that break it.
 
-    A key or unique value held by n rows counts n - 1 violations; a NULL key counts as one. Every check first combines
-    rows map-side per value, so a value held by very many rows is one row in the shuffle.
+    A key or unique value held by n rows counts n - 1 violations; a NULL key counts as one. All checks combine rows
+    map-side per value, so a value held by very many rows is one row in the shuffle.
     """
     parts = []
     for name, rules in constraints.items():
         if name in tables:
-            parts.append(_key_and_row_rules(name, tables[name], rules))
-            parts.extend(_unique_rule(name, tables[name], column) for column in rules.unique)
+            parts.append(_own_rules(name, tables[name], rules))
             parts.extend(_foreign_rules(name, tables, rules))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _row(table: str, column: str, rule: str, checked: Column, violations: Column) -> Column:
-    zero = F.lit(0).cast("long")
-    return F.struct(
-        F.lit(table).alias("table_name"),
-        F.lit(column).alias("column_name"),
-        F.lit(rule).alias("rule"),
-        F.coalesce(checked, zero).alias("rows_checked"),
-        F.coalesce(violations, zero).alias("violations"),
-    )
+def _rows(totals: DataFrame, table: str, rules: list[tuple[str, str, Column, Column]]) -> DataFrame:
+    """One aggregated row of ``totals`` as one row per (column, rule, rows checked, violations)."""
+    results = [
+        F.struct(
+            F.lit(table).alias("table_name"),
+            F.lit(column).alias("column_name"),
+            F.lit(rule).alias("rule"),
+            F.coalesce(checked, F.lit(0)).alias("rows_checked"),
+            F.coalesce(violations, F.lit(0)).alias("violations"),
+        )
+        for column, rule, checked, violations in rules
+    ]
+    return totals.select(F.inline(F.array(*results)))
 
 
-def _key_and_row_rules(name: str, table: DataFrame, rules: Rules) -> DataFrame:
-    """Primary key, NOT NULL and 0/1 rules of one table from one scan and one shuffle."""
-    row_rules = [(column, "not_null", F.col(column).isNull()) for column in rules.required]
-    row_rules += [(column, "in_0_1", ~F.col(column).isin(0, 1)) for column in rules.flags]
-    broken = [F.count_if(test).alias(f"broken_{i}") for i, (_, _, test) in enumerate(row_rules)]
-    groups = table.groupBy(F.col(rules.key).alias("key")).agg(F.count(F.lit(1)).alias("n"), *broken)
-    checked = F.sum("n")
-    repeats = F.sum(F.when(F.col("key").isNull(), F.col("n")).otherwise(F.col("n") - 1))
-    results = [_row(name, rules.key, "primary_key", checked, repeats)]
-    results += [
-        _row(name, column, rule, checked, F.sum(f"broken_{i}")) for i, (column, rule, _) in enumerate(row_rules)
-    ]
-    return groups.agg(F.array(*results).alias("r")).select(F.inline("r"))
+def _own_rules(name: str, table: DataFrame, rules: Rules) -> DataFrame:
+    """Primary key, NOT NULL, UNIQUE and 0/1 rules of one table, in one aggregation."""
+    columns = sorted({*rules.required, *rules.unique, *rules.flags})
+    counts = [F.count(F.lit(1)).alias("rows")]
+    counts += [F.count(column).alias(f"values_{column}") for column in columns]
+    counts += [F.countDistinct(column).alias(f"distinct_{column}") for column in {rules.key, *rules.unique}]
+    counts += [F.count_if(~F.col(column).isin(0, 1)).alias(f"other_{column}") for column in rules.flags]
+    rows = F.col("rows")
 
+    def count(kind: str, column: str) -> Column:
+        return F.col(f"{kind}_{column}")
 
-def _unique_rule(name: str, table: DataFrame, column: str) -> DataFrame:
-    groups = table.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(F.array(_row(name, column, "unique", F.sum("n"), F.sum(F.col("n") - 1))).alias("r")).select(
-        F.inline("r")
-    )
+    checks = [(rules.key, "primary_key", rows, rows - count("distinct", rules.key))]
+    checks += [(c, "not_null", rows, rows - count("values", c)) for c in rules.required]
+    checks += [(c, "unique", count("values", c), count("values", c) - count("distinct", c)) for c in rules.unique]
+    checks += [(c, "in_0_1", rows, count("other", c)) for c in rules.flags]
+    return _rows(table.agg(*counts), name, checks)
 
 
 def _foreign_rules(name: str, tables: Mapping[str, DataFrame], rules: Rules) -> Iterator[DataFrame]:
@@ -70,20 +70,15 @@ def _foreign_rules(name: str, tables: Mapping[str, DataFrame], rules: Rules) ->
         if parent in tables:
             by_type[table.schema[column].dataType].append((column, tables[parent].select(key)))
     for links in by_type.values():
-        pairs = [F.struct(F.lit(column).alias("column"), F.col(column).alias("value")) for column, _ in links]
+        columns = [column for column, _ in links]
+        pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]
         used = table.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
         used = used.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
         parents = [keys.select(F.lit(column).alias("column"), keys[0].alias("value")) for column, keys in links]
         known = reduce(DataFrame.unionByName, parents).distinct().withColumn("known", F.lit(True))
-        n = F.col("n")
-        for_column = [F.when(F.col("column") == column, n) for column, _ in links]
-        lost = F.col("known").isNull()
-        results = [
-            _row(name, column, "foreign_key", F.sum(own), F.sum(F.when(lost, own)))
-            for (column, _), own in zip(links, for_column, strict=True)
-        ]
-        yield (
-            used.join(known, ["column", "value"], "left")
-            .agg(F.array(*results).alias("r"))
-            .select(F.inline("r"))
+        own = {c: F.when(F.col("column") == c, F.col("n")) for c in columns}
+        lost = [F.sum(F.when(F.col("known").isNull(), own[c])).alias(f"lost_{c}") for c in columns]
+        totals = used.join(known, ["column", "value"], "left").agg(
+            *[F.sum(own[c]).alias(f"used_{c}") for c in columns], *lost
         )
+        yield _rows(totals, name, [(c, "foreign_key", F.col(f"used_{c}"), F.col(f"lost_{c}")) for c in columns])

@@ -43,7 +43,7 @@ def dim_location(candidates: DataFrame) -> DataFrame:
 def _listed(spark: SparkSession, table: str, values: Sequence) -> DataFrame:
     """A dimension of given values, keyed 1..n in the order given."""
     key, value = TABLES[table].names
-    rows = spark.range(1).select(F.posexplode(F.array(*[F.lit(v) for v in values])))
+    rows = spark.range(0, 1, 1, 1).select(F.posexplode(F.array(*[F.lit(v) for v in values])))
     return rows.select((F.col("pos") + 1).alias(key), F.col("col").alias(value))
 
 

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from stagelight.schemas import RAW
 
+ORDERS = """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+    o_orderdate timestamp_ntz, o_orderpriority string"""
+CUSTOMER = "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string"
+
 
 def raw_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw applications, with NULLs in education, score and offer_history on purpose.
@@ -16,8 +20,8 @@ def raw_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     The join carries no hint: Catalyst broadcasts customer only while its size is under the session's limit and
     sort-merges it beyond that, where adaptive execution splits a hot customer.
     """
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    orders = spark.read.schema(ORDERS).parquet(f"{sf_dir}/orders.parquet")
+    customer = spark.read.schema(CUSTOMER).parquet(f"{sf_dir}/customer.parquet")
     key, status, price = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_totalprice")
     graduate = F.col("c_mktsegment").isin("AUTOMOBILE", "FURNITURE", "MACHINERY")
     nation = F.col("c_nationkey") % 3

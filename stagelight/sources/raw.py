@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,18 +25,25 @@ def rename_raw(source: DataFrame) -> DataFrame:
     return source.select([F.col(f"`{theirs}`").cast("string").alias(ours) for theirs, ours in renamed])
 
 
+def _converted(field: T.StructField) -> Column:
+    """The text as the field's type, NULL if it is not one. Whole numbers may be written with a fraction: 4500.0."""
+    text = F.col(field.name)
+    value = text.try_cast(field.dataType)
+    if isinstance(field.dataType, T.IntegralType):
+        number = text.try_cast("double")
+        value = F.coalesce(value, F.when(number == F.rint(number), number.try_cast(field.dataType)))
+    return value
+
+
 def typed(text: DataFrame) -> DataFrame:
     """Convert to the types of ``RAW``; text that does not convert becomes NULL and the row stays."""
-    return text.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in RAW])
+    return text.select([_converted(f).alias(f.name) for f in RAW])
 
 
 def cast_failures(text: DataFrame) -> DataFrame:
     """Per converted column: how many non-NULL texts ``typed`` would turn into NULL. One pass."""
     fields = [f for f in RAW if not isinstance(f.dataType, T.StringType)]
-    failed = [
-        F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name)
-        for f in fields
-    ]
+    failed = [F.count_if(F.col(f.name).isNotNull() & _converted(f).isNull()).alias(f.name) for f in fields]
     return text.agg(*failed).unpivot([], [f.name for f in fields], "column_name", "failed_casts")
 
 

@@ -1,0 +1,81 @@
+"""Constraint counts on tables that break every kind of rule."""
+
+import datetime as dt
+
+from stagelight.operators import quality
+from stagelight.schemas import CONSTRAINTS, TABLES
+
+DAY = dt.date(2024, 1, 1)
+
+
+def table(spark, name, rows):
+    return spark.createDataFrame(rows, TABLES[name])
+
+
+def found(tables):
+    rows = quality.constraint_violations(tables).collect()
+    return {(r.table_name, r.column_name, r.rule): (r.rows_checked, r.violations) for r in rows}
+
+
+def test_each_kind_of_violation(spark):
+    blank = [None] * 8
+    candidates = [(1, *blank), (2, *blank), (2, *blank), (2, *blank), (None, *blank), (None, *blank)]
+    fact = [1, DAY, 1, 1, 1, 1, 1, 1, 1, 0, 0, 0.0]
+    tables = {
+        "candidates": table(spark, "candidates", candidates),
+        "applications": table(
+            spark,
+            "applications",
+            [(1, 1, DAY, 0), (2, 9, DAY, 1), (3, 9, None, None), (4, None, DAY, 7)],
+        ),
+        "stage_events": table(
+            spark, "stage_events", [(1, 1, "Applied", DAY, None), (1, 8, None, None, None), (2, None, "x", DAY, DAY)]
+        ),
+        "dim_python": table(spark, "dim_python", [(1, 0), (2, 0), (3, 2), (4, None)]),
+        "dim_education": table(spark, "dim_education", [(1, "Graduate"), (2, "Graduate"), (3, None)]),
+        "dim_time": table(spark, "dim_time", [(DAY, 2024, 1, 1, 1)]),
+        "fact_application": table(
+            spark,
+            "fact_application",
+            [
+                (1, *fact, 1),
+                (2, 1, dt.date(2025, 1, 1), 5, 1, 4, 1, 1, 1, 1, 0, 0, 0.0, 2),
+                (3, None, None, None, 1, 9, 1, 1, 1, 1, 0, 0, 0.0, None),
+            ],
+        ),
+    }
+    rules = found(tables)
+    assert rules["candidates", "candidate_id", "primary_key"] == (6, 4)
+    assert rules["applications", "application_id", "primary_key"] == (4, 0)
+    assert rules["applications", "candidate_id", "not_null"] == (4, 1)
+    assert rules["applications", "applied_at", "not_null"] == (4, 1)
+    assert rules["applications", "hired", "not_null"] == (4, 1)
+    assert rules["applications", "candidate_id", "foreign_key"] == (3, 2)
+    assert rules["stage_events", "stage_event_id", "primary_key"] == (3, 1)
+    assert rules["stage_events", "application_id", "not_null"] == (3, 1)
+    assert rules["stage_events", "stage_name", "not_null"] == (3, 1)
+    assert rules["stage_events", "stage_entered_at", "not_null"] == (3, 1)
+    assert rules["stage_events", "application_id", "foreign_key"] == (2, 1)
+    assert rules["dim_python", "python_key", "primary_key"] == (4, 0)
+    assert rules["dim_python", "has_python", "not_null"] == (4, 1)
+    assert rules["dim_python", "has_python", "unique"] == (3, 1)
+    assert rules["dim_python", "has_python", "in_0_1"] == (4, 1)
+    assert rules["dim_education", "education_level", "not_null"] == (3, 1)
+    assert rules["dim_education", "education_level", "unique"] == (2, 1)
+    assert rules["dim_time", "date_key", "primary_key"] == (1, 0)
+    assert rules["fact_application", "applied_date_key", "not_null"] == (3, 1)
+    assert rules["fact_application", "applied_date_key", "foreign_key"] == (2, 1)
+    assert rules["fact_application", "education_key", "foreign_key"] == (2, 1)
+    assert rules["fact_application", "python_key", "foreign_key"] == (3, 1)
+    assert rules["fact_application", "hired", "in_0_1"] == (3, 1)
+    assert ("fact_application", "role_key", "foreign_key") not in rules
+
+
+def test_every_declared_rule_is_reported(spark):
+    tables = {name: spark.createDataFrame([], TABLES[name]) for name in CONSTRAINTS}
+    rules = found(tables)
+    declared = sum(
+        1 + len(r.required) + len(r.unique) + len(r.flags) + len(r.foreign) for r in CONSTRAINTS.values()
+    )
+    assert len(rules) == declared == 48
+    assert set(rules.values()) == {(0, 0)}
