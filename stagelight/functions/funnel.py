@@ -16,11 +16,6 @@ def one_if(column: Column, value: str) -> Column:
     return F.when(column == value, 1).otherwise(0)
 
 
-def stage_rank(name: Column, stages: Sequence[Stage] = STAGES) -> Column:
-    """1-based position in the funnel; NULL for an unknown stage."""
-    return F.coalesce(*[F.when(name == s.name, rank) for rank, s in enumerate(stages, 1)])
-
-
 def passed_bits(stages: Sequence[Stage] = STAGES) -> Column:
     """One integer per row; bit k is set when the row passes the rule of stage k."""
     return _or_bits([F.when(s.passes(), 1 << k).otherwise(0) for k, s in enumerate(stages)])

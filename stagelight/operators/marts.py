@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagelight.functions.dates import month_text
-from stagelight.functions.funnel import band_rank, has_stage, score_band as band_of, stage_rank
+from stagelight.functions.funnel import band_rank, has_stage, name_bit
+from stagelight.functions.funnel import score_band as band_of
 from stagelight.functions.rates import nonzero, rate
 from stagelight.operators.stages import reached_stages
 from stagelight.schemas import STAGES, Stage
@@ -36,9 +37,25 @@ def funnel_counts(reached: DataFrame, stages: Sequence[Stage] = STAGES) -> DataF
 
 
 def stage_counts_unfiltered(events: DataFrame, stages: Sequence[Stage] = STAGES) -> DataFrame:
-    """Distinct applications for every stage name that occurs, known stages in funnel order."""
-    counts = events.groupBy("stage_name").agg(F.countDistinct("application_id").alias("apps"))
-    return counts.orderBy(stage_rank(F.col("stage_name"), stages), "stage_name")
+    """Distinct applications for every stage name that occurs, known stages in funnel order after all others.
+
+    The known stages of an application shrink to one row of bits before the shuffle; only a name outside the funnel
+    makes a row of its own.
+    """
+    application, bit = F.col("application_id"), name_bit(F.col("stage_name"), stages)
+    other = F.when(bit == 0, F.struct("stage_name")).alias("other")
+    groups = events.groupBy(application, other).agg(F.bit_or(bit).alias("stage_bits"))
+    counts = [F.count(application).alias("apps_other")]
+    for k, _ in enumerate(stages):
+        has = has_stage(F.col("stage_bits"), k)
+        counts += [F.count(F.when(has, application)).alias(f"apps_{k}"), F.bool_or(has).alias(f"seen_{k}")]
+    totals = groups.groupBy("other").agg(*counts)
+    rows = [(F.lit(s.name), F.col(f"apps_{k}"), F.col(f"seen_{k}"), k + 1) for k, s in enumerate(stages)]
+    rows.append((F.col("other.stage_name"), F.col("apps_other"), F.col("other").isNotNull(), 0))
+    names = ["stage_name", "apps", "seen", "rank"]
+    unfolded = [F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names, strict=True)]) for row in rows]
+    found = totals.select(F.inline(F.array(*unfolded))).where("seen")
+    return found.orderBy("rank", "stage_name").select("stage_name", "apps")
 
 
 def conversion_overall(reached: DataFrame, stages: Sequence[Stage] = STAGES) -> DataFrame:

@@ -122,8 +122,12 @@ def test_absent_stage_is_null_and_unknown_stage_is_ignored(spark):
     assert [tuple(r) for r in marts.funnel_counts(reached).collect()] == [("Applied", 1), ("Offered", 1)]
     overall = marts.conversion_overall(reached).collect()[0]
     assert tuple(overall) == (1, None, None, 1, None, None, None, None, None, None)
-    unfiltered = [tuple(r) for r in marts.stage_counts_unfiltered(events).collect()]
-    assert unfiltered == [("Withdrawn", 1), ("Applied", 1), ("Offered", 1)]
+    odd = spark.createDataFrame(
+        [(5, 1, None, day, None), (6, 2, "Withdrawn", day, None), (7, None, "Hired", day, None), (8, 9, None, day, None)],
+        TABLES["stage_events"],
+    )
+    unfiltered = [tuple(r) for r in marts.stage_counts_unfiltered(events.unionByName(odd)).collect()]
+    assert unfiltered == [(None, 2), ("Withdrawn", 1), ("Applied", 1), ("Offered", 1), ("Hired", 0)]
 
 
 def test_rate_rounds_half_up_and_may_exceed_one(spark):
