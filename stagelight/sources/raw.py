@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from stagelight.schemas import RAW, RAW_SOURCE_NAMES
 
 _TEXT_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in RAW_SOURCE_NAMES])
 
 
-def read_raw_text(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """The raw file with every column as text, under our column names."""
-    reader = spark.read
+def text_reader(
+    reader: DataFrameReader | DataStreamReader, fmt: str = "csv"
+) -> DataFrameReader | DataStreamReader:
+    """A reader of raw files; CSV has a header, which must match the known columns."""
     if fmt == "csv":
         reader = reader.schema(_TEXT_SCHEMA).option("header", True).option("enforceSchema", False)
-    return rename_raw(reader.format(fmt).load(path))
+    return reader.format(fmt)
+
+
+def read_raw_text(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+    """The raw files with every column as text, under our column names."""
+    return rename_raw(text_reader(spark.read, fmt).load(path))
 
 
 def rename_raw(source: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The stored tables: one load writes all of them, and a second load of the same rows changes nothing."""
+"""The stored tables. A load replaces them, so loading the same rows twice gives the same tables."""
 
 from __future__ import annotations
 
@@ -10,12 +10,12 @@ from stagelight.operators import load, stages, star
 from stagelight.operators.marts import applications_flat
 from stagelight.schemas import BASE_DATE, TABLES
 
+BASE_TABLES = ["candidates", "applications", "stage_events"]
 
-def write_table(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """Replace a table and read it back, with its columns in declared order and type."""
-    columns = [df[f.name].cast(f.dataType).alias(f.name) for f in TABLES[name]]
-    df.select(columns).write.mode("overwrite").parquet(f"{folder}/{name}")
-    return read_table(df.sparkSession, folder, name)
+
+def conformed(df: DataFrame, name: str) -> DataFrame:
+    """The columns of a table in declared order and type."""
+    return df.select([df[f.name].cast(f.dataType).alias(f.name) for f in TABLES[name]])
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,25 +26,37 @@ def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: read_table(spark, folder, name) for name in TABLES}
 
 
-def write_tables(raw: DataFrame, folder: str, base: dt.date = BASE_DATE) -> dict[str, DataFrame]:
-    """Load raw rows into base tables, stage events and star schema under ``folder``.
+def write_table(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """Replace a table and read it back."""
+    conformed(df, name).write.mode("overwrite").parquet(f"{folder}/{name}")
+    return read_table(df.sparkSession, folder, name)
+
 
-    The big tables are projections of the raw rows, so none of these writes shuffles them. Dimensions are written
-    before the fact that looks them up.
+def base_frames(raw: DataFrame, base: dt.date = BASE_DATE) -> dict[str, DataFrame]:
+    """Candidates, applications and closed stage events: projections of raw rows, batch or streaming."""
+    return {
+        "candidates": load.candidates(raw),
+        "applications": load.applications(raw, base),
+        "stage_events": stages.closed_stage_events(load.journeys(raw, base)),
+    }
+
+
+def write_star(base_tables: dict[str, DataFrame], flat: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """Write dimensions and facts from the stored base tables and record-level rows of applications.
+
+    Dimensions come first, so that the fact joins stored tables of known size; they read a few columns of stored
+    tables rather than the raw rows again.
     """
-    spark = raw.sparkSession
-    rows = load.journeys(raw, base)
-    tables = {}
-
-    def save(name: str, df: DataFrame) -> None:
-        tables[name] = write_table(df, folder, name)
-
-    save("candidates", load.candidates(raw))
-    save("applications", load.applications(raw, base))
-    save("stage_events", stages.closed_stage_events(rows))
-    for name, dim in (star.attribute_dims(tables["candidates"]) | star.listed_dims(spark)).items():
-        save(name, dim)
-    save("dim_time", star.dim_time(tables["applications"]))
-    save("fact_application", star.fact_application(applications_flat(rows), tables))
-    save("fact_stage_event", star.fact_stage_event(tables["stage_events"]))
-    return tables
+    dims = star.dimensions(base_tables["candidates"]) | {"dim_time": star.dim_time(base_tables["applications"])}
+    tables = {name: write_table(dim, folder, name) for name, dim in dims.items()}
+    facts = {
+        "fact_application": star.fact_application(flat, tables),
+        "fact_stage_event": star.fact_stage_event(base_tables["stage_events"]),
+    }
+    return tables | {name: write_table(fact, folder, name) for name, fact in facts.items()}
+
+
+def write_tables(raw: DataFrame, folder: str, base: dt.date = BASE_DATE) -> dict[str, DataFrame]:
+    """Load raw rows into base tables and star schema under ``folder``; no write shuffles the raw rows."""
+    tables = {name: write_table(df, folder, name) for name, df in base_frames(raw, base).items()}
+    return tables | write_star(tables, applications_flat(load.journeys(raw, base)), folder)
