@@ -20,6 +20,9 @@ def duck():
     return con
 
 
+SPARK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date"}
+
+
 def rows_by_name(names, rows):
     order = sorted(range(len(names)), key=lambda i: names[i])
 
@@ -38,8 +41,9 @@ def test_matches_oracle(spark, duck, name):
     df = entry_point.queries()[name](spark, SF_DIR)
     result = duck.execute(entry_point.oracle_sql()[name])
     names = [d[0] for d in result.description]
+    types = {d[0]: SPARK_TYPES[str(d[1])] for d in result.description}
     expected = rows_by_name(names, result.fetchall())
-    assert sorted(df.columns) == sorted(names)
+    assert dict(df.dtypes) == types
     actual = rows_by_name(df.columns, df.collect())
     assert actual.total() > 0
     assert actual == expected
