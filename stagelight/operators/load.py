@@ -63,7 +63,8 @@ def journeys(
     """Everything known of an application on one row: candidate, application, and the stages it passes as bits.
 
     A raw row holds all of it, so this is a projection: whatever is built on it needs no join of candidates,
-    applications and events, and counting applications per stage needs no distinct.
+    applications and events, and counting applications per stage needs no distinct. serial_no must be unique, as the
+    primary key of candidates declares.
     """
     extra = [F.col("offer_history"), F.col("recruitment_status")]
     rows = raw.select(*_application_columns(base, applied_on), *_candidate_columns(), *extra)
