@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stagelight.operators import load, marts, quality, stages, star
 from stagelight.plans.shared import shared_path
-from stagelight.sources.export import export_marts
+from stagelight.sources.export import export_results
 from stagelight.sources.orders import raw_from_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,7 +97,7 @@ def _export_csv(raw: DataFrame) -> DataFrame:
         "conversion_by_location": marts.conversion_by_location(rows).orderBy("location"),
     }
     folder = shared_path(spark, "exports")
-    export_marts(exports, folder)
+    export_results(exports, folder)
     lines = spark.read.text([f"{folder}/{name}.csv" for name in exports])
     name = F.regexp_extract(F.input_file_name(), r"/([a-z_]+)\.csv/", 1)
     return lines.select(name.alias("export_name"), F.col("value").alias("line"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,19 +16,16 @@ def _plain(field: T.StructField) -> Column:
     return F.regexp_replace(F.col(f"`{field.name}`").cast("string"), r"\.0$", "").alias(field.name)
 
 
-def export_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
+def export_csv(df: DataFrame, path: str) -> None:
     """Write ``df`` as CSV without a header, replacing what is there.
 
-    ``one_file`` is for the aggregated results, which have a handful of rows: it keeps their order and puts them in
-    one part. Without it the parts are written in parallel, for record-level views of any size.
+    The parts, in order of name, hold the rows in the order of ``df``. Adaptive execution makes one part of a result
+    with a few rows; larger ones are written in parallel, sorted or not.
     """
-    text = df.select([_plain(f) for f in df.schema])
-    if one_file:
-        text = text.coalesce(1)
-    text.write.mode("overwrite").option("header", False).csv(path)
+    df.select([_plain(f) for f in df.schema]).write.mode("overwrite").option("header", False).csv(path)
 
 
-def export_marts(marts: dict[str, DataFrame], folder: str) -> None:
-    """Export several aggregated results, each to its own directory under ``folder``."""
-    for name, df in marts.items():
-        export_csv(df, f"{folder}/{name}.csv", one_file=True)
+def export_results(results: Mapping[str, DataFrame], folder: str) -> None:
+    """Export each result to its own directory ``<name>.csv`` under ``folder``."""
+    for name, df in results.items():
+        export_csv(df, f"{folder}/{name}.csv")

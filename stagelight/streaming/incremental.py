@@ -16,7 +16,8 @@ def load_new_files(spark: SparkSession, source: str, folder: str, base: dt.date
 
     The same projections as in the batch load, without state or shuffle. Each table keeps a checkpoint of the files it
     has taken, so running the load again, or after a failure, adds no row twice. An application that arrives in two
-    different files is kept twice, as the raw rows say; the constraint job counts it.
+    different files is kept twice, as the raw rows say; the constraint job counts it. A folder loaded this way should
+    get no batch load, which would replace the tables but not the checkpoints.
     """
     text = text_reader(spark.readStream, "csv").load(source)
     for name, df in base_frames(typed(rename_raw(text)), base).items():

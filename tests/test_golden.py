@@ -6,7 +6,7 @@ import pytest
 
 import golden
 from stagelight.operators import load, marts, stages, star
-from stagelight.sources.export import export_csv, export_marts
+from stagelight.sources.export import export_csv, export_results
 from stagelight.sources.warehouse import read_tables, write_tables
 
 
@@ -118,20 +118,30 @@ def lines(path):
     return [line for part in sorted(Path(path).glob("part-*")) for line in part.read_text().splitlines()]
 
 
-def test_exports(rows, tmp_path):
-    export_marts(
-        {
-            "funnel": marts.funnel_counts(rows).repartition(3).orderBy("apps"),
-            "durations": marts.stage_durations(stages.closed_stage_events(rows)),
-            "education": marts.conversion_by_education(rows).orderBy("education_level"),
-            "location": marts.conversion_by_location(rows).orderBy("location"),
-        },
-        str(tmp_path),
-    )
-    assert lines(tmp_path / "funnel.csv") == [f"{s},{n}" for s, n in sorted(golden.FUNNEL, key=lambda r: r[1])]
+def exports(rows):
+    return {
+        "funnel": marts.funnel_counts(rows),
+        "durations": marts.stage_durations(stages.closed_stage_events(rows)),
+        "education": marts.conversion_by_education(rows).orderBy("education_level"),
+        "location": marts.conversion_by_location(rows).orderBy("location"),
+    }
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_exports(spark, rows, tmp_path, adaptive):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        export_results(exports(rows), str(tmp_path))
+        export_results(exports(rows), str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert lines(tmp_path / "funnel.csv") == [f"{s},{n}" for s, n in golden.FUNNEL]
     assert lines(tmp_path / "durations.csv") == ["Screened,8.22", "Interviewed,7.51", "Offered,7", "Applied,1.99"]
     assert lines(tmp_path / "education.csv") == [",".join(map(str, r)) for r in golden.BY_EDUCATION]
     assert lines(tmp_path / "location.csv") == [",".join(map(str, r)) for r in golden.BY_LOCATION]
+    if adaptive == "true":
+        assert all(len(list(path.glob("part-*"))) == 1 for path in tmp_path.glob("*.csv"))
 
 
 def test_export_of_many_rows_stays_in_parts(rows, tmp_path):
