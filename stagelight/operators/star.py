@@ -109,9 +109,13 @@ def fact_application(
     ``flat`` is ``applications_flat`` or ``journeys`` (one scan), or ``applications_flat_from_tables``.
     """
     rows = flat
-    lookups = {"education": "education_level", "location": "location", "python": "python_exp", "internship": "internship"}
-    for name, column in lookups.items():
-        table = f"dim_{name}"
+    lookups = {
+        "dim_education": "education_level",
+        "dim_location": "location",
+        "dim_python": "python_exp",
+        "dim_internship": "internship",
+    }
+    for table, column in lookups.items():
         key, value = TABLES[table].names
         dim = dims[table].select(F.col(key), F.col(value).alias(column))
         rows = rows.join(dim, column, "left")

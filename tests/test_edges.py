@@ -112,7 +112,8 @@ def test_absent_stage_is_null_and_unknown_stage_is_ignored(spark):
         ],
         TABLES["stage_events"],
     )
-    fact = spark.createDataFrame([(1, day), (2, dt.date(2024, 2, 1)), (3, day)], "application_id long, applied_date_key date")
+    fact_rows = [(1, day), (2, dt.date(2024, 2, 1)), (3, day)]
+    fact = spark.createDataFrame(fact_rows, "application_id long, applied_date_key date")
     cohorts = marts.cohort_conversion(marts.with_reached(fact, events)).collect()
     assert [tuple(r) for r in cohorts] == [
         ("2024-01", 1, None, None, 1, None),
@@ -123,7 +124,12 @@ def test_absent_stage_is_null_and_unknown_stage_is_ignored(spark):
     overall = marts.conversion_overall(reached).collect()[0]
     assert tuple(overall) == (1, None, None, 1, None, None, None, None, None, None)
     odd = spark.createDataFrame(
-        [(5, 1, None, day, None), (6, 2, "Withdrawn", day, None), (7, None, "Hired", day, None), (8, 9, None, day, None)],
+        [
+            (5, 1, None, day, None),
+            (6, 2, "Withdrawn", day, None),
+            (7, None, "Hired", day, None),
+            (8, 9, None, day, None),
+        ],
         TABLES["stage_events"],
     )
     unfiltered = [tuple(r) for r in marts.stage_counts_unfiltered(events.unionByName(odd)).collect()]

@@ -34,7 +34,8 @@ def tables(spark, tmp_path_factory):
 
 
 @pytest.mark.parametrize(
-    "name", ["candidates", "applications", "stage_events", "stage_events_closed", "fact_stage_event", "applications_flat"]
+    "name",
+    ["candidates", "applications", "stage_events", "stage_events_closed", "fact_stage_event", "applications_flat"],
 )
 def test_record_level_results_take_one_scan_and_no_shuffle(spark, name):
     plan = static_plan(entry_point.queries()[name](spark, SF_DIR))

@@ -63,7 +63,8 @@ def test_distinct_counts_with_a_hot_application(spark):
 
 
 def test_hot_keys_are_few_and_found(spark, monkeypatch):
-    df = spark.range(3000).select(F.when(F.col("id") < 1000, 7).when(F.col("id") < 1500, None).otherwise(F.col("id")).alias("k"))
+    key = F.when(F.col("id") < 1000, 7).when(F.col("id") < 1500, None).otherwise(F.col("id"))
+    df = spark.range(3000).select(key.alias("k"))
     assert {r.k for r in hot_keys(df, "k", 400).collect()} == {7, None}
     assert {r.k for r in hot_keys(df, "k", 600).collect()} == {7}
     monkeypatch.setattr(skew, "MAX_HOT_KEYS", 4)
