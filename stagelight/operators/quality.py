@@ -23,7 +23,9 @@ def constraint_violations(
     parts = []
     for name, rules in constraints.items():
         if name in tables:
-            parts.append(_own_rules(name, tables[name], rules))
+            parts.append(_key_rules(name, tables[name], rules))
+            if rules.required or rules.flags:
+                parts.append(_row_rules(name, tables[name], rules))
             parts.extend(_foreign_rules(name, tables, rules))
     return reduce(DataFrame.unionByName, parts)
 
@@ -43,42 +45,49 @@ def _rows(totals: DataFrame, table: str, rules: list[tuple[str, str, Column, Col
     return totals.select(F.inline(F.array(*results)))
 
 
-def _own_rules(name: str, table: DataFrame, rules: Rules) -> DataFrame:
-    """Primary key, NOT NULL, UNIQUE and 0/1 rules of one table, in one aggregation."""
-    columns = sorted({*rules.required, *rules.unique, *rules.flags})
+def _key_rules(name: str, table: DataFrame, rules: Rules) -> DataFrame:
+    """PRIMARY KEY and UNIQUE rules: the only ones that shuffle, and nothing but distinct values and a count."""
+    keys = [rules.key, *rules.unique]
     counts = [F.count(F.lit(1)).alias("rows")]
-    counts += [F.count(column).alias(f"values_{column}") for column in columns]
-    counts += [F.countDistinct(column).alias(f"distinct_{column}") for column in {rules.key, *rules.unique}]
-    counts += [F.count_if(~F.col(column).isin(0, 1)).alias(f"other_{column}") for column in rules.flags]
-    rows = F.col("rows")
+    counts += [F.countDistinct(c).alias(f"distinct_{c}") for c in keys]
+    counts += [F.count(c).alias(f"values_{c}") for c in rules.unique]
+    rows, distinct = F.col("rows"), {c: F.col(f"distinct_{c}") for c in keys}
+    checks = [(rules.key, "primary_key", rows, rows - distinct[rules.key])]
+    for column in rules.unique:
+        values = F.col(f"values_{column}")
+        checks.append((column, "unique", values, values - distinct[column]))
+    return _rows(table.agg(*counts), name, checks)
 
-    def count(kind: str, column: str) -> Column:
-        return F.col(f"{kind}_{column}")
 
-    checks = [(rules.key, "primary_key", rows, rows - count("distinct", rules.key))]
-    checks += [(c, "not_null", rows, rows - count("values", c)) for c in rules.required]
-    checks += [(c, "unique", count("values", c), count("values", c) - count("distinct", c)) for c in rules.unique]
-    checks += [(c, "in_0_1", rows, count("other", c)) for c in rules.flags]
-    return _rows(table.agg(*counts), name, checks)
+def _row_rules(name: str, table: DataFrame, rules: Rules) -> DataFrame:
+    """NOT NULL and 0/1 rules: counters of one scan."""
+    tests = [(c, "not_null", F.col(c).isNull()) for c in rules.required]
+    tests += [(c, "in_0_1", ~F.col(c).isin(0, 1)) for c in rules.flags]
+    broken = [F.count_if(test).alias(f"broken_{i}") for i, (_, _, test) in enumerate(tests)]
+    totals = table.agg(F.count(F.lit(1)).alias("rows"), *broken)
+    return _rows(totals, name, [(c, r, F.col("rows"), F.col(f"broken_{i}")) for i, (c, r, _) in enumerate(tests)])
 
 
 def _foreign_rules(name: str, tables: Mapping[str, DataFrame], rules: Rules) -> Iterator[DataFrame]:
     """Non-NULL references without a parent. References of one type share one scan of the child table."""
-    table = tables[name]
     by_type = defaultdict(list)
     for column, (parent, key) in rules.foreign.items():
         if parent in tables:
-            by_type[table.schema[column].dataType].append((column, tables[parent].select(key)))
+            by_type[tables[name].schema[column].dataType].append((column, tables[parent].select(key)))
     for links in by_type.values():
         columns = [column for column, _ in links]
-        pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]
-        used = table.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
-        used = used.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-        parents = [keys.select(F.lit(column).alias("column"), keys[0].alias("value")) for column, keys in links]
+        parents = [keys.select(F.lit(i).alias("link"), keys[0].alias("value")) for i, (_, keys) in enumerate(links)]
+        if len(links) == 1:
+            used = tables[name].select(F.lit(0).alias("link"), F.col(columns[0]).alias("value"))
+        else:
+            pairs = [F.struct(F.lit(i).alias("link"), F.col(c).alias("value")) for i, c in enumerate(columns)]
+            used = tables[name].select(F.inline(F.array(*pairs)))
+        used = used.where(F.col("value").isNotNull()).groupBy("link", "value").agg(F.count(F.lit(1)).alias("n"))
         known = reduce(DataFrame.unionByName, parents).distinct().withColumn("known", F.lit(True))
-        own = {c: F.when(F.col("column") == c, F.col("n")) for c in columns}
-        lost = [F.sum(F.when(F.col("known").isNull(), own[c])).alias(f"lost_{c}") for c in columns]
-        totals = used.join(known, ["column", "value"], "left").agg(
-            *[F.sum(own[c]).alias(f"used_{c}") for c in columns], *lost
+        own = [F.when(F.col("link") == i, F.col("n")) for i, _ in enumerate(links)]
+        totals = used.join(known, ["link", "value"], "left").agg(
+            *[F.sum(n).alias(f"used_{i}") for i, n in enumerate(own)],
+            *[F.sum(F.when(F.col("known").isNull(), n)).alias(f"lost_{i}") for i, n in enumerate(own)],
         )
-        yield _rows(totals, name, [(c, "foreign_key", F.col(f"used_{c}"), F.col(f"lost_{c}")) for c in columns])
+        checks = [(c, "foreign_key", F.col(f"used_{i}"), F.col(f"lost_{i}")) for i, c in enumerate(columns)]
+        yield _rows(totals, name, checks)
