@@ -23,9 +23,7 @@ def constraint_violations(
     parts = []
     for name, rules in constraints.items():
         if name in tables:
-            parts.append(_key_rules(name, tables[name], rules))
-            if rules.required or rules.flags:
-                parts.append(_row_rules(name, tables[name], rules))
+            parts.extend(_own_rules(name, tables[name], rules))
             parts.extend(_foreign_rules(name, tables, rules))
     return reduce(DataFrame.unionByName, parts)
 
@@ -45,27 +43,36 @@ def _rows(totals: DataFrame, table: str, rules: list[tuple[str, str, Column, Col
     return totals.select(F.inline(F.array(*results)))
 
 
-def _key_rules(name: str, table: DataFrame, rules: Rules) -> DataFrame:
-    """PRIMARY KEY and UNIQUE rules: the only ones that shuffle, and nothing but distinct values and a count."""
-    keys = [rules.key, *rules.unique]
-    counts = [F.count(F.lit(1)).alias("rows")]
-    counts += [F.countDistinct(c).alias(f"distinct_{c}") for c in keys]
-    counts += [F.count(c).alias(f"values_{c}") for c in rules.unique]
-    rows, distinct = F.col("rows"), {c: F.col(f"distinct_{c}") for c in keys}
-    checks = [(rules.key, "primary_key", rows, rows - distinct[rules.key])]
-    for column in rules.unique:
-        values = F.col(f"values_{column}")
-        checks.append((column, "unique", values, values - distinct[column]))
-    return _rows(table.agg(*counts), name, checks)
-
+def _own_rules(name: str, table: DataFrame, rules: Rules) -> Iterator[DataFrame]:
+    """Rules within one table.
 
-def _row_rules(name: str, table: DataFrame, rules: Rules) -> DataFrame:
-    """NOT NULL and 0/1 rules: counters of one scan."""
+    Only keys need a shuffle. On the big tables they are counted apart from the row rules, to move nothing but
+    distinct keys; on dimensions, which are the tables with UNIQUE columns, one aggregation does it all.
+    """
+    keys = [(rules.key, "primary_key"), *[(c, "unique") for c in rules.unique]]
     tests = [(c, "not_null", F.col(c).isNull()) for c in rules.required]
     tests += [(c, "in_0_1", ~F.col(c).isin(0, 1)) for c in rules.flags]
-    broken = [F.count_if(test).alias(f"broken_{i}") for i, (_, _, test) in enumerate(tests)]
-    totals = table.agg(F.count(F.lit(1)).alias("rows"), *broken)
-    return _rows(totals, name, [(c, r, F.col("rows"), F.col(f"broken_{i}")) for i, (c, r, _) in enumerate(tests)])
+    if rules.unique:
+        yield _counted(name, table, keys, tests)
+    else:
+        yield _counted(name, table, keys, [])
+        if tests:
+            yield _counted(name, table, [], tests)
+
+
+def _counted(
+    name: str, table: DataFrame, keys: list[tuple[str, str]], tests: list[tuple[str, str, Column]]
+) -> DataFrame:
+    counts, checks = [F.count(F.lit(1)).alias("rows")], []
+    for i, (column, rule) in enumerate(keys):
+        # A primary key must be there on every row, a unique value may be absent.
+        checked = F.count(F.lit(1)) if rule == "primary_key" else F.count(column)
+        counts += [checked.alias(f"checked_{i}"), F.countDistinct(column).alias(f"distinct_{i}")]
+        checks.append((column, rule, F.col(f"checked_{i}"), F.col(f"checked_{i}") - F.col(f"distinct_{i}")))
+    for i, (column, rule, broken) in enumerate(tests):
+        counts.append(F.count_if(broken).alias(f"broken_{i}"))
+        checks.append((column, rule, F.col("rows"), F.col(f"broken_{i}")))
+    return _rows(table.agg(*counts), name, checks)
 
 
 def _foreign_rules(name: str, tables: Mapping[str, DataFrame], rules: Rules) -> Iterator[DataFrame]:
