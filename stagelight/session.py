@@ -18,6 +18,8 @@ def local_session(name: str, cores: int | None = None, shared_folder: str | None
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
+        # Do not record the Python line of every column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # Skip the sort of a join whose build side turns out small in every partition.
         .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
     )
