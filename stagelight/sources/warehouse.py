@@ -6,8 +6,10 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stagelight.operators import load, stages, star
+from stagelight.operators import star
+from stagelight.operators.load import journeys
 from stagelight.operators.marts import applications_flat
+from stagelight.operators.stages import closed_stage_events
 from stagelight.schemas import BASE_DATE, TABLES
 
 BASE_TABLES = ["candidates", "applications", "stage_events"]
@@ -32,12 +34,12 @@ def write_table(df: DataFrame, folder: str, name: str) -> DataFrame:
     return read_table(df.sparkSession, folder, name)
 
 
-def base_frames(raw: DataFrame, base: dt.date = BASE_DATE) -> dict[str, DataFrame]:
-    """Candidates, applications and closed stage events: projections of raw rows, batch or streaming."""
+def base_frames(rows: DataFrame) -> dict[str, DataFrame]:
+    """Candidates, applications and closed stage events: projections of journeys, batch or streaming."""
     return {
-        "candidates": load.candidates(raw),
-        "applications": load.applications(raw, base),
-        "stage_events": stages.closed_stage_events(load.journeys(raw, base)),
+        "candidates": rows.select(TABLES["candidates"].names),
+        "applications": rows.select(TABLES["applications"].names),
+        "stage_events": closed_stage_events(rows),
     }
 
 
@@ -57,6 +59,11 @@ def write_star(base_tables: dict[str, DataFrame], flat: DataFrame, folder: str)
 
 
 def write_tables(raw: DataFrame, folder: str, base: dt.date = BASE_DATE) -> dict[str, DataFrame]:
-    """Load raw rows into base tables and star schema under ``folder``; no write shuffles the raw rows."""
-    tables = {name: write_table(df, folder, name) for name, df in base_frames(raw, base).items()}
-    return tables | write_star(tables, applications_flat(load.journeys(raw, base)), folder)
+    """Load raw rows into base tables and star schema under ``folder``.
+
+    Every big table is a projection of the raw rows, so no write shuffles them, but four of them read ``raw``. Where
+    that is dear, as with text or a join, store it first: ``write_tables(written(raw, "raw"), folder)``.
+    """
+    rows = journeys(raw, base)
+    tables = {name: write_table(df, folder, name) for name, df in base_frames(rows).items()}
+    return tables | write_star(tables, applications_flat(rows), folder)

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
+from stagelight.operators.load import journeys
 from stagelight.schemas import BASE_DATE
 from stagelight.sources.raw import rename_raw, text_reader, typed
 from stagelight.sources.warehouse import base_frames, conformed
@@ -20,7 +21,7 @@ def load_new_files(spark: SparkSession, source: str, folder: str, base: dt.date
     get no batch load, which would replace the tables but not the checkpoints.
     """
     text = text_reader(spark.readStream, "csv").load(source)
-    for name, df in base_frames(typed(rename_raw(text)), base).items():
+    for name, df in base_frames(journeys(typed(rename_raw(text)), base)).items():
         query = (
             conformed(df, name)
             .writeStream.format("parquet")

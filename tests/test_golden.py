@@ -111,6 +111,8 @@ def test_second_load_changes_nothing(raw, folder, tables):
     write_tables(raw, folder)
     assert snapshot() == before
     assert len(before["fact_application"]) == 614
+    assert before["candidates"] == sorted(map(repr, load.candidates(raw).collect()))
+    assert before["applications"] == sorted(map(repr, load.applications(raw).collect()))
     assert len(before["dim_time"]) == 614
 
 
