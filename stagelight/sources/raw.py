@@ -15,9 +15,14 @@ _TEXT_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in RAW
 def text_reader(
     reader: DataFrameReader | DataStreamReader, fmt: str = "csv"
 ) -> DataFrameReader | DataStreamReader:
-    """A reader of raw files; CSV has a header, which must match the known columns."""
+    """A reader of raw files in any format Spark reads; text formats are read as text, without inference.
+
+    CSV has a header, which must match the known columns.
+    """
+    if fmt in ("csv", "json"):
+        reader = reader.schema(_TEXT_SCHEMA)
     if fmt == "csv":
-        reader = reader.schema(_TEXT_SCHEMA).option("header", True).option("enforceSchema", False)
+        reader = reader.option("header", True).option("enforceSchema", False)
     return reader.format(fmt)
 
 

@@ -9,7 +9,7 @@ import golden
 from stagelight.functions.dates import add_days, days_after, week_of_year
 from stagelight.functions.rates import rate
 from stagelight.operators import load, marts, quality, stages, star
-from stagelight.schemas import LAST_DATE, RAW, TABLES
+from stagelight.schemas import LAST_DATE, RAW, RAW_SOURCE_NAMES, TABLES
 from stagelight.sources.raw import cast_failures, read_raw, read_raw_text
 
 BLANK = {name: None for name in RAW.names}
@@ -225,15 +225,23 @@ def test_raw_file_as_text(spark, tmp_path):
     ]
 
 
-def test_raw_parquet_with_source_names(spark, tmp_path):
-    from stagelight.schemas import RAW_SOURCE_NAMES
-
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
+def test_raw_formats(spark, tmp_path, fmt):
     raw = golden.golden_raw(spark)
-    raw.toDF(*RAW_SOURCE_NAMES).write.parquet(str(tmp_path / "raw"))
-    again = read_raw(spark, str(tmp_path / "raw"), "parquet")
+    writer = raw.toDF(*RAW_SOURCE_NAMES).write.format(fmt)
+    writer.option("header", True).save(str(tmp_path / "raw"))
+    again = read_raw(spark, str(tmp_path / "raw"), fmt)
+    assert again.schema == RAW
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, raw.collect()))
 
 
+def test_a_csv_with_other_columns_is_refused(spark, tmp_path):
+    names = [*RAW_SOURCE_NAMES[1:], RAW_SOURCE_NAMES[0]]
+    (tmp_path / "raw.csv").write_text(",".join(names) + "\n" + ",".join("1" * len(names)) + "\n")
+    with pytest.raises(Exception, match="CSV header"):
+        read_raw(spark, str(tmp_path / "raw.csv")).collect()
+
+
 def test_column_types_match_the_declared_tables(spark):
     raw = golden.golden_raw(spark)
     rows = load.journeys(raw)

@@ -88,7 +88,44 @@ def many_applications(spark):
     return raw, apps
 
 
-def test_joins_with_a_hot_candidate(spark):
+@pytest.fixture
+def small_skew_limits(spark):
+    """Let adaptive execution split partitions of a few kilobytes."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_a_hot_candidate_is_split_over_tasks(spark, small_skew_limits):
+    hot = F.when(F.col("id") % 3 == 0, 3).otherwise(F.col("id") % 5000)
+    apps = spark.range(0, 60_000, 1, 8).select(
+        F.col("id").alias("application_id"),
+        hot.cast("long").alias("candidate_id"),
+        F.lit(DAY).alias("applied_at"),
+        F.lit(0).alias("hired"),
+    )
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in RAW if f.name != "serial_no"]
+    raw = spark.range(0, 5000, 1, 8).select(F.col("id").alias("serial_no"), *blank)
+    candidates = load.candidates(raw)
+    for df, n in [
+        (marts.applications_flat_from_tables(apps, candidates), 60_000),
+        (stages.stage_events_from_tables(apps, candidates, raw), 60_000),
+    ]:
+        assert len(df.collect()) == n
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_joins_with_a_hot_candidate(spark, small_skew_limits):
     raw_rows, app_rows = many_applications(spark)
     raw = spark.createDataFrame(raw_rows, RAW)
     apps = spark.createDataFrame(app_rows, TABLES["applications"])
@@ -111,22 +148,9 @@ def test_joins_with_a_hot_candidate(spark):
         for (stage, days), yes in passed.items():
             if yes:
                 events[app, stage, day + dt.timedelta(days=days)] += 1
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-    }
-    before = {key: spark.conf.get(key) for key in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
-        found = stages.stage_events_from_tables(apps, candidates, raw).collect()
-        rates = marts.conversion_by_education_from_tables(apps, candidates).collect()
-        flat = marts.applications_flat_from_tables(apps, candidates).count()
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+    found = stages.stage_events_from_tables(apps, candidates, raw).collect()
+    rates = marts.conversion_by_education_from_tables(apps, candidates).collect()
+    flat = marts.applications_flat_from_tables(apps, candidates).count()
     assert Counter((r.application_id, r.stage_name, r.stage_entered_at) for r in found) == events
     assert len({r.stage_event_id for r in found}) == len(found)
     assert {r.education_level: [r.apps, r.hires] for r in rates} == dict(groups)
