@@ -87,7 +87,8 @@ def stage_events_closed(events: DataFrame, hot_group_rows: int = HOT_GROUP_ROWS)
 
     Ties on the entry date go by stage_event_id. Ordinary applications take a window. Applications with very many
     events would each land in one task there, so they go another way (see ``_closed_hot``). The list of those is
-    empty for a table with one event per stage; adaptive execution then drops that branch at run time.
+    empty for a table with one event per stage; adaptive execution then drops that branch at run time. Finding the list
+    reads the events once more, so store them first if they are dear to derive.
     """
     columns = [c for c in TABLES["stage_events"].names if c != "stage_exited_at"]
     events = events.select(columns)
