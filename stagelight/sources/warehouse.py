@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from stagelight.operators import star
 from stagelight.operators.load import journeys
 from stagelight.operators.marts import applications_flat
+from stagelight.operators.quality import constraint_violations
 from stagelight.operators.stages import closed_stage_events
-from stagelight.schemas import BASE_DATE, TABLES
+from stagelight.schemas import BASE_DATE, CONSTRAINTS, TABLES
 
 BASE_TABLES = ["candidates", "applications", "stage_events"]
 
@@ -58,12 +59,29 @@ def write_star(base_tables: dict[str, DataFrame], flat: DataFrame, folder: str)
     return tables | {name: write_table(fact, folder, name) for name, fact in facts.items()}
 
 
-def write_tables(raw: DataFrame, folder: str, base: dt.date = BASE_DATE) -> dict[str, DataFrame]:
+def _require_unique_candidates(candidates: DataFrame) -> None:
+    """Fail on a NULL or repeated candidate_id. All other ids derive from it, and every join relies on it."""
+    key_rule = {"candidates": CONSTRAINTS["candidates"]}
+    found = constraint_violations({"candidates": candidates}, key_rule).first()
+    if found.violations:
+        raise ValueError(f"{found.violations} of {found.rows_checked} raw rows have no serial_no or repeat one")
+
+
+def write_tables(
+    raw: DataFrame, folder: str, base: dt.date = BASE_DATE, check_key: bool = True
+) -> dict[str, DataFrame]:
     """Load raw rows into base tables and star schema under ``folder``.
 
+    A NULL or repeated serial_no breaks the primary key of candidates: the load stops with an error before it writes
+    applications. ``check_key=False`` skips that count of distinct keys for rows known to be sound.
+
     Every big table is a projection of the raw rows, so no write shuffles them, but four of them read ``raw``. Where
     that is dear, as with text or a join, store it first: ``write_tables(written(raw, "raw"), folder)``.
     """
     rows = journeys(raw, base)
-    tables = {name: write_table(df, folder, name) for name, df in base_frames(rows).items()}
+    tables = {}
+    for name, df in base_frames(rows).items():
+        tables[name] = write_table(df, folder, name)
+        if check_key and name == "candidates":
+            _require_unique_candidates(tables[name])
     return tables | write_star(tables, applications_flat(rows), folder)

@@ -3,6 +3,7 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import golden
 from stagelight.operators import load, marts, stages, star
@@ -116,6 +117,14 @@ def test_second_load_changes_nothing(raw, folder, tables):
     assert len(before["dim_time"]) == 614
 
 
+@pytest.mark.parametrize("serial_no", [7, None])
+def test_load_stops_at_a_broken_key(spark, raw, tmp_path, serial_no):
+    broken = raw.unionByName(raw.limit(1).withColumn("serial_no", F.lit(serial_no).cast("long")))
+    with pytest.raises(ValueError, match="1 of 615"):
+        write_tables(broken, str(tmp_path / "broken"))
+    assert not (tmp_path / "broken" / "applications").exists()
+
+
 def lines(path):
     return [line for part in sorted(Path(path).glob("part-*")) for line in part.read_text().splitlines()]
 
