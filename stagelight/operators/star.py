@@ -18,17 +18,17 @@ _ATTRIBUTES = {"dim_education": "education_level", "dim_location": "location"}
 def attribute_dims(candidates: DataFrame, names: Sequence[str] = tuple(_ATTRIBUTES)) -> dict[str, DataFrame]:
     """Dimensions of the distinct non-NULL values of candidate columns, numbered in order of value.
 
-    Written to the shared folder: one scan of candidates serves all of them, and joins know their real size.
+    Each is written to the shared folder, so that joins know its real size; one scan of candidates serves all of them.
     """
     columns = {_ATTRIBUTES[name]: name for name in names}
     pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in columns]
     values = candidates.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull()).distinct()
-    keyed = written(numbered(values), "dims")
+    keyed = numbered(values)
     dims = {}
     for column, name in columns.items():
-        key = TABLES[name].names[0]
         own = keyed.where(F.col("column_name") == column)
-        dims[name] = own.select(F.col("key").alias(key), F.col("value").alias(column))
+        own = own.select(F.col("key").alias(TABLES[name].names[0]), F.col("value").alias(column))
+        dims[name] = written(own, name)
     return dims
 
 

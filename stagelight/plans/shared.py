@@ -28,8 +28,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     This cuts the lineage, survives lost executors, and gives Catalyst the real size, so it broadcasts the table
-    only if that size is under the session's limit.
+    only if that size is under the session's limit. Without compression the files are as large as the values in them,
+    where long texts that compress well would pass for a small table.
     """
     path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "uncompressed").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

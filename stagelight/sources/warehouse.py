@@ -30,8 +30,11 @@ def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def write_table(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """Replace a table and read it back."""
-    conformed(df, name).write.mode("overwrite").parquet(f"{folder}/{name}")
+    """Replace a table and read it back. Dimensions are not compressed, so that joins see their real size."""
+    writer = conformed(df, name).write.mode("overwrite")
+    if name.startswith("dim_"):
+        writer = writer.option("compression", "uncompressed")
+    writer.parquet(f"{folder}/{name}")
     return read_table(df.sparkSession, folder, name)
 
 

@@ -3,10 +3,12 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 import golden
 from stagelight.operators import load, marts, stages, star
+from stagelight.schemas import RAW
 from stagelight.sources.warehouse import read_tables, write_tables
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -80,6 +82,24 @@ def test_stored_dimensions_are_broadcast_by_size(spark, tables):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_a_large_dimension_is_not_broadcast(spark):
+    """200,000 long texts that compress to far less than the limit; the other dimensions stay small."""
+    text = F.concat(F.lit("a text that compresses very well " * 3), F.col("id").cast("string"))
+    values = {f.name: F.lit(None).cast(f.dataType) for f in RAW} | {
+        "serial_no": F.col("id"),
+        "education": text,
+        "location": F.concat(F.lit("L"), (F.col("id") % 3).cast("string")),
+        "python_exp": F.when(F.col("id") % 2 == 0, "Yes"),
+        "internship": F.when(F.col("id") % 5 == 0, "Yes"),
+    }
+    rows = load.journeys(spark.range(0, 200_000, 1, 4).select([v.alias(name) for name, v in values.items()]))
+    fact = star.fact_application(rows, star.dimensions(rows))
+    plan = static_plan(fact)
+    assert count(plan, "SortMergeJoin") == 1
+    assert count(plan, "BroadcastHashJoin") == 3
+    assert tuple(fact.agg(F.max("education_key"), F.countDistinct("education_key")).first()) == (200_000, 200_000)
+
+
 def test_fact_is_not_shuffled_by_its_dimensions(spark):
     plan = static_plan(entry_point.queries()["fact_application"](spark, SF_DIR))
     assert count(plan, "BroadcastHashJoin") == 5
