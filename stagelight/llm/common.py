@@ -6,6 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
@@ -74,3 +75,28 @@ def in_pieces(batch: pa.RecordBatch, column: str = "text", limit: int = 1 << 21)
         size += length or 0
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+#: A chunk of bitmap_construct_agg has this many bits.
+CHUNK_BITS = 32_768
+
+
+def bit_field(positions: DataFrame, bits: int) -> np.ndarray:
+    """The set of values of column ``at``, from 0 to ``bits`` - 1, as bits. The driver receives ``bits`` / 8 bytes."""
+    chunks = positions.groupBy(F.floor(F.col("at") / CHUNK_BITS).alias("chunk")).agg(
+        F.bitmap_construct_agg(F.col("at") % CHUNK_BITS).alias("bits")
+    )
+    field = np.zeros(bits // 8, dtype=np.uint8)
+    for row in chunks.collect():
+        start = row["chunk"] * (CHUNK_BITS // 8)
+        field[start : start + CHUNK_BITS // 8] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return field
+
+
+def bits_at(field: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (field[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def field_size(rows: int, max_bits: int) -> int:
+    """Bits for so many rows: sixteen each as a power of two, at most ``max_bits``."""
+    return min(max_bits, 1 << max(16, (16 * rows).bit_length()))

@@ -15,12 +15,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagelight.llm.common import keyed_text, ship, stored, unused
+from stagelight.llm.common import bit_field, bits_at, field_size, keyed_text, ship, stored, unused
 
 #: Fixed value: the characters that do not count.
 SPACES = r"[\x20\x09-\x0D]"
-#: A bitmap chunk of bitmap_construct_agg has this many bits.
-CHUNK_BITS = 32_768
 SEEDS = (11, 12)
 
 
@@ -36,41 +34,26 @@ def _positions(digest: Column, bits: int) -> list[Column]:
     return [F.pmod(F.xxhash64(F.lit(seed), digest), F.lit(bits)) for seed in SEEDS]
 
 
-def filter_size(rows: int, max_bits: int) -> int:
-    """Bits of the filter: sixteen a row as a power of two, at most ``max_bits``."""
-    return min(max_bits, 1 << max(16, (16 * rows).bit_length()))
-
-
-def repeated_filter(digests: DataFrame, bits: int) -> list[np.ndarray]:
-    """One bit field per hash seed: the positions that at least two rows of column ``text_sha256`` hit.
+def maybe_repeated(digests: DataFrame, max_bits: int) -> Callable[[Column], Column]:
+    """The filter over column ``text_sha256`` of ``digests``, as a test of a digest column.
 
-    Counts are combined before the shuffle, so a text that a third of all rows share sends one row per task. The
-    driver receives ``bits`` / 8 bytes per seed at most, however many rows there are.
+    It holds, per hash seed, the positions that two rows or more hit.
     """
-    hits = [F.struct(F.lit(k).alias("seed"), p.alias("at")) for k, p in enumerate(_positions(F.col("text_sha256"), bits))]
-    often = digests.select(F.explode(F.array(*hits)).alias("hit")).groupBy("hit.seed", "hit.at").count().where("count > 1")
-    chunk = F.floor(F.col("at") / CHUNK_BITS).alias("chunk")
-    chunks = often.groupBy("seed", chunk).agg(F.bitmap_construct_agg(F.col("at") % CHUNK_BITS).alias("bits"))
-    fields = [np.zeros(bits // 8, dtype=np.uint8) for _ in SEEDS]
-    for row in chunks.collect():
-        part = np.frombuffer(row["bits"], dtype=np.uint8)
-        at = row["chunk"] * (CHUNK_BITS // 8)
-        fields[row["seed"]][at : at + len(part)] = part
-    return fields
-
-
-def maybe_repeated(digests: DataFrame, max_bits: int) -> Callable[[Column], Column]:
-    """The filter over column ``text_sha256`` of ``digests``, as a test of a digest column."""
     spark = digests.sparkSession
     ship(spark)
-    bits = filter_size(digests.count(), max_bits)
-    shared = spark.sparkContext.broadcast(repeated_filter(digests, bits))  # bits / 8 bytes per seed, whatever the input
+    bits = field_size(digests.count(), max_bits)
+    fields = []
+    for at in _positions(F.col("text_sha256"), bits):
+        # Combined before the shuffle: a text that a third of all rows share sends one count per task.
+        often = digests.groupBy(at.alias("at")).count().where("count > 1")
+        fields.append(bit_field(often, bits))
+    shared = spark.sparkContext.broadcast(fields)  # bits / 8 bytes per seed, whatever the input
 
     @F.pandas_udf("boolean")
     def admitted(first: pd.Series, second: pd.Series) -> pd.Series:
         hit = np.ones(len(first), dtype=bool)
         for field, at in zip(shared.value, (first.to_numpy(), second.to_numpy()), strict=True):
-            hit &= (field[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+            hit &= bits_at(field, at)
         return pd.Series(hit)
 
     return lambda digest: admitted(*_positions(digest, bits))

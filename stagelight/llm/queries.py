@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagelight.llm import bpe, exact_dedup, toxicity
+from stagelight.llm import bpe, exact_dedup, ngram_join, toxicity
 from stagelight.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.flagged(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), *bpe.public_ranks())
 
@@ -36,6 +40,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op3_exact_dedup": op3_exact_dedup,
+        "op4_ngram_join": op4_ngram_join,
         "op8_byte_bpe": op8_byte_bpe,
         "op10_toxicity": op10_toxicity,
     }
