@@ -84,6 +84,7 @@ def flagged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max
         (-F.col("points")).alias("shortness"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id")
     )
     groups = several.groupBy("text_sha256").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("group_size"))
+    groups = stored(groups, "groups")  # read back, so that adaptive execution can split a hot text in the join
     joined = several.join(groups, "text_sha256")
     kept = F.col("doc_id").eqNullSafe(F.col("best.id")) & (F.col("points") == -F.col("best.shortness"))
     return single.unionByName(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagelight.llm import bpe, exact_dedup, ngram_join, toxicity
+from stagelight.llm import bpe, decontamination, exact_dedup, ngram_join, toxicity
 from stagelight.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,13 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document and benchmark item that it contains."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.matched(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.inline("hits"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), *bpe.public_ranks())
 
@@ -41,6 +48,7 @@ def queries() -> dict[str, Query]:
     return {
         "op3_exact_dedup": op3_exact_dedup,
         "op4_ngram_join": op4_ngram_join,
+        "op6_decontamination": op6_decontamination,
         "op8_byte_bpe": op8_byte_bpe,
         "op10_toxicity": op10_toxicity,
     }

@@ -25,6 +25,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[list(SPACES)] = True
+#: Everything in ASCII but letters and digits parts words too.
+IS_BREAK = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 BASE = U64(0xD6E8FEB86659FD93)
 BASE_INVERSE = U64(pow(int(BASE), -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
@@ -50,9 +52,9 @@ class Block:
         self.starts = self.ends - sizes
         self.count = len(texts)
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start and end byte of every run of non-space bytes, and its document."""
-        edges = np.flatnonzero(np.diff(np.concatenate(([True], IS_SPACE[self.buffer])).astype(np.int8)))
+    def words(self, breaks: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and end byte of every run of bytes that are no breaks, and its document."""
+        edges = np.flatnonzero(np.diff(np.concatenate(([True], breaks[self.buffer])).astype(np.int8)))
         starts, ends = edges[0::2], edges[1::2]
         return starts, ends, np.searchsorted(self.ends, starts, side="right")
 
