@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagelight.llm import bpe, decontamination, exact_dedup, ngram_join, toxicity
-from stagelight.llm.common import table
+from stagelight.llm import bpe, decontamination, exact_dedup, ngram_join, quality, secrets_scan, toxicity
+from stagelight.llm.common import keyed_text, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,24 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked(table(spark, sf_dir, "documents"))
 
 
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets_scan.scanned(table(spark, sf_dir, "documents"))
+
+    def of(kind: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"] == kind)
+
+    def joined(spans: Column) -> Column:
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    return found.select(
+        "doc_id",
+        *(F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row per document and benchmark item that it contains."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -32,6 +50,19 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), *bpe.public_ranks())
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held out: a third of the ids by crc32, which training never sees. A null id is not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learns = toxicity.learns(3, 1)
+    found = quality.scored(docs, quality.fit(keyed_text(docs, "doc_id", "text"), labels, learns))
+    return found.select(
+        "doc_id",
+        F.coalesce(~learns(F.col("doc_id")), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held out: a fifth of the ids by crc32, which the fit never sees. A null id is not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -48,7 +79,9 @@ def queries() -> dict[str, Query]:
     return {
         "op3_exact_dedup": op3_exact_dedup,
         "op4_ngram_join": op4_ngram_join,
+        "op5_secret_scans": op5_secret_scans,
         "op6_decontamination": op6_decontamination,
         "op8_byte_bpe": op8_byte_bpe,
+        "op9_quality": op9_quality,
         "op10_toxicity": op10_toxicity,
     }
