@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagelight.llm.common import in_pieces, keyed_text, ship, stored
-from stagelight.llm.text_arrays import BYTE_VALUE, Block, mixed
+from stagelight.llm.text_arrays import BYTE_VALUE, GOLDEN, Block, mixed
 
 U64 = np.uint64
 
@@ -29,17 +29,23 @@ class Shape:
     gram_sizes: tuple[int, ...] = (2, 3, 4)  # bytes of a character n-gram; case counts
     dims: int = 8
     epochs: int = 6
-    rate: float = 0.5
+    rate: float = 0.3
     max_rows: int = 6_000  # labelled documents that training reads
     seed: int = 5
 
 
 def features(texts: list[str], shape: Shape) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Bucket and document of every n-gram of every text: words first, then each size of character n-gram."""
+    """Bucket and document of every n-gram of every text: words, word pairs, then each size of character n-gram.
+
+    A pair is hashed by the difference of its words' hashes, so that all pairs of a repeated word share a bucket.
+    """
     block = Block([t.encode() for t in texts])
     shift = U64(64 - shape.buckets_bits)
     starts, ends, docs = block.words()
-    yield (block.span_hashes(starts, ends, lower=False) >> shift).astype(np.int32), docs
+    words = block.span_hashes(starts, ends, lower=False)
+    yield (words >> shift).astype(np.int32), docs
+    pair = docs[1:] == docs[:-1]
+    yield (mixed(words[1:] - words[:-1] + GOLDEN)[pair] >> shift).astype(np.int32), docs[1:][pair]
     values = BYTE_VALUE[block.buffer]
     owner = np.repeat(np.arange(block.count), block.ends - block.starts + 1)
     for size in shape.gram_sizes:
