@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagelight.llm import bpe, decontamination, exact_dedup, ngram_join, quality, secrets_scan, toxicity
+from stagelight.llm import bpe, decontamination, exact_dedup, ngram_join, quality, secrets_scan, token_output, toxicity
 from stagelight.llm.common import keyed_text, table
+from stagelight.plans.shared import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +48,28 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.inline("hits"))
 
 
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per written sequence, read back from the shards: where it lies, which one it is, and its ids' digest."""
+    docs = table(spark, sf_dir, "documents")
+    shards = token_output.materialised(docs, shared_path(spark, "llm-tokens"), *bpe.public_ranks(), end_id=50_256)
+    found = token_output.read(spark, shards)
+    order = shards.order
+
+    @F.pandas_udf("long")
+    def sequence(slots: pd.Series) -> pd.Series:
+        return pd.Series(order.sequences(slots.to_numpy()))
+
+    last = F.lit(shards.tokens) - F.lit(shards.length) * (shards.sequences - 1)
+    return found.select("slot", "shard", "byte_offset", sequence("slot").alias("sequence"), "ids").select(
+        "slot",
+        "shard",
+        "byte_offset",
+        "sequence",
+        F.when(F.col("sequence") == shards.sequences - 1, last).otherwise(F.lit(shards.length)).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+    )
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), *bpe.public_ranks())
 
@@ -81,6 +105,7 @@ def queries() -> dict[str, Query]:
         "op4_ngram_join": op4_ngram_join,
         "op5_secret_scans": op5_secret_scans,
         "op6_decontamination": op6_decontamination,
+        "op7_token_output": op7_token_output,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_quality": op9_quality,
         "op10_toxicity": op10_toxicity,
