@@ -8,13 +8,31 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagelight.llm import bpe, decontamination, exact_dedup, ngram_join, quality, secrets_scan, token_output, toxicity
-from stagelight.llm.common import keyed_text, table
+from stagelight.llm import bpe, decontamination, exact_dedup, ngram_join, quality, resharding, secrets_scan, token_output, toxicity
+from stagelight.llm.common import keyed_text, stored, table
 from stagelight.plans.shared import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen old shards by source, so that one holds over a third, to twenty-four of even size."""
+    docs = table(spark, sf_dir, "documents")
+    old = F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(16))
+    moved = resharding.rewritten(docs, resharding.planned(docs, old, 24))
+    rows = moved.select(
+        "doc_id",
+        resharding.text_bytes(F.col("text")).alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+    )
+    slotted = resharding.with_slots(stored(rows, "resharded"), ["doc_id", "text_crc32"])
+    return slotted.select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.flagged(table(spark, sf_dir, "documents"))
 
@@ -101,6 +119,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_resharding": op2_resharding,
         "op3_exact_dedup": op3_exact_dedup,
         "op4_ngram_join": op4_ngram_join,
         "op5_secret_scans": op5_secret_scans,
