@@ -8,13 +8,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagelight.llm import bpe, decontamination, exact_dedup, ngram_join, quality, resharding, secrets_scan, token_output, toxicity
+from stagelight.llm import bpe, decontamination, exact_dedup, line_dedup, ngram_join, quality, resharding, secrets_scan, token_output, toxicity
 from stagelight.llm.common import keyed_text, stored, table
 from stagelight.plans.shared import shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and lines kept of every document, and the digest of the text that is left."""
+    found = line_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_kept", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def op2_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sixteen old shards by source, so that one holds over a third, to twenty-four of even size."""
     docs = table(spark, sf_dir, "documents")
@@ -119,6 +125,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op2_resharding": op2_resharding,
         "op3_exact_dedup": op3_exact_dedup,
         "op4_ngram_join": op4_ngram_join,
