@@ -8,10 +8,11 @@ overlap of every two sets; only the parts that can reach the threshold are compu
    each task counts what it holds, then sends each block its n-grams, and an n-gram that a task holds twice is sent
    once, however many rows have it.
 2. Among active classes, n-grams are ordered from rare to frequent. Two similar sets share one of their first
-   n - ceil(0.8 n) + 1 n-grams, so only those columns are multiplied.
-3. In every column all classes are first compared with one centre, and links found are contracted to components. What
-   remains are pairs from different components. They are multiplied block by block; sizes and a folded bit signature
-   bound the overlap of a pair from above and discard nearly all of them before the exact count.
+   n - ceil(0.8 n) + 1 n-grams, so only classes that meet in one of those columns are multiplied.
+3. Classes are dealt to row blocks by the most crowded of their columns, which brings near copies together. Two blocks
+   that meet in a column are multiplied in one task: the classes that meet, all their n-grams, in strips of columns,
+   until no pair of sizes can reach the threshold any more. A task returns a spanning forest of the links it finds, so
+   its output grows with the classes and not with their pairs; components of all links follow.
 """
 
 from __future__ import annotations
@@ -31,7 +32,6 @@ from stagelight.llm.components import components
 from stagelight.llm.text_arrays import Block, distinct_per_doc, mixed, shingle_hashes
 
 U64 = np.uint64
-SIGNATURE_WORDS = 8  # 64-bit words of a folded bit signature
 
 
 @dataclass(frozen=True)
@@ -109,7 +109,7 @@ def _active(classes: DataFrame, like: Similarity, block_rows: int) -> DataFrame:
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Count shared shingles in the batch; send every shingle to its column block."""
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in in_pieces(whole, "head")):
             heads = batch.column("head").to_pylist()
             sizes = np.fromiter((len(h) // 8 for h in heads), dtype=np.int64, count=len(heads))
             hashes = np.frombuffer(b"".join(heads), dtype=U64)
@@ -174,7 +174,7 @@ def _shared(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _sets(rows: DataFrame, active: DataFrame, width: int, max_bits: int) -> DataFrame:
-    """class, n, set (rising hashes) and folded signature of the active classes, read again from ``rows``.
+    """class, n and set (rising hashes) of the active classes, read again from ``rows``.
 
     A bit field of the ids to read, of ``max_bits`` at most, spares a shuffle of the texts; what it lets through beyond
     them is dropped by class afterwards. A null id has a bit too.
@@ -189,8 +189,7 @@ def _sets(rows: DataFrame, active: DataFrame, width: int, max_bits: int) -> Data
             batch = batch.filter(pa.array(bits_at(wanted.value, batch.column("at").to_numpy())))
             for piece in in_pieces(batch):
                 hashes, bounds = shingle_sets(piece, width)
-                cuts = list(zip(bounds, bounds[1:], strict=False))
-                keep = [(a, b) for a, b in cuts if b > a]
+                keep = [(a, b) for a, b in zip(bounds, bounds[1:], strict=False) if b > a]
                 values = pa.ListArray.from_arrays(
                     pa.array(np.array([0, *np.cumsum([b - a for a, b in keep])], dtype=np.int32)),
                     pa.array(hashes.view(np.int64)),
@@ -200,124 +199,124 @@ def _sets(rows: DataFrame, active: DataFrame, width: int, max_bits: int) -> Data
                         pa.array([class_key(hashes[a:b]) for a, b in keep], pa.binary()),
                         pa.array([b - a for a, b in keep], pa.int64()),
                         values,
-                        pa.array([signature(hashes[a:b]) for a, b in keep], pa.binary()),
                     ],
-                    names=["class", "n", "set", "signature"],
+                    names=["class", "n", "set"],
                 )
 
-    found = rows.select("text", place).mapInArrow(run, "class binary, n long, set array<long>, signature binary")
+    found = rows.select("text", place).mapInArrow(run, "class binary, n long, set array<long>")
     return stored(found.join(active.select("class"), "class", "left_semi").dropDuplicates(["class"]), "sets")
 
 
-def signature(hashes: np.ndarray) -> bytes:
-    """Parity of the number of hashes at each bit. Where two signatures differ, one set has a hash the other lacks."""
-    bits = SIGNATURE_WORDS * 64
-    odd = np.bincount((hashes >> U64(20)).astype(np.int64) % bits, minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
-
-
 def _columns(sets: DataFrame, like: Similarity) -> DataFrame:
-    """Columns to multiply: hash, class, n, signature for each first shingle in rare-first order that classes share."""
+    """hash and class for each first shingle in rare-first order that classes share, and how many classes meet there."""
     cells = sets.select("class", F.explode("set").alias("hash"))
     often = cells.groupBy("hash").count().where("count > 1")
-    ordered = cells.join(often, "hash").groupBy("class").agg(
-        F.sort_array(F.collect_list(F.struct("count", "hash"))).alias("cells")
-    )
+    ordered = cells.join(often, "hash").groupBy("class").agg(F.collect_list(F.struct("count", "hash")).alias("cells"))
     # Shingles of one class alone come first; what is left of the first n - ceil(0.8 n) + 1 is taken from the shared.
     least = F.floor((F.col("n") * like.percent + 99) / 100)
-    left = F.col("n") - least + 1 - (F.col("n") - F.size("cells"))
-    joined = sets.select("class", "n", "signature").join(ordered, "class").withColumn("left", left.cast("int"))
-    chosen = joined.where("left > 0").select("class", "n", "signature", F.explode(F.expr("slice(cells, 1, left)")).alias("c"))
-    return stored(chosen.select(F.col("c.hash").alias("hash"), "class", "n", "signature"), "columns")
+    left = (F.size("cells") - least + 1).cast("int").alias("left")
+    chosen = sets.select("class", "n").join(ordered, "class").select("class", "cells", left).where("left > 0")
+    first = F.explode(F.slice(F.sort_array("cells"), F.lit(1), F.col("left"))).alias("cell")
+    placed = stored(chosen.select("class", first).select("class", "cell.hash"), "columns")
+    meet = placed.groupBy("hash").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    return stored(placed.join(meet, "hash"), "meetings")
 
 
-def _within_bounds(a: str, b: str, like: Similarity):
-    """Sizes that allow a link."""
-    small, large = F.least(F.col(a), F.col(b)), F.greatest(F.col(a), F.col(b))
-    return small * 100 >= large * like.percent
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
-    """The pairs (a, b) whose sets link, by their exact overlap."""
-    left = sets.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("set").alias("set_a"))
-    right = sets.select(F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("set").alias("set_b"))
-    joined = pairs.join(left, "a").join(right, "b")
-    overlap = F.size(F.array_intersect("set_a", "set_b")).cast("long")
-    union = F.col("n_a") + F.col("n_b") - overlap
-    return joined.where(overlap * 100 >= union * like.percent).select("a", "b")
+def _block_pairs(columns: DataFrame, block_rows: int) -> DataFrame:
+    """low, high, block, class: for every two row blocks that meet in a column, themselves included, who meets there.
 
+    A class is at home where most classes meet; a home is cut into blocks of about ``block_rows`` classes. A column of
+    m classes sends m rows to each of its blocks, a ``block_rows``-th of its pairs at most.
+    """
+    homes = columns.groupBy("class").agg(F.max(F.struct("members", "hash")).alias("home"))
+    sizes = homes.groupBy("home").agg(F.count(F.lit(1)).alias("size"))
+    part = F.pmod(F.xxhash64("class"), F.ceil(F.col("size") / block_rows))
+    homes = stored(homes.join(sizes, "home").select("class", F.xxhash64("home.hash", part).alias("block")), "homes")
+    placed = columns.join(homes, "class").select("hash", "class", "block")
+    others = placed.groupBy("hash").agg(F.collect_set("block").alias("others"))
+    met = placed.join(others, "hash").select("class", "block", F.explode("others").alias("other"))
+    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    return met.select(low, high, "block", "class").distinct()
+
+
+def forest(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray, like: Similarity) -> list[tuple[int, int]]:
+    """A spanning forest of the links between the sets at ``first`` and those at ``second``; both may be the same.
+
+    Overlaps are counted over strips of the columns that two sets share or more. After each strip, what is left of two
+    sets bounds their overlap from above; the count ends when no pair can reach the threshold or all are done.
+    """
+    sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = times > 1
+    used = often[column]
+    owner, column = owner[used], (np.cumsum(often) - 1)[column[used]]
+    rest = np.bincount(owner, minlength=len(sets))
+    total = sizes[first][:, None] + sizes[second][None, :]
+    overlap = np.zeros(total.shape, dtype=np.int64)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    columns = int(often.sum())
+    strip = max(1, min(max(64, (1 << 22) // len(sets)), columns))
+    for start in range(0, columns, strip):
+        cells = slice(*np.searchsorted(column, (start, start + strip)))
+        incidence = np.zeros((len(sets), strip), dtype=np.float32)
+        incidence[owner[cells], column[cells] - start] = 1
+        overlap += (incidence[first] @ incidence[second].T).astype(np.int64)
+        rest = rest - np.bincount(owner[cells], minlength=len(sets))
+        reach = overlap + np.minimum(rest[first][:, None], rest[second][None, :])
+        if not (reach * 100 >= (total - reach) * like.percent).any():
+            return []
+    parent = list(range(len(sets)))
+
+    def root(k: int) -> int:
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
+
+    links = []
+    for i, j in zip(*np.nonzero(overlap * 100 >= (total - overlap) * like.percent), strict=True):
+        a, b = root(int(first[i])), root(int(second[j]))
+        if a != b:
+            parent[a] = b
+            links.append((int(first[i]), int(second[j])))
+    return links
+
+
+def _links(pairs: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
+    """Links (a, b) that connect what the products of all block pairs connect."""
+    rows = pairs.join(sets.select("class", "set"), "class")
+    rows = rows.repartition("low", "high").sortWithinPartitions("low", "high", "class")
+
+    def product(low: int, high: int, group: list[tuple[int, bytes, np.ndarray]]) -> Iterator[tuple[bytes, bytes]]:
+        blocks = np.array([block for block, _, _ in group])
+        first, second = np.flatnonzero(blocks == low), np.flatnonzero(blocks == high)
+        if len(group) > 1 and len(first) and len(second):
+            for a, b in forest([own for _, _, own in group], first, second, like):
+                yield tuple(sorted((group[a][1], group[b][1])))
 
-def _star_pairs(columns: DataFrame, like: Similarity) -> DataFrame:
-    """In every column, each class with the centre of the column: linear in the cells."""
-    centre = F.min(F.struct(F.xxhash64("class", F.lit(1)).alias("order"), "class", "n")).alias("centre")
-    centres = columns.groupBy("hash").agg(centre)
-    pairs = columns.select("hash", "class", "n").join(centres, "hash")
-    pairs = pairs.where(_within_bounds("n", "centre.n", like) & (F.col("class") != F.col("centre.class")))
-    return pairs.select(
-        F.least("class", "centre.class").alias("a"), F.greatest("class", "centre.class").alias("b")
-    ).distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair, group = None, []
+        for batch in batches:
+            found = []
+            sets = batch.column("set")
+            values, bounds = sets.values.to_numpy(), sets.offsets.to_numpy()
+            keys = zip(*(batch.column(c).to_pylist() for c in ("low", "high", "block", "class")), strict=True)
+            for k, (low, high, block, key) in enumerate(keys):
+                if (low, high) != pair:
+                    found.extend(product(*pair, group) if pair else ())
+                    pair, group = (low, high), []
+                group.append((block, key, values[bounds[k] : bounds[k + 1]].copy()))
+            yield _edges(found)
+        yield _edges(list(product(*pair, group)) if pair else [])
 
+    return rows.select("low", "high", "block", "class", "set").mapInArrow(run, "a binary, b binary")
 
-def _cross_pairs(columns: DataFrame, roots: DataFrame, like: Similarity, block_rows: int) -> DataFrame:
-    """Pairs of classes in one column but different components that sizes and signatures do not rule out.
 
-    Classes of a column's largest component are not compared with each other. A column is cut into blocks of about
-    ``block_rows`` classes, so that no task holds a long one; a group is one pair of blocks.
-    """
-    placed = columns.join(roots.withColumnRenamed("node", "class"), "class", "left")
-    placed = placed.withColumn("root", F.coalesce("root", "class"))
-    by_root = placed.groupBy("hash", "root").agg(F.count(F.lit(1)).alias("members"))
-    largest = by_root.groupBy("hash").agg(
-        F.max(F.struct("members", "root")).alias("top"), F.sum("members").alias("size"), F.count(F.lit(1)).alias("roots")
-    )
-    largest = largest.where("roots > 1")
-    cells = placed.join(largest, "hash").withColumn("main", F.col("root") == F.col("top.root"))
-    others = F.ceil((F.col("size") - F.col("top.members")) / block_rows)
-    spread = F.pmod(F.xxhash64("class"), F.lit(1 << 30))
-    own = F.when(F.col("main"), -1 - spread % F.ceil(F.col("top.members") / block_rows)).otherwise(spread % others)
-    each_other = F.explode(F.sequence(F.lit(0), (others - 1).cast("int")))
-    cells = cells.withColumn("own", own.cast("int")).withColumn("other", each_other)
-    cells = cells.select(
-        "hash",
-        F.least("own", "other").alias("low"),
-        F.greatest("own", "other").alias("high"),
-        "own",
-        "class",
-        "n",
-        "root",
-        "signature",
-    )
-    # A block of the largest component meets each other block; the other blocks must also be sent to it.
-    reach = placed.join(largest, "hash").where(F.col("root") != F.col("top.root"))
-    mains = F.sequence(F.lit(1), F.ceil(F.col("top.members") / block_rows).cast("int"))
-    extra = reach.withColumn("own", (spread % others).cast("int")).withColumn("main", F.explode(mains))
-    extra = extra.select("hash", (-F.col("main")).alias("low"), F.col("own").alias("high"), "own", "class", "n", "root", "signature")
-    share = like.percent / (100 + like.percent)
-
-    def multiply(group: pd.DataFrame) -> pd.DataFrame:
-        low, high, own = int(group["low"].iloc[0]), int(group["high"].iloc[0]), group["own"].to_numpy()
-        rows, cols = np.flatnonzero(own == low), np.flatnonzero(own == high)
-        keys, n = group["class"].to_numpy(), group["n"].to_numpy()
-        root = pd.factorize(group["root"])[0]
-        bits = np.frombuffer(b"".join(group["signature"]), dtype=U64).reshape(len(group), SIGNATURE_WORDS)
-        a, b = [], []
-        for r in rows:
-            against = cols[root[cols] != root[r]]
-            if low == high:
-                against = against[against > r]
-            small, large = np.minimum(n[against], n[r]), np.maximum(n[against], n[r])
-            against = against[small * 100 >= large * like.percent]
-            apart = np.bitwise_count(bits[against] ^ bits[r]).sum(axis=1, dtype=np.int64)
-            total = n[against] + n[r]
-            # Two sets differ in ``apart`` shingles at least, so they share (total - apart) / 2 at most.
-            against = against[(total - apart) / 2 >= share * total - 1e-6]
-            a.extend([keys[r]] * len(against))
-            b.extend(keys[against])
-        swap = [(x, y) if x < y else (y, x) for x, y in zip(a, b, strict=True)]
-        return pd.DataFrame(swap, columns=["a", "b"])
-
-    groups = cells.unionByName(extra).groupBy("hash", "low", "high")
-    return groups.applyInPandas(multiply, "a binary, b binary").distinct()
+def _edges(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    columns = [pa.array([pair[k] for pair in found], pa.binary()) for k in (0, 1)]
+    return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
 
 def linked(
@@ -358,14 +357,11 @@ def _roots(
     rows: DataFrame, classes: DataFrame, known: DataFrame, like: Similarity, block_rows: int, max_bits: int
 ) -> DataFrame:
     """node and root of every class that links to another one."""
-    shared = _active(classes.where("class is not null"), like, 1 << 21)
+    shared = _active(classes.where("class is not null"), like, 1 << 18)
     active = stored(known.join(shared, "owner").where("shared >= needed").select("class", "least_id"), "active")
     sets = _sets(rows, active, like.width, max_bits)
-    columns = _columns(sets, like)
-    links = stored(_verified(_star_pairs(columns, like), sets, like), "links")
-    roots = components(links)
-    more = _verified(_cross_pairs(columns, roots, like, block_rows), sets, like)
-    return components(links.unionByName(more))
+    pairs = _block_pairs(_columns(sets, like), block_rows)
+    return components(_links(pairs, sets, like))
 
 
 def one_per_component(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
