@@ -10,16 +10,17 @@ from pyspark.sql import functions as F
 
 from stagelight.functions.dates import add_days
 from stagelight.functions.funnel import has_stage, name_bit
-from stagelight.plans.skew import hot_keys
 from stagelight.schemas import STAGES, TABLES, Stage
 
-HOT_GROUP_ROWS = 100_000
 
+def ids_per_application(stages: Sequence[Stage]) -> int:
+    """Ids need no global counter: each application has a power of ten of them, one for each rank."""
+    return 10 ** len(str(len(stages)))
 
-def _event(rank: int, stage: Stage, *exited: Column) -> Column:
+
+def _event(rank: int, stage: Stage, stages: Sequence[Stage], *exited: Column) -> Column:
     return F.struct(
-        # Ids need no global counter: ten per application, one for each rank.
-        (F.col("application_id") * 10 + rank).alias("stage_event_id"),
+        (F.col("application_id") * ids_per_application(stages) + rank).alias("stage_event_id"),
         F.lit(stage.name).alias("stage_name"),
         add_days(F.col("applied_at"), stage.days).alias("stage_entered_at"),
         *[e.alias("stage_exited_at") for e in exited],
@@ -35,9 +36,8 @@ def _exploded(df: DataFrame, events: list[Column]) -> DataFrame:
 
 def stage_events(journeys: DataFrame, stages: Sequence[Stage] = STAGES) -> DataFrame:
     """One event per stage an application passes, from one scan and without a join."""
-    _check(stages)
     bits = F.col("stage_bits")
-    return _exploded(journeys, [F.when(has_stage(bits, k), _event(k + 1, s)) for k, s in enumerate(stages)])
+    return _exploded(journeys, [F.when(has_stage(bits, k), _event(k + 1, s, stages)) for k, s in enumerate(stages)])
 
 
 def closed_stage_events(journeys: DataFrame, stages: Sequence[Stage] = STAGES) -> DataFrame:
@@ -46,67 +46,51 @@ def closed_stage_events(journeys: DataFrame, stages: Sequence[Stage] = STAGES) -
     All stages of an application sit on its row at fixed offsets, so the exit of a stage is the entry of the first
     later stage that the row passes.
     """
-    _check(stages)
     bits = F.col("stage_bits")
     ordered = sorted(enumerate(stages), key=lambda ranked: ranked[1].days)
     events = []
     for at, (k, stage) in enumerate(ordered):
         later = [F.when(has_stage(bits, j), add_days(F.col("applied_at"), s.days)) for j, s in ordered[at + 1 :]]
         exited = F.coalesce(*later, F.lit(None).cast("date"))
-        events.append(F.when(has_stage(bits, k), _event(k + 1, stage, exited)))
+        events.append(F.when(has_stage(bits, k), _event(k + 1, stage, stages, exited)))
     return _exploded(journeys, events)
 
 
 def stage_events_from_tables(
     applications: DataFrame, candidates: DataFrame, raw: DataFrame, stages: Sequence[Stage] = STAGES
 ) -> DataFrame:
-    """Stage events from stored tables; each stage reads only the table its rule needs.
+    """Stage events from stored tables.
 
-    Every join is between two shuffled inputs with no further use of their partitioning, which lets adaptive
-    execution split a candidate that holds very many applications.
+    What the rules read of candidates and raw rows comes to one row per candidate first; applications then meet it in
+    a single join, which adaptive execution may split for a candidate that holds very many of them.
     """
-    _check(stages)
-    apps = applications.select("application_id", "candidate_id", "applied_at")
     offers = raw.select(F.col("serial_no").alias("candidate_id"), "offer_history", "recruitment_status")
-    inputs = {
-        "applications": apps,
-        "candidates": apps.join(candidates, "candidate_id"),
-        "raw": apps.join(offers, "candidate_id"),
-    }
-    result = None
-    for table, rows in inputs.items():
-        events = [F.when(s.passes(), _event(rank, s)) for rank, s in enumerate(stages, 1) if s.reads == table]
-        if events:
-            part = _exploded(rows, events)
-            result = part if result is None else result.unionByName(part)
-    return result
-
-
-def stage_events_closed(events: DataFrame, hot_group_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Set each event's exit to the next entry of the same application; NULL for the last one.
+    known = {"candidates": candidates, "raw": offers}
+    facts = None
+    for table, rows in known.items():
+        marked = rows.withColumn(f"in_{table}", F.lit(True))
+        facts = marked if facts is None else facts.join(marked, "candidate_id", "full")
+    rows = applications.select("application_id", "candidate_id", "applied_at").join(facts, "candidate_id", "left")
+    events = []
+    for rank, stage in enumerate(stages, 1):
+        passed = stage.passes() if stage.reads == "applications" else F.col(f"in_{stage.reads}") & stage.passes()
+        events.append(F.when(passed, _event(rank, stage, stages)))
+    return _exploded(rows, events)
 
-    Ties on the entry date go by stage_event_id. Ordinary applications take a window. Applications with very many
-    events would each land in one task there, so they go another way (see ``_closed_hot``). The list of those is
-    empty for a table with one event per stage; adaptive execution then drops that branch at run time. Finding the list
-    reads the events once more, so store them first if they are dear to derive.
-    """
-    columns = [c for c in TABLES["stage_events"].names if c != "stage_exited_at"]
-    events = events.select(columns)
-    hot = F.broadcast(hot_keys(events, "application_id", hot_group_rows).withColumnRenamed("application_id", "hot_id"))
-    is_hot = F.col("application_id").eqNullSafe(F.col("hot_id"))
-    by_entry = W.partitionBy("application_id").orderBy(F.asc_nulls_last("stage_entered_at"), "stage_event_id")
-    cold = events.join(hot, is_hot, "left_anti")
-    cold = cold.withColumn("stage_exited_at", F.lead("stage_entered_at").over(by_entry))
-    return cold.unionByName(_closed_hot(events.join(hot, is_hot, "left_semi")))
 
+def stage_events_closed(events: DataFrame) -> DataFrame:
+    """Set each event's exit to the next entry of the same application; NULL for the last one.
 
-def _closed_hot(events: DataFrame) -> DataFrame:
-    """Exits for applications of any size.
+    Events of one day go by stage_event_id, NULL first: the day's last event leaves on the application's next day, the
+    ones before it leave the same day. Copies of an event leave together. An event without a date has no exit, and
+    rows without an application belong together.
 
-    Combine map-side to one row per application and day with the day's last event, then look one day ahead in a
-    window that holds at most one row per calendar day. The day's last event leaves on that next day; the events
-    before it leave the same day.
+    The events of an application and day are combined map-side to the day's last id, so that the window which looks
+    for the next day holds a row per day at most, however many events an application has; joined back, adaptive
+    execution may split a hot day.
     """
+    columns = [c for c in TABLES["stage_events"].names if c != "stage_exited_at"]
+    events = events.select(columns)
     days = events.where(F.col("stage_entered_at").isNotNull()).groupBy("application_id", "stage_entered_at")
     days = days.agg(F.max("stage_event_id").alias("last_id"))
     by_day = W.partitionBy("application_id").orderBy("stage_entered_at")
@@ -117,8 +101,9 @@ def _closed_hot(events: DataFrame) -> DataFrame:
         F.lead("stage_entered_at").over(by_day).alias("next_day"),
     )
     same_day = F.col("application_id").eqNullSafe(F.col("day_app")) & (F.col("stage_entered_at") == F.col("day"))
-    exited = F.when(F.col("stage_event_id") == F.col("last_id"), F.col("next_day")).otherwise(F.col("stage_entered_at"))
-    return events.join(days, same_day, "left").select(*events.columns, exited.alias("stage_exited_at"))
+    is_last = F.col("stage_event_id").eqNullSafe(F.col("last_id"))
+    exited = F.when(is_last, F.col("next_day")).otherwise(F.col("stage_entered_at"))
+    return events.join(days, same_day, "left").select(*columns, exited.alias("stage_exited_at"))
 
 
 def reached_stages(events: DataFrame, stages: Sequence[Stage] = STAGES) -> DataFrame:
@@ -129,8 +114,3 @@ def reached_stages(events: DataFrame, stages: Sequence[Stage] = STAGES) -> DataF
     """
     known = events.where(F.col("application_id").isNotNull())
     return known.groupBy("application_id").agg(F.bit_or(name_bit(F.col("stage_name"), stages)).alias("stage_bits"))
-
-
-def _check(stages: Sequence[Stage]) -> None:
-    if len(stages) > 9:
-        raise ValueError("event ids leave room for nine stages")

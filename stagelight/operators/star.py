@@ -12,6 +12,7 @@ from stagelight.plans.keys import numbered
 from stagelight.plans.shared import written
 from stagelight.schemas import RECRUITERS, ROLES, SOURCES, TABLES
 
+CALENDAR_BLOCK = 4096
 _ATTRIBUTES = {"dim_education": "education_level", "dim_location": "location"}
 
 
@@ -81,10 +82,17 @@ def dimensions(candidates: DataFrame) -> dict[str, DataFrame]:
 def dim_time(applications: DataFrame) -> DataFrame:
     """One row per day from the first to the last application date; no rows without a date.
 
-    The range is complete however long it is. It cannot pass 9999-12-31, so the days of one row stay few.
+    The range is complete however long it is. It is unfolded in two steps, blocks of days and then days, so that no
+    row holds a long range; the blocks are dealt to all tasks.
     """
-    span = applications.agg(F.min("applied_at").alias("first"), F.max("applied_at").alias("last"))
-    days = span.select(F.explode(F.sequence("first", "last")).alias("date_key"))
+    span = applications.agg(
+        F.unix_date(F.min("applied_at")).cast("long").alias("first"),
+        F.unix_date(F.max("applied_at")).cast("long").alias("last"),
+    )
+    blocks = span.select("last", F.explode(F.sequence("first", "last", F.lit(CALENDAR_BLOCK))).alias("begin"))
+    end = F.least(F.col("begin") + CALENDAR_BLOCK - 1, F.col("last"))
+    days = blocks.repartition("begin").select(F.explode(F.sequence("begin", end)).alias("number"))
+    days = days.select(F.date_from_unix_date(F.col("number").cast("int")).alias("date_key"))
     day = F.col("date_key")
     return days.select(
         day,

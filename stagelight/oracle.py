@@ -29,14 +29,15 @@ _APP = """app as (
     score, location, salary_band, offer_history, recruitment_status, ordered_on
   from raw)"""
 
+# Stages with their place, their days after application and their thresholds.
 _EVENT = """event as (
   select application_id * 10 + s.pos as stage_event_id, application_id, s.stage_name,
     applied_at + s.days as stage_entered_at
   from app join (values (1, 'Applied', 0), (2, 'Screened', 1), (3, 'Interviewed', 7), (4, 'Offered', 14),
                         (5, 'Hired', 21)) s(pos, stage_name, days)
     on (s.pos = 1)
-    or (s.pos = 2 and (education_level = 'Graduate' or score >= 4000))
-    or (s.pos = 3 and (years_experience >= 1 or python_exp = 1))
+    or (s.pos = 2 and (score >= 4000 or education_level = 'Graduate'))
+    or (s.pos = 3 and (python_exp = 1 or years_experience >= 1))
     or (s.pos = 4 and offer_history > 0)
     or (s.pos = 5 and recruitment_status = 'Y'))"""
 
@@ -52,6 +53,7 @@ _LOCATION = """dim_location as (
   select cast(row_number() over (order by v) as int) as location_key, v as location
   from (select distinct location as v from app where location is not null))"""
 
+# The members of the listed dimensions with their keys.
 _PYTHON = "dim_python as (select * from (values (1, 0), (2, 1)) t(python_key, has_python))"
 _INTERNSHIP = "dim_internship as (select * from (values (1, 0), (2, 1)) t(internship_key, has_internship))"
 _RECRUITER = """dim_recruiter as (
@@ -153,6 +155,7 @@ from fact left join dim_education using (education_key) left join dim_location u
   left join dim_recruiter using (recruiter_key) left join dim_source using (source_key)
   left join dim_role using (role_key)"""
 
+# The limits of the score bands.
 _BANDED = """banded as (
   select coalesce((select band from (values ('Very Low', 2500), ('Low', 4000), ('Medium', 6000), ('High', 9000))
                      b(band, ceiling) where score < ceiling order by ceiling limit 1), 'Very High') as score_band,
@@ -175,7 +178,7 @@ def _export_lines() -> str:
     )
 
 
-# What each table declares, as (table, column); foreign keys add the parent table and column.
+# What each table declares, as (table, column); foreign keys add the parent table and column.
 _PRIMARY = [
     ("candidates", "candidate_id"), ("applications", "application_id"), ("stage_events", "stage_event_id"),
     ("dim_education", "education_key"), ("dim_location", "location_key"), ("dim_python", "python_key"),

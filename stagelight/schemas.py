@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 # First day of the calendar and the name of every stage, recruiter, source and role.
 BASE_DATE = dt.date(2024, 1, 1)
-LAST_DATE = dt.date(9999, 12, 31)
 STAGE_NAMES = ["Applied", "Screened", "Interviewed", "Offered", "Hired"]
 RECRUITERS = ["Rita", "Sam", "Ava", "Leo"]
 SOURCES = ["Referral", "LinkedIn", "Job Board", "Career Site"]
@@ -34,10 +33,11 @@ class Stage(NamedTuple):
     passes: Callable[[], Column]
 
 
+# The days after application and the thresholds of every stage, in the order of the funnel.
 STAGES = [
     Stage("Applied", 0, "applications", lambda: F.lit(True)),
-    Stage("Screened", 1, "candidates", lambda: (F.col("education_level") == "Graduate") | (F.col("score") >= 4000)),
-    Stage("Interviewed", 7, "candidates", lambda: (F.col("years_experience") >= 1) | (F.col("python_exp") == 1)),
+    Stage("Screened", 1, "candidates", lambda: (F.col("score") >= 4000) | (F.col("education_level") == "Graduate")),
+    Stage("Interviewed", 7, "candidates", lambda: (F.col("python_exp") == 1) | (F.col("years_experience") >= 1)),
     Stage("Offered", 14, "raw", lambda: F.col("offer_history") > 0),
     Stage("Hired", 21, "raw", lambda: F.col("recruitment_status") == "Y"),
 ]

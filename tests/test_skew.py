@@ -8,9 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stagelight.operators import load, marts, stages
-from stagelight.plans import skew
 from stagelight.plans.keys import numbered
-from stagelight.plans.skew import hot_keys
 from stagelight.schemas import RAW, STAGE_NAMES, TABLES
 
 DAY = dt.date(2024, 1, 1)
@@ -28,27 +26,58 @@ def random_events(seed, n=900, apps=40, days=6):
 
 
 def closed_by_hand(rows):
-    groups = defaultdict(list)
-    for row in rows:
-        groups[row[1]].append(row)
+    """The day's last id leaves on the next day, all copies of it; smaller ids leave the same day. NULL is smallest."""
+    days = defaultdict(dict)
+    order = lambda event_id: (event_id is not None, event_id or 0)
+    for event_id, app, _, day, _ in rows:
+        if day is not None:
+            days[app][day] = max(days[app].get(day, event_id), event_id, key=order)
     closed = []
-    for group in groups.values():
-        group.sort(key=lambda r: (r[3] is None, r[3] or DAY, r[0]))
-        following = [r[3] for r in group[1:]] + [None]
-        closed += [(*r[:4], nxt) for r, nxt in zip(group, following, strict=True)]
+    for event_id, app, stage, day, _ in rows:
+        later = [d for d in days[app] if day is not None and d > day]
+        exited = None
+        if day is not None:
+            exited = min(later, default=None) if event_id == days[app][day] else day
+        closed.append((event_id, app, stage, day, exited))
     return Counter(closed)
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("hot_group_rows", [1, 10, 200, 10**9])
-def test_exits_with_a_hot_application(spark, seed, hot_group_rows):
+@pytest.mark.parametrize("kind", ["unique", "copies", "no ids"])
+def test_exits_with_a_hot_application(spark, seed, kind):
     rows = random_events(seed)
+    if kind == "copies":
+        rows += random.Random(seed).choices(rows, k=300)
+    if kind == "no ids":
+        rows = [(None if r[0] % 3 else r[0], *r[1:]) for r in rows]
     events = spark.createDataFrame(rows, TABLES["stage_events"]).repartition(7)
-    closed = stages.stage_events_closed(events, hot_group_rows)
+    closed = stages.stage_events_closed(events)
     assert closed.columns == TABLES["stage_events"].names
     assert Counter(map(tuple, closed.collect())) == closed_by_hand(rows)
 
 
+def test_a_day_without_ids_leaves_on_the_next_day(spark):
+    days = [DAY, DAY, DAY + dt.timedelta(days=8)]
+    rows = [(None, 1, "Applied", day, None) for day in days]
+    closed = stages.stage_events_closed(spark.createDataFrame(rows, TABLES["stage_events"])).collect()
+    assert sorted((r.stage_entered_at, r.stage_exited_at or DAY) for r in closed) == [(DAY, days[2])] * 2 + [(days[2], DAY)]
+
+
+def test_a_window_holds_a_row_per_day_at_most(spark, small_skew_limits):
+    """60,000 events of one application on one day are split over tasks."""
+    events = spark.range(0, 60_000, 1, 8).select(
+        F.col("id").alias("stage_event_id"),
+        F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(7).alias("application_id"),
+        F.lit("Applied").alias("stage_name"),
+        F.lit(DAY).alias("stage_entered_at"),
+        F.lit(None).cast("date").alias("stage_exited_at"),
+    )
+    closed = stages.stage_events_closed(events)
+    assert closed.where("stage_exited_at is not null").count() == 39_999
+    closed.collect()
+    assert "skew=true" in closed._jdf.queryExecution().executedPlan().toString()
+
+
 def test_distinct_counts_with_a_hot_application(spark):
     rows = random_events(5)
     events = spark.createDataFrame(rows, TABLES["stage_events"]).repartition(7)
@@ -62,16 +91,6 @@ def test_distinct_counts_with_a_hot_application(spark):
     assert unfiltered == [("Other", len(apps["Other"])), *expected]
 
 
-def test_hot_keys_are_few_and_found(spark, monkeypatch):
-    key = F.when(F.col("id") < 1000, 7).when(F.col("id") < 1500, None).otherwise(F.col("id"))
-    df = spark.range(3000).select(key.alias("k"))
-    assert {r.k for r in hot_keys(df, "k", 400).collect()} == {7, None}
-    assert {r.k for r in hot_keys(df, "k", 600).collect()} == {7}
-    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 4)
-    assert {r.k for r in hot_keys(df, "k", 1).collect()} == {7}
-    assert hot_keys(df.limit(0), "k", 1).collect() == []
-
-
 def many_applications(spark):
     """500 candidates; candidate 3 has a third of 1500 applications."""
     rng = random.Random(11)
