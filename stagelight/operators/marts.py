@@ -32,7 +32,10 @@ def _stage_rows(sums: DataFrame, keep: Sequence[str], stages: Sequence[Stage]) -
 
 
 def funnel_counts(reached: DataFrame, stages: Sequence[Stage] = STAGES) -> DataFrame:
-    """Applications per known stage, in funnel order (one aggregated row, unfolded in that order)."""
+    """Applications per known stage, in funnel order (one aggregated row, unfolded in that order).
+
+    Counts rows: application ids must be unique, as in ``reached_stages`` of any events and ``journeys`` of sound rows.
+    """
     return _stage_rows(reached.agg(*_stage_sums(stages)), [], stages)
 
 
@@ -59,7 +62,10 @@ def stage_counts_unfiltered(events: DataFrame, stages: Sequence[Stage] = STAGES)
 
 
 def conversion_overall(reached: DataFrame, stages: Sequence[Stage] = STAGES) -> DataFrame:
-    """One row: applications per stage, the rate of each step, and the rate from first to last stage."""
+    """One row: applications per stage, the rate of each step, and the rate from first to last stage.
+
+    Counts rows: application ids must be unique, as for ``funnel_counts``.
+    """
     names = [s.name.lower() for s in stages]
     counts = reached.agg(*_stage_sums(stages)).select([nonzero(F.col(n)).alias(n) for n in names])
     steps = [rate(F.col(b), F.col(a)).alias(f"conv_{a}_to_{b}") for a, b in zip(names, names[1:])]
@@ -141,12 +147,12 @@ def applications_flat_star(fact: DataFrame, dims: dict[str, DataFrame]) -> DataF
     return rows.select(FLAT_STAR_COLUMNS)
 
 
-def with_reached(fact: DataFrame, fact_stage_event: DataFrame) -> DataFrame:
+def with_reached(fact: DataFrame, fact_stage_event: DataFrame, stages: Sequence[Stage] = STAGES) -> DataFrame:
     """The application fact with the stages of each application as bits; applications without events drop out.
 
     Both sides meet with one row per application, so no key is hot, and the reduced events need no second shuffle.
     """
-    return fact.join(reached_stages(fact_stage_event), "application_id")
+    return fact.join(reached_stages(fact_stage_event, stages), "application_id")
 
 
 def funnel_by_slice(

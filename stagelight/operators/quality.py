@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,89 +12,113 @@ from pyspark.sql import functions as F
 from stagelight.schemas import CONSTRAINTS, Rules
 
 
+class _Check(NamedTuple):
+    """One constraint. Its rows lie in ``domain``: a key's own values (slot 0), references to it (slots from 1)."""
+
+    table: str
+    column: str
+    rule: str
+    domain: int
+    slot: int = 0
+
+
+class _Plan:
+    """Domains and checks of all tables, and what each table sends to them."""
+
+    def __init__(self, tables: Mapping[str, DataFrame], constraints: Mapping[str, Rules]):
+        self.checks: list[_Check] = []
+        self.sent: dict[str, list[Column]] = {}
+        self.domains: dict[tuple[str, str], int] = {}
+        self.slots = 1
+        used: dict[int, int] = {}
+        present = {name: rules for name, rules in constraints.items() if name in tables}
+        for name, rules in present.items():
+            self._send(name, rules.key, "primary_key", self._domain(name, rules.key))
+        for name, rules in present.items():
+            for column in rules.required:
+                self._send_broken(name, column, "not_null", F.col(column).isNull())
+            for column in rules.unique:
+                self._send(name, column, "unique", self._domain(name, f"unique {column}"))
+            for column in rules.flags:
+                self._send_broken(name, column, "in_0_1", ~F.col(column).isin(0, 1))
+            for column, (parent, key) in rules.foreign.items():
+                if parent not in present:
+                    continue
+                domain = self._domain(parent, key)
+                used[domain] = used.get(domain, 0) + 1
+                self.slots = max(self.slots, used[domain] + 1)
+                self._send(name, column, "foreign_key", domain, used[domain], F.col(column).isNotNull())
+
+    def _domain(self, table: str, name: str) -> int:
+        return self.domains.setdefault((table, name), len(self.domains))
+
+    def _send(self, table: str, column: str, rule: str, domain: int, slot: int = 0, where: Column | None = None) -> None:
+        self.checks.append(_Check(table, column, rule, domain, slot))
+        row = F.struct(
+            F.lit(domain).alias("domain"), F.lit(slot).alias("slot"), F.col(column).cast("string").alias("value")
+        )
+        self.sent.setdefault(table, []).append(row if where is None else F.when(where, row))
+
+    def _send_broken(self, table: str, column: str, rule: str, broken: Column) -> None:
+        domain = self._domain(table, f"{rule} {column}")
+        self.checks.append(_Check(table, column, rule, domain))
+        row = F.struct(
+            F.lit(domain).alias("domain"), F.lit(0).alias("slot"), F.lit(None).cast("string").alias("value")
+        )
+        self.sent.setdefault(table, []).append(F.when(broken, row))
+
+
 def constraint_violations(
     tables: Mapping[str, DataFrame], constraints: Mapping[str, Rules] = CONSTRAINTS
 ) -> DataFrame:
     """One row per constraint of the given tables: rows checked and rows that break it.
 
-    A key or unique value held by n rows counts n - 1 violations; a NULL key counts as one. All checks combine rows
-    map-side per value, so a value held by very many rows is one row in the shuffle.
-    """
-    parts = []
-    for name, rules in constraints.items():
-        if name in tables:
-            parts.extend(_own_rules(name, tables[name], rules))
-            parts.extend(_foreign_rules(name, tables, rules))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _rows(totals: DataFrame, table: str, rules: list[tuple[str, str, Column, Column]]) -> DataFrame:
-    """One aggregated row of ``totals`` as one row per (column, rule, rows checked, violations)."""
-    results = [
-        F.struct(
-            F.lit(table).alias("table_name"),
-            F.lit(column).alias("column_name"),
-            F.lit(rule).alias("rule"),
-            F.coalesce(checked, F.lit(0)).alias("rows_checked"),
-            F.coalesce(violations, F.lit(0)).alias("violations"),
-        )
-        for column, rule, checked, violations in rules
-    ]
-    return totals.select(F.inline(F.array(*results)))
-
-
-def _own_rules(name: str, table: DataFrame, rules: Rules) -> Iterator[DataFrame]:
-    """Rules within one table.
+    A key or unique value held by n rows counts n - 1 violations; a NULL key counts as one. A table needs a primary key
+    among its rules, which counts its rows; references to tables that are not given are not checked.
 
-    Only keys need a shuffle. On the big tables they are counted apart from the row rules, to move nothing but
-    distinct keys; on dimensions, which are the tables with UNIQUE columns, one aggregation does it all.
+    Every table is read once. Its keys, references and broken rows go to domains, one per key, and are combined
+    map-side per value, so a value held by very many rows is one row in the only shuffle of values. There a reference
+    meets the key it refers to.
     """
-    keys = [(rules.key, "primary_key"), *[(c, "unique") for c in rules.unique]]
-    tests = [(c, "not_null", F.col(c).isNull()) for c in rules.required]
-    tests += [(c, "in_0_1", ~F.col(c).isin(0, 1)) for c in rules.flags]
-    if rules.unique:
-        yield _counted(name, table, keys, tests)
-    else:
-        yield _counted(name, table, keys, [])
-        if tests:
-            yield _counted(name, table, [], tests)
-
-
-def _counted(
-    name: str, table: DataFrame, keys: list[tuple[str, str]], tests: list[tuple[str, str, Column]]
-) -> DataFrame:
-    counts, checks = [F.count(F.lit(1)).alias("rows")], []
-    for i, (column, rule) in enumerate(keys):
-        # A primary key must be there on every row, a unique value may be absent.
-        checked = F.count(F.lit(1)) if rule == "primary_key" else F.count(column)
-        counts += [checked.alias(f"checked_{i}"), F.countDistinct(column).alias(f"distinct_{i}")]
-        checks.append((column, rule, F.col(f"checked_{i}"), F.col(f"checked_{i}") - F.col(f"distinct_{i}")))
-    for i, (column, rule, broken) in enumerate(tests):
-        counts.append(F.count_if(broken).alias(f"broken_{i}"))
-        checks.append((column, rule, F.col("rows"), F.col(f"broken_{i}")))
-    return _rows(table.agg(*counts), name, checks)
-
-
-def _foreign_rules(name: str, tables: Mapping[str, DataFrame], rules: Rules) -> Iterator[DataFrame]:
-    """Non-NULL references without a parent. References of one type share one scan of the child table."""
-    by_type = defaultdict(list)
-    for column, (parent, key) in rules.foreign.items():
-        if parent in tables:
-            by_type[tables[name].schema[column].dataType].append((column, tables[parent].select(key)))
-    for links in by_type.values():
-        columns = [column for column, _ in links]
-        parents = [keys.select(F.lit(i).alias("link"), keys[0].alias("value")) for i, (_, keys) in enumerate(links)]
-        if len(links) == 1:
-            used = tables[name].select(F.lit(0).alias("link"), F.col(columns[0]).alias("value"))
+    plan = _Plan(tables, constraints)
+    sent = [
+        tables[name].select(F.inline(F.filter(F.array(*rows), lambda row: row.isNotNull())))
+        for name, rows in plan.sent.items()
+    ]
+    counts = [F.count_if(F.col("slot") == k).alias(f"n_{k}") for k in range(plan.slots)]
+    values = reduce(DataFrame.unionByName, sent).groupBy("domain", "value").agg(*counts)
+    own, has_value = F.col("n_0"), F.col("value").isNotNull()
+    sums = [
+        F.sum(own).alias("rows"),
+        F.sum(F.when(has_value, own)).alias("values"),
+        F.count_if(has_value & (own > 0)).alias("distinct"),
+    ]
+    for k in range(1, plan.slots):
+        sums += [F.sum(f"n_{k}").alias(f"used_{k}"), F.sum(F.when(own == 0, F.col(f"n_{k}"))).alias(f"lost_{k}")]
+    domains = values.groupBy("domain").agg(*sums)  # a few dozen rows
+    keys = {check.table: check.domain for check in plan.checks if check.rule == "primary_key"}
+
+    def of(domain: int, column: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("domain") == domain, F.col(column))), F.lit(0))
+
+    results = []
+    for check in plan.checks:
+        domain = check.domain
+        if check.rule == "primary_key":
+            checked, broken = of(domain, "rows"), of(domain, "rows") - of(domain, "distinct")
+        elif check.rule == "unique":
+            checked, broken = of(domain, "values"), of(domain, "values") - of(domain, "distinct")
+        elif check.rule == "foreign_key":
+            checked, broken = of(domain, f"used_{check.slot}"), of(domain, f"lost_{check.slot}")
         else:
-            pairs = [F.struct(F.lit(i).alias("link"), F.col(c).alias("value")) for i, c in enumerate(columns)]
-            used = tables[name].select(F.inline(F.array(*pairs)))
-        used = used.where(F.col("value").isNotNull()).groupBy("link", "value").agg(F.count(F.lit(1)).alias("n"))
-        known = reduce(DataFrame.unionByName, parents).distinct().withColumn("known", F.lit(True))
-        own = [F.when(F.col("link") == i, F.col("n")) for i, _ in enumerate(links)]
-        totals = used.join(known, ["link", "value"], "left").agg(
-            *[F.sum(n).alias(f"used_{i}") for i, n in enumerate(own)],
-            *[F.sum(F.when(F.col("known").isNull(), n)).alias(f"lost_{i}") for i, n in enumerate(own)],
+            checked, broken = of(keys[check.table], "rows"), of(domain, "rows")
+        results.append(
+            F.struct(
+                F.lit(check.table).alias("table_name"),
+                F.lit(check.column).alias("column_name"),
+                F.lit(check.rule).alias("rule"),
+                checked.alias("rows_checked"),
+                broken.alias("violations"),
+            )
         )
-        checks = [(c, "foreign_key", F.col(f"used_{i}"), F.col(f"lost_{i}")) for i, c in enumerate(columns)]
-        yield _rows(totals, name, checks)
+    return domains.agg(F.array(*results).alias("results")).select(F.inline("results"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,9 +21,38 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Paths handed out and not removed yet, oldest first.
+_handed_out: list[str] = []
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder. What is written there stays until ``remove_written`` or ``scratch``."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder in whatever file system holds it; nothing happens if there is none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def remove_written(spark: SparkSession, since: int = 0) -> None:
+    """Remove the intermediate tables of this process. Results that still read them can no longer be computed."""
+    for path in _handed_out[since:]:
+        remove(spark, path)
+    del _handed_out[since:]
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what is written to the shared folder inside."""
+    begun = len(_handed_out)
+    try:
+        yield
+    finally:
+        remove_written(spark, begun)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

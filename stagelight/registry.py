@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagelight.operators import load, marts, quality, stages, star
-from stagelight.plans.shared import shared_path
+from stagelight.plans.shared import shared_path, written
+from stagelight.schemas import TABLES
 from stagelight.sources.export import export_results
 from stagelight.sources.orders import raw_from_orders
 
@@ -104,14 +105,16 @@ def _export_csv(raw: DataFrame) -> DataFrame:
 
 
 def _constraint_violations(raw: DataFrame) -> DataFrame:
-    fact, dims = _fact(raw)
-    applications = load.applications(raw)
+    """All tables of a load, from rows that are stored once."""
+    rows = written(load.journeys(raw), "journeys")
+    candidates = rows.select(TABLES["candidates"].names)
+    dims = star.dimensions(candidates)
     tables = dims | {
-        "candidates": load.candidates(raw),
-        "applications": applications,
-        "stage_events": stages.closed_stage_events(load.journeys(raw)),
-        "dim_time": star.dim_time(applications),
-        "fact_application": fact,
+        "candidates": candidates,
+        "applications": rows.select(TABLES["applications"].names),
+        "stage_events": stages.closed_stage_events(rows),
+        "dim_time": star.dim_time(rows),
+        "fact_application": star.fact_application(rows, dims),
     }
     return quality.constraint_violations(tables)
 

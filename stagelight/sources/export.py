@@ -10,10 +10,19 @@ from pyspark.sql import types as T
 
 
 def _plain(field: T.StructField) -> Column:
-    """Whole fractional numbers print without a fraction: 7, not 7.0."""
+    """Fractional numbers in fixed notation, whole ones without a fraction: 7, not 7.0, and 12345678, not 1.2345678E7.
+
+    From 10^28 on and below 10^-20 they keep the exponent.
+    """
+    number = F.col(f"`{field.name}`")
     if not isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        return F.col(f"`{field.name}`")
-    return F.regexp_replace(F.col(f"`{field.name}`").cast("string"), r"\.0$", "").alias(field.name)
+        return number
+    size, text = F.abs(number), number.cast("string")
+    fixed = F.when((size >= 1e7) & (size < 1e28), text.try_cast("decimal(38,9)").cast("string"))
+    fixed = fixed.when((size < 1e-3) & (size >= 1e-20), text.try_cast("decimal(38,37)").cast("string")).otherwise(text)
+    whole = F.regexp_replace(fixed, r"\.0+$", "")
+    shown = F.when(fixed.rlike("[.][0-9]*[1-9]0+$"), F.regexp_replace(fixed, "0+$", "")).otherwise(whole)
+    return shown.alias(field.name)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -1,19 +1,30 @@
-"""The stored tables. A load replaces them, so loading the same rows twice gives the same tables."""
+"""The stored tables. A load replaces them all at once, so loading the same rows twice gives the same tables.
+
+A load writes to a folder of its own, ``load-...``, and checks what it wrote; only then a line in ``_loads`` makes it
+the one that is read. A load that fails leaves the tables as they were. Tables that lie directly in the folder, as the
+incremental load writes them, are read where there is no such line.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stagelight.operators import star
 from stagelight.operators.load import journeys
 from stagelight.operators.marts import applications_flat
 from stagelight.operators.quality import constraint_violations
 from stagelight.operators.stages import closed_stage_events
-from stagelight.schemas import BASE_DATE, CONSTRAINTS, TABLES
+from stagelight.plans.shared import remove, scratch
+from stagelight.schemas import BASE_DATE, CONSTRAINTS, STAGES, TABLES, Stage
 
 BASE_TABLES = ["candidates", "applications", "stage_events"]
+LOADS = "number long, load string"
 
 
 def conformed(df: DataFrame, name: str) -> DataFrame:
@@ -21,12 +32,34 @@ def conformed(df: DataFrame, name: str) -> DataFrame:
     return df.select([df[f.name].cast(f.dataType).alias(f.name) for f in TABLES[name]])
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def _loads(spark: SparkSession, folder: str) -> list[tuple[int, str]]:
+    """Number and folder of every load that came to its end, oldest first. A line per load."""
+    try:
+        rows = spark.read.schema(LOADS).json(f"{folder}/_loads").collect()
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return []
+    return sorted((row["number"], row["load"]) for row in rows)
+
+
+def current_folder(spark: SparkSession, folder: str) -> str:
+    """Where the tables of the last finished load lie."""
+    loads = _loads(spark, folder)
+    return f"{folder}/{loads[-1][1]}" if loads else folder
+
+
+def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}")
 
 
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return _read(spark, current_folder(spark, folder), name)
+
+
 def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: read_table(spark, folder, name) for name in TABLES}
+    current = current_folder(spark, folder)
+    return {name: _read(spark, current, name) for name in TABLES}
 
 
 def write_table(df: DataFrame, folder: str, name: str) -> DataFrame:
@@ -35,56 +68,86 @@ def write_table(df: DataFrame, folder: str, name: str) -> DataFrame:
     if name.startswith("dim_"):
         writer = writer.option("compression", "uncompressed")
     writer.parquet(f"{folder}/{name}")
-    return read_table(df.sparkSession, folder, name)
+    return _read(df.sparkSession, folder, name)
 
 
-def base_frames(rows: DataFrame) -> dict[str, DataFrame]:
+def base_frames(rows: DataFrame, stages: Sequence[Stage] = STAGES) -> dict[str, DataFrame]:
     """Candidates, applications and closed stage events: projections of journeys, batch or streaming."""
     return {
         "candidates": rows.select(TABLES["candidates"].names),
         "applications": rows.select(TABLES["applications"].names),
-        "stage_events": closed_stage_events(rows),
+        "stage_events": closed_stage_events(rows, stages),
     }
 
 
-def write_star(base_tables: dict[str, DataFrame], flat: DataFrame, folder: str) -> dict[str, DataFrame]:
+def write_star(
+    base_tables: dict[str, DataFrame], flat: DataFrame, folder: str, assigned: dict[str, Column] | None = None
+) -> dict[str, DataFrame]:
     """Write dimensions and facts from the stored base tables and record-level rows of applications.
 
     Dimensions come first, so that the fact joins stored tables of known size; they read a few columns of stored
     tables rather than the raw rows again.
     """
-    dims = star.dimensions(base_tables["candidates"]) | {"dim_time": star.dim_time(base_tables["applications"])}
-    tables = {name: write_table(dim, folder, name) for name, dim in dims.items()}
+    with scratch(flat.sparkSession):
+        dims = star.dimensions(base_tables["candidates"]) | {"dim_time": star.dim_time(base_tables["applications"])}
+        tables = {name: write_table(dim, folder, name) for name, dim in dims.items()}
     facts = {
-        "fact_application": star.fact_application(flat, tables),
+        "fact_application": star.fact_application(flat, tables, assigned),
         "fact_stage_event": star.fact_stage_event(base_tables["stage_events"]),
     }
     return tables | {name: write_table(fact, folder, name) for name, fact in facts.items()}
 
 
-def _require_unique_candidates(candidates: DataFrame) -> None:
-    """Fail on a NULL or repeated candidate_id. All other ids derive from it, and every join relies on it."""
-    key_rule = {"candidates": CONSTRAINTS["candidates"]}
-    found = constraint_violations({"candidates": candidates}, key_rule).first()
+def _require_sound(tables: dict[str, DataFrame]) -> None:
+    """Fail on a NULL or repeated candidate_id, and on NULLs in required columns. All ids derive from that one."""
+    found = constraint_violations(tables, {"candidates": CONSTRAINTS["candidates"]}).first()
     if found.violations:
         raise ValueError(f"{found.violations} of {found.rows_checked} raw rows have no serial_no or repeat one")
+    for name, df in tables.items():
+        missing = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in CONSTRAINTS[name].required] or [F.lit(0)])
+        broken = {column: n for column, n in missing.first().asDict().items() if n}
+        if broken:
+            raise ValueError(f"{name} has rows without a value: {broken}")
 
 
 def write_tables(
-    raw: DataFrame, folder: str, base: dt.date = BASE_DATE, check_key: bool = True
+    raw: DataFrame,
+    folder: str,
+    base: dt.date = BASE_DATE,
+    check: bool = True,
+    applied_on: Column | None = None,
+    stages: Sequence[Stage] = STAGES,
+    assigned: dict[str, Column] | None = None,
 ) -> dict[str, DataFrame]:
-    """Load raw rows into base tables and star schema under ``folder``.
+    """Load raw rows into base tables and star schema under ``folder``, in place of the last load.
 
-    A NULL or repeated serial_no breaks the primary key of candidates: the load stops with an error before it writes
-    applications. ``check_key=False`` skips that count of distinct keys for rows known to be sound.
+    ``applied_on`` gives application dates instead of ``base`` plus serial_no days, ``stages`` the funnel, ``assigned``
+    the recruiter, source and role keys of the fact. A NULL or repeated serial_no, or a NULL in a column that its
+    table requires, stops the load with an error, and the tables of the load before stay; ``check=False`` skips those
+    counts for rows known to be sound. The load before the last stays in the folder for whoever still reads it.
 
     Every big table is a projection of the raw rows, so no write shuffles them, but four of them read ``raw``. Where
-    that is dear, as with text or a join, store it first: ``write_tables(written(raw, "raw"), folder)``.
+    that is dear, as with text or a join, store it first and remove it afterwards::
+
+        with scratch(spark):
+            write_tables(written(raw, "raw"), folder)
     """
-    rows = journeys(raw, base)
-    tables = {}
-    for name, df in base_frames(rows).items():
-        tables[name] = write_table(df, folder, name)
-        if check_key and name == "candidates":
-            _require_unique_candidates(tables[name])
-    return tables | write_star(tables, applications_flat(rows), folder)
+    spark = raw.sparkSession
+    rows = journeys(raw, base, applied_on, stages)
+    loads = _loads(spark, folder)
+    load = f"load-{uuid.uuid4().hex}"
+    own = f"{folder}/{load}"
+    try:
+        tables = {name: write_table(df, own, name) for name, df in base_frames(rows, stages).items()}
+        if check:
+            _require_sound(tables)
+        tables |= write_star(tables, applications_flat(rows), own, assigned)
+    except BaseException:
+        remove(spark, own)
+        raise
+    number = loads[-1][0] + 1 if loads else 1
+    line = spark.createDataFrame([(number, load)], LOADS).coalesce(1)
+    line.write.mode("append").json(f"{folder}/_loads")  # committed as a whole: from here on the load is read
+    for _, old in loads[:-1]:
+        remove(spark, f"{folder}/{old}")
+    return tables

@@ -6,11 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import golden
-from stagelight.functions.dates import add_days, days_after, week_of_year
+from stagelight.functions.dates import EPOCH, LAST_DAY, add_days, days_after, month_text, week_of_year
 from stagelight.functions.rates import rate
 from stagelight.operators import load, marts, quality, stages, star
-from stagelight.schemas import LAST_DATE, RAW, RAW_SOURCE_NAMES, TABLES
-from stagelight.sources.raw import cast_failures, read_raw, read_raw_text
+from stagelight.schemas import RAW, RAW_SOURCE_NAMES, TABLES
+from stagelight.sources.raw import BROKEN_LINE, cast_failures, read_raw, read_raw_text
 
 BLANK = {name: None for name in RAW.names}
 
@@ -150,29 +150,31 @@ def test_week_of_year_on_every_day_of_fifty_years(spark):
     assert all(r.w == int(r.d.strftime("%W")) for r in rows)
 
 
-def test_dates_end_with_the_calendar(spark):
+def test_dates_run_to_the_end_of_the_type_and_then_stop(spark):
     base = dt.date(2024, 1, 1)
-    far = (LAST_DATE - base).days
-    offsets = [(-1,), (0,), (366,), (far,), (far + 1,), (10**14,), (None,)]
-    df = spark.createDataFrame(offsets, "n long").select(days_after(base, F.col("n")).alias("d"))
-    assert [r.d for r in df.collect()] == [None, base, dt.date(2025, 1, 1), LAST_DATE, None, None, None]
-    ends = df.where("d is not null").select(add_days(F.col("d"), 21).alias("d"))
-    assert [r.d for r in ends.collect()] == [dt.date(2024, 1, 22), dt.date(2025, 1, 22), None]
-
-
-def test_events_past_the_calendar_are_kept_without_a_date(spark):
-    far = (LAST_DATE - dt.date(2024, 1, 1)).days
-    raw = raw_of(
-        spark,
-        {"serial_no": far - 5, "education": "Graduate", "python_exp": "Yes", "offer_history": 1},
-        {"serial_no": 10**13, "education": "Graduate", "recruitment_status": "Y"},
-    )
-    rows = load.journeys(raw)
-    projected = sorted(map(repr, stages.closed_stage_events(rows).collect()))
-    windowed = sorted(map(repr, stages.stage_events_closed(stages.stage_events(rows)).collect()))
-    assert len(projected) == 7
-    assert projected == windowed
-    assert star.dim_time(load.applications(raw)).count() == 1
+    first = (base - EPOCH).days
+    far = LAST_DAY - first
+    offsets = [(-1,), (0,), (366,), (2_913_000,), (far,), (None,)]
+    days = spark.createDataFrame(offsets, "n long").select(days_after(base, F.col("n")).alias("d"))
+    numbers = [r[0] for r in days.select(F.unix_date("d")).collect()]
+    assert numbers == [None, first, first + 366, first + 2_913_000, LAST_DAY, None]
+    later = days.where(F.unix_date("d") < LAST_DAY).select(F.unix_date(add_days(F.col("d"), 21)))
+    assert [r[0] for r in later.collect()] == [first + 21, first + 387, first + 2_913_021]
+    for broken in (
+        spark.createDataFrame([(far + 1,)], "n long").select(days_after(base, F.col("n"))),
+        spark.createDataFrame([((1 << 63) - 1,)], "n long").select(days_after(base, F.col("n"))),
+        days.where(F.unix_date("d") == LAST_DAY).select(add_days(F.col("d"), 1)),
+    ):
+        with pytest.raises(Exception, match="end of the calendar"):
+            broken.collect()
+
+
+def test_months_of_any_year(spark):
+    days = [dt.date(2024, 3, 5), dt.date(999, 12, 1), None]
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    far = spark.range(1).select(days_after(dt.date(2024, 1, 1), F.lit(15_000_000)).alias("d"))
+    found = df.unionByName(far).select(month_text(F.col("d"))).collect()
+    assert [r[0] for r in found] == ["2024-03", "0999-12", None, "43092-08"]
 
 
 def test_applied_on_replaces_the_day_rule(spark):
@@ -212,7 +214,7 @@ def test_raw_file_as_text(spark, tmp_path):
     )
     failures = {r.column_name: r.failed_casts for r in cast_failures(read_raw_text(spark, str(path))).collect()}
     assert failures == {
-        "serial_no": 0, "experience_years": 2, "score": 1, "salary_band": 1, "offer_history": 1,
+        "serial_no": 0, "experience_years": 2, "score": 1, "salary_band": 1, "offer_history": 1, BROKEN_LINE: 0,
     }
     raw = read_raw(spark, str(path))
     assert raw.schema == RAW
@@ -225,6 +227,26 @@ def test_raw_file_as_text(spark, tmp_path):
     ]
 
 
+def test_lines_with_too_many_or_too_few_fields_are_counted(spark, tmp_path):
+    sound = "1,Male,Graduate,3,Yes,No,4500,Urban,1.25,1,Y"
+    path = tmp_path / "raw.csv"
+    path.write_text("\n".join([",".join(RAW_SOURCE_NAMES), sound, "2" + sound[1:] + ",more,and more", "3,Male", ""]))
+    text = read_raw_text(spark, str(path))
+    failures = {r.column_name: r.failed_casts for r in cast_failures(text).collect()}
+    assert failures[BROKEN_LINE] == 2 and sum(failures.values()) == 2
+    marked = text.where(F.col(BROKEN_LINE).isNotNull()).orderBy("serial_no").collect()
+    assert [r[BROKEN_LINE] for r in marked] == ["2" + sound[1:] + ",more,and more", "3,Male"]
+    assert read_raw(spark, str(path)).columns == RAW.names and read_raw(spark, str(path)).count() == 3
+
+
+def test_more_columns_pass_the_typing(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text(",".join([*RAW_SOURCE_NAMES, "Seen"]) + "\n1,Male,Graduate,3,Yes,No,4500,Urban,1.25,1,Y,2020-02-29\n")
+    raw = read_raw(spark, str(path), extra=["Seen"])
+    assert raw.columns == [*RAW.names, "Seen"]
+    assert load.applications(raw, applied_on=F.col("Seen")).collect()[0].applied_at == dt.date(2020, 2, 29)
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
 def test_raw_formats(spark, tmp_path, fmt):
     raw = golden.golden_raw(spark)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import golden
 from stagelight.operators import load, marts, stages, star
+from stagelight.plans.shared import scratch, written
 from stagelight.sources.export import export_csv, export_results
 from stagelight.sources.warehouse import read_tables, write_tables
 
@@ -122,7 +123,46 @@ def test_load_stops_at_a_broken_key(spark, raw, tmp_path, serial_no):
     broken = raw.unionByName(raw.limit(1).withColumn("serial_no", F.lit(serial_no).cast("long")))
     with pytest.raises(ValueError, match="1 of 615"):
         write_tables(broken, str(tmp_path / "broken"))
-    assert not (tmp_path / "broken" / "applications").exists()
+    assert not any((tmp_path / "broken").glob("load-*"))
+
+
+def test_a_refused_load_leaves_the_last_one(spark, raw, tmp_path):
+    folder = str(tmp_path / "stored")
+
+    def snapshot():
+        return {name: sorted(map(repr, df.collect())) for name, df in read_tables(spark, folder).items()}
+
+    write_tables(raw.where("serial_no <= 10"), folder)
+    first = snapshot()
+    few = raw.where("serial_no <= 3")
+    for broken, options in [
+        (few.unionByName(few.limit(1)), {}),
+        (few.withColumn("on", F.when(F.col("serial_no") > 1, "2024-01-01")), {"applied_on": F.col("on")}),
+    ]:
+        with pytest.raises(ValueError):
+            write_tables(broken, folder, **options)
+        assert snapshot() == first
+        assert len(list((tmp_path / "stored").glob("load-*"))) == 1
+    for _ in range(3):
+        write_tables(few, folder)
+    assert len(snapshot()["applications"]) == 3
+    assert len(list((tmp_path / "stored").glob("load-*"))) == 2  # the last one and the one before
+
+
+def test_a_load_leaves_nothing_in_the_shared_folder(spark, raw, tmp_path):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {p.name for p in shared.glob("*")}
+    with scratch(spark):
+        write_tables(written(raw, "raw"), str(tmp_path / "stored"))
+    assert {p.name for p in shared.glob("*")} == before
+
+
+def test_large_and_small_doubles_are_exported_in_fixed_notation(spark, tmp_path):
+    values = [12345678.0, 123456789012.0, 12345678.25, 7.0, 0.5, 1e7, -98765432.1, 0.00012, 1200.0, 0.0, 100.50]
+    spark.createDataFrame([(k, v) for k, v in enumerate(values)], "k int, v double").coalesce(1).write.parquet(str(tmp_path / "v"))
+    export_csv(spark.read.parquet(str(tmp_path / "v")).orderBy("k").select("v"), str(tmp_path / "v.csv"))
+    expected = ["12345678", "123456789012", "12345678.25", "7", "0.5", "10000000", "-98765432.1", "0.00012", "1200", "0", "100.5"]
+    assert lines(tmp_path / "v.csv") == expected
 
 
 def lines(path):

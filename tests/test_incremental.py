@@ -32,9 +32,9 @@ def snapshot(spark, folder):
 def test_files_are_loaded_once_and_give_the_batch_result(spark, tmp_path, deliver):
     stream, batch = str(tmp_path / "stream"), str(tmp_path / "batch")
     source = deliver("a.csv", 0, 400)
-    load_new_files(spark, source, stream)
+    assert load_new_files(spark, source, stream) == 0
     assert read_table(spark, stream, "applications").count() == 400
-    load_new_files(spark, source, stream)
+    assert load_new_files(spark, source, stream) == 0
     assert read_table(spark, stream, "applications").count() == 400
     deliver("b.csv", 400, 614)
     load_new_files(spark, source, stream)
@@ -48,3 +48,10 @@ def test_files_are_loaded_once_and_give_the_batch_result(spark, tmp_path, delive
     for name, table in star.items():
         assert sorted(map(repr, table.collect())) == sorted(map(repr, stored[name].collect())), name
     assert [tuple(r) for r in marts.stage_durations(star["fact_stage_event"]).collect()] == golden.DURATIONS
+
+
+def test_ids_loaded_before_are_reported(spark, tmp_path, deliver):
+    source = deliver("a.csv", 0, 50)
+    assert load_new_files(spark, source, str(tmp_path / "stream")) == 0
+    deliver("b.csv", 40, 60)
+    assert load_new_files(spark, source, str(tmp_path / "stream")) == 10

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 import golden
-from stagelight.operators import load, marts, stages, star
-from stagelight.schemas import RAW
+from stagelight import registry
+from stagelight.operators import load, marts, quality, stages, star
+from stagelight.schemas import CONSTRAINTS, RAW
 from stagelight.sources.warehouse import read_tables, write_tables
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -120,15 +121,32 @@ def test_facts_meet_after_one_shuffle_each(spark, tables):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_the_hot_branch_vanishes_when_no_application_is_hot(tables):
-    plan = final_plan(stages.stage_events_closed(tables["stage_events"]))
+def test_exits_take_one_window_of_combined_days(tables):
+    plan = static_plan(stages.stage_events_closed(tables["stage_events"]))
     assert count(plan, "Window") == 1
-    assert count(plan, "Union") == 0
-    assert count(plan, "Exchange hashpartitioning") == 1
+    assert "partial_max(stage_event_id" in plan
+
+
+def test_events_from_tables_shuffle_applications_once(spark, tables):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        raw = spark.createDataFrame([], RAW)
+        plan = static_plan(stages.stage_events_from_tables(tables["applications"], tables["candidates"], raw))
+        assert len(re.findall(r"FileScan parquet \[application_id", plan)) == 1
+        assert count(plan, "SortMergeJoin") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_constraints_read_every_table_once(tables):
+    plan = static_plan(quality.constraint_violations(tables))
+    assert count(plan, "FileScan parquet") == len(CONSTRAINTS)
+    assert count(plan, "Exchange hashpartitioning") == 2
 
 
 def test_no_python_runs_in_any_task(spark):
-    for name, query in entry_point.queries().items():
+    for name, query in registry.queries().items():
         plan = static_plan(query(spark, SF_DIR))
         assert not re.search(r"Python|Pandas|Arrow", plan), name
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name

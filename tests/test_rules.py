@@ -7,8 +7,10 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from stagelight.operators import load, marts, stages
+from stagelight.operators import load, marts, stages, star
 from stagelight.schemas import RAW, Stage
+from stagelight.sources.views import create_views
+from stagelight.sources.warehouse import write_tables
 
 
 def random_rules(rng):
@@ -60,13 +62,41 @@ def test_projected_exits_equal_windowed_exits(spark, seed):
     events = stages.stage_events(rows, rules)
     assert Counter(map(tuple, projected.collect())) == expected
     assert Counter(map(tuple, stages.stage_events_closed(events).collect())) == expected
-    assert Counter(map(tuple, stages.stage_events_closed(events, 1).collect())) == expected
     funnel = [(s.name, counts[s.name]) for s in rules if counts[s.name]]
     assert [tuple(r) for r in marts.funnel_counts(rows, rules).collect()] == funnel
     assert [tuple(r) for r in marts.funnel_counts(stages.reached_stages(events, rules), rules).collect()] == funnel
 
 
-def test_more_stages_than_ids_allow(spark):
-    rules = [Stage(f"S{i}", i, "raw", lambda: F.lit(True)) for i in range(10)]
-    with pytest.raises(ValueError):
-        stages.stage_events(load.journeys(spark.createDataFrame([], RAW), stages=rules), rules)
+def test_more_than_nine_stages(spark):
+    rules = [Stage(f"S{i}", i, "raw", lambda: F.lit(True)) for i in range(12)]
+    raw = spark.createDataFrame(random_raw(random.Random(5), 20), RAW)
+    rows = load.journeys(raw, stages=rules)
+    events = stages.stage_events(rows, rules)
+    assert events.select("stage_event_id").distinct().count() == events.count() == 240
+    closed = Counter(map(tuple, stages.closed_stage_events(rows, rules).collect()))
+    assert closed == Counter(map(tuple, stages.stage_events_closed(events).collect()))
+
+
+def test_own_stages_give_the_same_from_rows_facts_and_views(spark, tmp_path):
+    rules = [
+        Stage("Seen", 0, "applications", lambda: F.lit(True)),
+        Stage("Urban", 3, "candidates", lambda: F.col("location") == "Urban"),
+    ]
+    raw = spark.createDataFrame(random_raw(random.Random(8), 120), RAW).withColumn("on", F.lit("2021-05-06"))
+    own = {"recruiter_key": F.lit(2), "source_key": F.lit(3), "role_key": F.lit(4)}
+    tables = write_tables(raw, str(tmp_path), applied_on=F.col("on"), stages=rules, assigned=own)
+    rows = star.with_assigned_keys(load.journeys(raw, applied_on=F.col("on"), stages=rules), own)
+    reached = marts.with_reached(tables["fact_application"], tables["fact_stage_event"], rules)
+    create_views(tables, rules)
+
+    def same(direct, stored, view):
+        found = [sorted(map(tuple, df.collect())) for df in (direct, stored, spark.table(view))]
+        assert found[0] == found[1] == found[2] and found[0]
+        return found[0]
+
+    dims = star.listed_dims(spark)
+    slices = same(marts.funnel_by_slice(rows, dims, rules), marts.funnel_by_slice(reached, tables, rules), "v_funnel_by_slice")
+    assert {r[:3] for r in slices} == {("BI Analyst", "Job Board", "Sam")} and slices[0][4] == 120
+    cohorts = same(marts.cohort_conversion(rows, rules), marts.cohort_conversion(reached, rules), "v_cohort_conversion")
+    assert [r[:2] for r in cohorts] == [("2021-05", 120)]
+    assert spark.table("v_funnel_counts").count() == 2 and spark.table("v_conversion_overall").first()["seen"] == 120
