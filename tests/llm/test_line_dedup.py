@@ -1,0 +1,120 @@
+import pytest
+from helpers import DOCS, by_id, documents, least_reachable, prose, similar
+from pyspark.sql import functions as F
+
+from stagelight.llm import line_dedup
+from stagelight.llm.line_dedup import BANDS, Likeness
+
+
+def shingles(line, width=8):
+    raw = line.encode("utf-16-be")
+    count = max(1, len(raw) // 2 - width + 1)
+    return {raw[2 * k : 2 * (k + width)] for k in range(count)}
+
+
+def brute(rows, like=Likeness()):
+    """doc_id to (n_lines, n_kept, text) with all pairs compared."""
+    places = {}
+    for i, text in rows:
+        for k, line in enumerate((text or "").split("\n")):
+            if line.strip(" "):
+                places.setdefault(line, []).append((i, k))
+    lines = list(places)
+    sets = [shingles(line, like.width) for line in lines]
+    root = least_reachable(range(len(lines)), lambda a, b: similar(sets[a], sets[b], like.percent))
+    first = {}
+    for k, line in enumerate(lines):
+        first[root[k]] = min(first.get(root[k], (1 << 62, 0)), min(places[line]))
+    number = {line: k for k, line in enumerate(lines)}
+    result = {}
+    for i, text in rows:
+        parts = (text or "").split("\n")
+        stays = [not p.strip(" ") or first[root[number[p]]] == (i, k) for k, p in enumerate(parts)]
+        real = [bool(p.strip(" ")) for p in parts]
+        kept = "\n".join(p for p, s in zip(parts, stays, strict=True) if s)
+        result[i] = (sum(real), sum(a and b for a, b in zip(real, stays, strict=True)), text if text is None else kept)
+    return result
+
+
+def check(spark, texts):
+    docs = documents(spark, texts, clashing=("key", "line", "gone", "n_kept", "bucket", "gone_id", "text_hash"))
+    found = line_dedup.deduplicated(docs)
+    assert found.columns == [*docs.columns, "n_lines", "n_kept_"]
+    rows = {i: (r["n_lines"], r["n_kept_"], r["text"]) for i, r in by_id(found).items()}
+    assert rows == brute(list(enumerate(texts)))
+
+
+def test_as_all_pairs(spark, rng):
+    base = [prose(rng, 40) for _ in range(6)]
+    texts = []
+    for _ in range(50):
+        lines = []
+        for _ in range(rng.randrange(1, 6)):
+            words = rng.choice(base).split() if rng.random() < 0.5 else prose(rng, rng.randrange(3, 30)).split()
+            if rng.random() < 0.5:
+                words[rng.randrange(len(words))] = "edit"
+            lines.append(" ".join(words))
+        texts.append("\n".join(lines))
+    check(spark, texts)
+
+
+def test_short_blank_null_and_long_lines(spark, rng):
+    long = prose(rng, 6000)  # several stretches
+    texts = ["a\na\n\nb", "a ", "", None, " \n  \n", "ab\n\n\nab", long, long + " end\nx", "Éé\U0001f600" * 30, "Éé\U0001f600" * 29]
+    texts += ["exactly8", "exactly8\nexactly9!", "same line in all of them here\n" * 5]
+    check(spark, texts)
+
+
+def test_a_hot_line_and_many_near_copies_of_one(spark, rng):
+    base = prose(rng, 30)
+    variants = []
+    for k in range(120):
+        words = base.split()
+        words[k % 30] = f"v{k}"
+        variants.append(" ".join(words))
+    texts = [f"hot line that every document has\n{v}" for v in variants]
+    docs = documents(spark, texts)
+    found = by_id(line_dedup.deduplicated(docs))
+    assert found[0]["n_kept"] == 2 and all(found[k]["n_kept"] == 0 for k in range(1, 120))
+
+
+def test_null_and_repeated_ids(spark):
+    docs = documents(spark, ["one line of text\nother", "one line of text\nother", "one line of text"], ids=[3, 3, None])
+    rows = line_dedup.deduplicated(docs).collect()
+    assert sorted((r["doc_id"] or 0, r["n_kept"]) for r in rows) == [(0, 0), (3, 2), (3, 2)]
+
+
+def test_empty_table(spark):
+    assert line_dedup.deduplicated(spark.createDataFrame([], DOCS)).collect() == []
+
+
+@pytest.mark.parametrize("percent, least", [(80, 0.95), (90, 0.99)])
+def test_recall_of_the_bands(spark, percent, least):
+    """Signatures of random sets at the threshold agree on a band nearly always, and their places hold their share."""
+    shared = 90
+    own = round(shared * (100 - percent) / percent / 2)
+    rows = []
+    for k in range(400):
+        both = "".join(chr(0x4E00 + (k * 977 + j * 31) % 20_000) for j in range(shared))
+        rows += [(2 * k, [both[j : j + 1] * 8 for j in range(shared)], own), (2 * k + 1, [both[j : j + 1] * 8 for j in range(shared)], own)]
+    lines = []
+    for i, parts, extra in rows:
+        # every character repeated eight times and set apart by its own: a shingle that stands for itself
+        tail = [chr(0xAC00 + (i * 389 + j * 57) % 11_000) * 8 for j in range(extra)]
+        lines.append((i, [hash8 for hash8 in (*parts, *tail)]))
+    cells = spark.createDataFrame([(i, h) for i, hs in lines for h in hs], "key long, shingle string")
+    like = Likeness()
+    one_each = cells.select("key", F.col("shingle").alias("line"))
+    signatures = line_dedup._signatures(one_each, like)
+    buckets = line_dedup._buckets(signatures).withColumn("pair", F.floor(F.col("key") / 2))
+    met = buckets.groupBy("pair", "bucket").agg(F.countDistinct("key").alias("n")).where("n = 2")
+    assert met.select("pair").distinct().count() >= least * 400
+
+
+def test_bands_are_parallel_classes():
+    assert all(sorted(sum(BANDS[k : k + 4], ())) == list(range(16)) for k in (0, 4, 8))
+
+
+def test_plan_runs_no_python(spark):
+    plan = line_dedup.deduplicated(documents(spark, ["a b c\nd"]))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -1,0 +1,108 @@
+import numpy as np
+from helpers import DOCS, by_id, documents, least_reachable, prose, shingles, similar
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from stagelight.llm import ngram_join
+from stagelight.llm.components import components
+from stagelight.llm.ngram_join import Similarity
+
+
+def check(spark, texts, **parameters):
+    docs = documents(spark, texts, clashing=("class", "hash", "n", "component_id"))
+    found = by_id(ngram_join.linked(docs, **parameters))
+    sets = [shingles(t) for t in texts]
+    expected = least_reachable(range(len(texts)), lambda a, b: similar(sets[a], sets[b]))
+    assert {i: r["component_id"] for i, r in found.items()} == expected
+    assert {i: r["n_shingles"] for i, r in found.items()} == {i: len(s) for i, s in enumerate(sets)}
+    return found
+
+
+def edited(rng, text, edits):
+    words = text.split()
+    for _ in range(edits):
+        words[rng.randrange(len(words))] = f"e{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def test_families_passages_and_edges(spark, rng):
+    base = [prose(rng, 120) for _ in range(4)]
+    texts = [edited(rng, base[k % 4], k % 7) for k in range(60)]
+    passage = prose(rng, 60, 10**6)
+    texts += [f"{prose(rng, 90)} {passage} {prose(rng, 90)}" for _ in range(20)]  # share a passage, no more
+    texts += ["", None, "  \t\n", "one", "ONE", "one two", "one  two", "one two three four", "É é", "é é"]
+    texts += [base[0], base[0].upper(), base[0].replace(" ", "\n\t")]  # one set
+    check(spark, texts)
+
+
+def test_block_size_does_not_matter(spark, rng):
+    base = prose(rng, 80)
+    texts = [edited(rng, base, k % 4) for k in range(50)]
+    sizes = [check(spark, texts, block_rows=rows) for rows in (3, 512)]
+    assert sizes[0] == sizes[1]
+
+
+def test_exact_threshold(spark):
+    # 9 shingles against 10 with 8 shared: 8 / 11; 8 against 10 with 8 shared: 8 / 10
+    words = [f"w{k}" for k in range(14)]
+    check(spark, [" ".join(words), " ".join(words[:12]), " ".join(words[:11])])
+
+
+def test_chain_of_links(spark):
+    words = [f"w{k}" for k in range(200)]
+    texts = [" ".join(words[k : k + 100]) for k in range(0, 100, 8)]
+    found = check(spark, texts)
+    assert {r["component_id"] for r in found.values()} == {0}
+
+
+def test_null_and_repeated_ids(spark, rng):
+    base = prose(rng, 50)
+    docs = documents(spark, [base, base + " end", "alone here", None, base], ids=[None, 7, None, None, 7])
+    rows = sorted((r["doc_id"] or -1, r["n_shingles"], r["component_id"] or -1) for r in ngram_join.linked(docs).collect())
+    size = len(shingles(base))
+    assert rows == [(-1, 0, -1), (-1, 1, -1), (-1, size, 7), (7, size, 7), (7, size + 1, 7)]
+    kept = ngram_join.one_per_component(docs, ngram_join.linked(docs))
+    assert kept.columns == docs.columns and kept.count() == 5
+
+
+def test_one_per_component(spark, rng):
+    base = prose(rng, 60)
+    docs = documents(spark, [prose(rng, 30), base, base + " x", "", ""], clashing=("component_id",))
+    kept = ngram_join.one_per_component(docs, ngram_join.linked(docs))
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 3, 4]
+
+
+def test_empty_table(spark):
+    assert ngram_join.linked(spark.createDataFrame([], DOCS)).collect() == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 14), min_size=1), min_size=2, max_size=9), st.data())
+def test_forest_links_what_all_pairs_link(sets, data):
+    side = data.draw(st.integers(1, len(sets)))
+    first, second = np.arange(side), np.arange(len(sets)) if side == len(sets) else np.arange(side, len(sets))
+    arrays = [np.array(sorted(s), dtype=np.int64) for s in sets]
+    links = ngram_join.forest(arrays, first, second, Similarity())
+    allowed = {(a, b) for a in first for b in second if similar(sets[a], sets[b])}
+    assert all(pair in allowed for pair in links) and len(links) < len(sets)
+    nodes = range(len(sets))
+    both = [least_reachable(nodes, lambda a, b: (a, b) in pairs or (b, a) in pairs) for pairs in (set(links), allowed)]
+    assert both[0] == both[1]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.integers(0, 40), min_size=1), st.sets(st.integers(0, 40), max_size=12))
+def test_first_shingles_show_every_link(one, change):
+    other = one ^ change
+    if similar(one, other):
+        like, sizes = Similarity(), np.array([len(one), len(other)])
+        first, needed = like.first(sizes), like.needed(sizes)
+        heads = [set(sorted(s)[: first[k]]) for k, s in enumerate((one, other))]
+        assert len(heads[0] & heads[1]) >= max(needed)
+
+
+def test_components_of_paths_stars_and_rings(spark):
+    edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
+    found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == dict.fromkeys(range(41), 0) | dict.fromkeys(range(100, 160), 100) | dict.fromkeys((200, 201, 202), 200)
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []

@@ -1,0 +1,115 @@
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from helpers import DOCS, documents, prose
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from stagelight.llm import resharding
+from stagelight.llm.queries import op2_resharding
+from stagelight.llm.resharding import even, min_cost_flow
+
+STAY = lambda old, new: 0 if old == new else 1
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 40), min_size=1, max_size=6), st.integers(1, 6))
+def test_flow_moves_no_more_than_it_must(supplies, targets):
+    capacities = even(sum(supplies), targets)
+    moves = min_cost_flow(supplies, capacities, STAY)
+    for old, units in enumerate(supplies):
+        assert sum(v for (s, _), v in moves.items() if s == old) == units
+    for new, room in enumerate(capacities):
+        assert sum(v for (_, t), v in moves.items() if t == new) <= room
+    moved = sum(v for (s, t), v in moves.items() if s != t)
+    assert moved == sum(max(0, units - (capacities[k] if k < targets else 0)) for k, units in enumerate(supplies))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.data())
+def test_flow_is_cheapest_for_any_prices(data):
+    supplies = data.draw(st.lists(st.integers(0, 3), min_size=1, max_size=3))
+    capacities = data.draw(st.lists(st.integers(0, 4), min_size=1, max_size=3))
+    prices = [[data.draw(st.integers(0, 5)) for _ in capacities] for _ in supplies]
+    if sum(supplies) > sum(capacities):
+        with pytest.raises(ValueError, match="capacities"):
+            min_cost_flow(supplies, capacities, STAY)
+        return
+    moves = min_cost_flow(supplies, capacities, lambda s, t: prices[s][t])
+    units = [s for s, n in enumerate(supplies) for _ in range(n)]
+
+    def cheapest(k, room):
+        if k == len(units):
+            return 0
+        options = [prices[units[k]][t] + cheapest(k + 1, room[:t] + (room[t] - 1,) + room[t + 1 :]) for t in range(len(room)) if room[t]]
+        return min(options, default=10**9)
+
+    assert sum(v * prices[s][t] for (s, t), v in moves.items()) == cheapest(0, tuple(capacities))
+
+
+def hot_documents(spark, rng, count=400):
+    """A third in one old shard; some long texts, some null, empty and repeated ones."""
+    texts = [prose(rng, rng.randrange(1, 60)) for _ in range(count)]
+    texts[:6] = [None, "", "same", "same", prose(rng, 2000), "é" * 50]
+    docs = documents(spark, texts, clashing=("shard", "block", "slot", "old_shard", "size", "shard_old", "shard__p_id"))
+    return docs.withColumn("source", F.when(F.col("doc_id") % 3 == 0, 2).when(F.col("doc_id") % 7 > 0, F.col("doc_id") % 7)), texts
+
+
+@pytest.mark.parametrize("blocks", [1, 512])
+def test_even_capacities(spark, rng, blocks):
+    docs, texts = hot_documents(spark, rng)
+    plan = resharding.planned(docs, F.col("source"), 10, blocks=blocks)
+    moved = resharding.rewritten(docs, plan)
+    assert moved.columns == [*docs.columns, "shard_"]
+    rows = moved.collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(len(texts)))
+    assert all(r["text"] == texts[r["doc_id"]] for r in rows)
+    size = lambda r: len((r["text"] or "").encode()) + 8
+    sizes, largest = Counter(), max(map(size, rows))
+    for row in rows:
+        sizes[row["shard_"]] += size(row)
+    mean = sum(sizes.values()) / 10
+    cuts = Counter(new for _, new in plan.moves) + Counter(old for old, new in plan.moves)
+    assert set(sizes) <= set(range(10)) and all(abs(sizes[k] - mean) <= largest * max(1, cuts[k]) for k in range(10))
+    planned = sum(v for (old, new), v in plan.moves.items() if old != new)
+    really = sum(size(r) for r in rows if r["shard_"] != int(r["source"] or 0))
+    assert abs(planned - really) <= largest * len(plan.moves)
+
+
+def test_what_has_room_is_not_moved(spark, rng):
+    docs, _ = hot_documents(spark, rng)
+    plan = resharding.planned(docs, F.col("source"), [10**9] * 8)
+    assert all(old == new for old, new in plan.moves)
+    assert all(r["shard_"] == int(r["source"] or 0) for r in resharding.rewritten(docs, plan).collect())
+
+
+def test_slots_are_gapless(spark, rng):
+    rows = spark.createDataFrame([(rng.randrange(5), rng.randrange(40)) for _ in range(500)], "shard int, key long")
+    slots = defaultdict(list)
+    for row in resharding.with_slots(rows, ["key"], blocks=4).collect():
+        slots[row["shard"]].append(row["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_repeated_rows_null_ids_and_empty_table(spark):
+    docs = documents(spark, ["same"] * 8 + ["other"] * 4 + [None], ids=[5] * 8 + [None] * 4 + [None])
+    moved = resharding.rewritten(docs, resharding.planned(docs, F.lit(None), 3))
+    assert Counter((r["doc_id"], r["text"]) for r in moved.collect()) == {(5, "same"): 8, (None, "other"): 4, (None, None): 1}
+    empty = spark.createDataFrame([], DOCS)
+    plan = resharding.planned(empty, F.lit(0), 3)
+    assert plan.moves == {} and resharding.rewritten(empty, plan).collect() == []
+
+
+def test_query(spark, rng, tmp_path):
+    texts = [prose(rng, rng.randrange(1, 40)) for _ in range(800)] + [None, ""]
+    documents(spark, texts).withColumn("source", F.concat(F.lit("s"), F.col("doc_id") % 9)).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = op2_resharding(spark, str(tmp_path)).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(802))
+    for row in rows:
+        raw = (texts[row["doc_id"]] or "").encode()
+        assert (row["size"], row["text_crc32"], row["law"], row["grown_shard"]) == (len(raw) + 8, zlib.crc32(raw), "bytes", None)
+    sizes = np.bincount([r["shard"] for r in rows], weights=[r["size"] for r in rows], minlength=24)
+    assert len(sizes) == 24 and sizes.max() - sizes.min() <= 2 * max(r["size"] for r in rows)
