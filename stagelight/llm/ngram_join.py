@@ -357,7 +357,7 @@ def _roots(
     rows: DataFrame, classes: DataFrame, known: DataFrame, like: Similarity, block_rows: int, max_bits: int
 ) -> DataFrame:
     """node and root of every class that links to another one."""
-    shared = _active(classes.where("class is not null"), like, 1 << 18)
+    shared = _active(classes.where("class is not null"), like, 1 << 15)
     active = stored(known.join(shared, "owner").where("shared >= needed").select("class", "least_id"), "active")
     sets = _sets(rows, active, like.width, max_bits)
     pairs = _block_pairs(_columns(sets, like), block_rows)
