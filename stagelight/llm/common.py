@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stagelight.plans.shared import shared_path
+from stagelight.plans.shared import scratch, shared_path
 
 PACKAGE = Path(__file__).resolve().parent.parent
 _shipped: set[str] = set()
@@ -43,6 +44,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Build a table, write it to the shared folder, and remove what building it wrote there."""
+    path = shared_path(spark, f"llm-{label}")
+    with scratch(spark):
+        df = build()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it (names differ by more than case)."""
     taken = {column.lower() for column in df.columns}
@@ -64,7 +74,7 @@ def arrow_rows(schema: StructType | str, columns: dict) -> pa.RecordBatch:
     )
 
 
-def in_pieces(batch: pa.RecordBatch, column: str = "text", limit: int = 1 << 21):
+def in_pieces(batch: pa.RecordBatch, column: str = "text", limit: int = 1 << 20):
     """Slices of a batch with about ``limit`` bytes of text each; one row at least, never part of a text."""
     lengths = pa.compute.binary_length(batch.column(column)).to_pylist()
     start, size = 0, 0
