@@ -99,7 +99,8 @@ def bit_field(positions: DataFrame, bits: int) -> np.ndarray:
     field = np.zeros(bits // 8, dtype=np.uint8)
     for row in chunks.collect():
         start = row["chunk"] * (CHUNK_BITS // 8)
-        field[start : start + CHUNK_BITS // 8] = np.frombuffer(row["bits"], dtype=np.uint8)
+        part = np.frombuffer(row["bits"], dtype=np.uint8)[: len(field) - start]
+        field[start : start + len(part)] = part
     return field
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,12 +49,12 @@ def maybe_repeated(digests: DataFrame, max_bits: int) -> Callable[[Column], Colu
         fields.append(bit_field(often, bits))
     shared = spark.sparkContext.broadcast(fields)  # bits / 8 bytes per seed, whatever the input
 
-    @F.pandas_udf("boolean")
-    def admitted(first: pd.Series, second: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def admitted(first: pa.Array, second: pa.Array) -> pa.Array:
         hit = np.ones(len(first), dtype=bool)
         for field, at in zip(shared.value, (first.to_numpy(), second.to_numpy()), strict=True):
             hit &= bits_at(field, at)
-        return pd.Series(hit)
+        return pa.array(hit)
 
     return lambda digest: admitted(*_positions(digest, bits))
 

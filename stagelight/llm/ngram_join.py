@@ -22,14 +22,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagelight.llm.common import bit_field, bits_at, field_size, in_pieces, keyed_text, ship, stored
+from stagelight.llm.common import bit_field, bits_at, field_size, in_pieces, kept, keyed_text, ship, stored
 from stagelight.llm.components import components
 from stagelight.llm.text_arrays import Block, distinct_per_doc, mixed, shingle_hashes
+from stagelight.plans.shared import shared_path
 
 U64 = np.uint64
 
@@ -108,7 +108,10 @@ def _active(classes: DataFrame, like: Similarity, block_rows: int) -> DataFrame:
     blocks = max(1, -(-total // (8 * block_rows)))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Count shared shingles in the batch; send every shingle to its column block."""
+        """Count shared shingles in the batch; send every shingle, and the counts, to a column block.
+
+        A row holds hashes and the classes that have them, or classes and their counts.
+        """
         for batch in (piece for whole in batches for piece in in_pieces(whole, "head")):
             heads = batch.column("head").to_pylist()
             sizes = np.fromiter((len(h) // 8 for h in heads), dtype=np.int64, count=len(heads))
@@ -116,48 +119,39 @@ def _active(classes: DataFrame, like: Similarity, block_rows: int) -> DataFrame:
             owner = np.repeat(batch.column("owner").to_numpy(), sizes)
             hashes, owner, many = _shared(hashes, owner)
             seen, counts = np.unique(owner[many], return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(1, -1, dtype=np.int32)),
-                    pa.array([seen.tobytes()], pa.binary()),
-                    pa.array([counts.astype(np.int64).tobytes()], pa.binary()),
-                ],
-                names=["block", "hashes", "owners"],
-            )
             # A shingle that several classes of the batch hold goes as two nameless ones, not once per class.
             known = np.unique(hashes[many])
             sent = np.concatenate((hashes[~many], known, known))
             names = np.concatenate((owner[~many], np.zeros(len(known), np.int64), np.ones(len(known), np.int64)))
             to = (mixed(sent) % U64(blocks)).astype(np.int32)
             order = np.argsort(to, kind="stable")
-            cuts = np.flatnonzero(np.diff(to[order])) + 1
-            parts = [p for p in np.split(order, cuts) if len(p)]
+            parts = [p for p in np.split(order, np.flatnonzero(np.diff(to[order])) + 1) if len(p)]
+            rows = [(int(to[p[0]]), False, sent[p].tobytes(), names[p].tobytes()) for p in parts]
+            if len(seen):
+                rows.append((int(seen[0] % blocks), True, seen.tobytes(), counts.astype(np.int64).tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.array([to[p[0]] for p in parts], dtype=np.int32)),
-                    pa.array([sent[p].tobytes() for p in parts], pa.binary()),
-                    pa.array([names[p].tobytes() for p in parts], pa.binary()),
+                    pa.array([row[k] for row in rows], kind)
+                    for k, kind in enumerate((pa.int32(), pa.bool_(), pa.binary(), pa.binary()))
                 ],
-                names=["block", "hashes", "owners"],
+                names=["block", "counted", "left", "right"],
             )
 
-    def count(group: pd.DataFrame) -> pd.DataFrame:
-        hashes = np.frombuffer(b"".join(group["hashes"]), dtype=U64)
-        owner = np.frombuffer(b"".join(group["owners"]), dtype=np.int64)
+    def count(group: pa.Table) -> pa.Table:
+        left, right = [], []
+        for counted, a, b in zip(*(group[name].to_pylist() for name in ("counted", "left", "right")), strict=True):
+            (left if counted else right).append((a, b))
+        hashes = np.frombuffer(b"".join(a for a, _ in right), dtype=U64)
+        owner = np.frombuffer(b"".join(b for _, b in right), dtype=np.int64)
         hashes, owner, many = _shared(hashes, owner)
         seen, counts = np.unique(owner[many & (owner != 0) & (owner != 1)], return_counts=True)
-        return pd.DataFrame({"owner": seen, "shared": counts})
+        seen = np.concatenate([seen, *(np.frombuffer(a, dtype=np.int64) for a, _ in left)])
+        counts = np.concatenate([counts, *(np.frombuffer(b, dtype=np.int64) for _, b in left)])
+        return pa.table({"owner": seen, "shared": counts})
 
-    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for owners, counts in zip(batch["hashes"], batch["owners"], strict=True):
-                yield pd.DataFrame({"owner": np.frombuffer(owners, np.int64), "shared": np.frombuffer(counts, np.int64)})
-
-    schema = "owner long, shared long"
-    sent = stored(classes.select("owner", "head").mapInArrow(spread, "block int, hashes binary, owners binary"), "cols")
-    across = sent.where("block >= 0").groupBy("block").applyInPandas(count, schema)
-    within = sent.where("block < 0").mapInPandas(local, schema)
-    return across.unionByName(within).groupBy("owner").agg(F.sum("shared").alias("shared"))
+    sent = classes.select("owner", "head").mapInArrow(spread, "block int, counted boolean, left binary, right binary")
+    shared = sent.groupBy("block").applyInArrow(count, "owner long, shared long")
+    return shared.groupBy("owner").agg(F.sum("shared").alias("shared"))
 
 
 def _shared(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -335,33 +329,46 @@ def linked(
     counts last, so a component's id is null only where all ids in it are. Repeated rows are rows of their own with
     equal results. Other columns are not read; an empty table gives an empty result.
     """
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     rows = keyed_text(docs, id_col, text_col)
-    classes = stored(_classes(rows, like), "classes")
-    known = classes.where("class is not null").groupBy("class").agg(
-        F.min("doc_id").alias("least_id"), F.max("owner").alias("owner"), F.max("needed").alias("needed")
-    )
-    roots = _roots(rows, classes, known, like, block_rows, max_bits)
-    root = F.coalesce("root", "class").alias("root")
-    placed = known.join(roots.withColumnRenamed("node", "class"), "class", "left").select("class", "least_id", root)
-    placed = stored(placed, "placed")
-    least = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = placed.join(least, "root").select("class", "component_id")
-    found = classes.where("class is not null").join(named, "class")
-    empty = classes.where("class is null").withColumn("component_id", F.col("doc_id"))
+    found, active = _found_and_active(rows, like)
+
+    def roots() -> DataFrame:
+        sets = _sets(rows, active, like.width, max_bits)
+        return components(_links(_block_pairs(_columns(sets, like), block_rows), sets, like))
+
+    def placed() -> DataFrame:
+        root = F.coalesce("root", "class").alias("root")
+        known = found.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least_id"))
+        linked = kept(spark, "roots", roots).withColumnRenamed("node", "class")
+        placed = stored(known.join(linked, "class", "left").select("class", "least_id", root), "placed")
+        least = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
+        return placed.join(least, "root").select("class", "component_id")
+
+    named = kept(spark, "components", placed)
+    own = found.where("class is null").withColumn("component_id", F.col("doc_id"))
     result = ["doc_id", F.col("n").alias("n_shingles"), "component_id"]
-    return found.select(*result).unionByName(empty.select(*result))
+    return found.where("class is not null").join(named, "class").select(*result).unionByName(own.select(*result))
 
 
-def _roots(
-    rows: DataFrame, classes: DataFrame, known: DataFrame, like: Similarity, block_rows: int, max_bits: int
-) -> DataFrame:
-    """node and root of every class that links to another one."""
-    shared = _active(classes.where("class is not null"), like, 1 << 15)
-    active = stored(known.join(shared, "owner").where("shared >= needed").select("class", "least_id"), "active")
-    sets = _sets(rows, active, like.width, max_bits)
-    pairs = _block_pairs(_columns(sets, like), block_rows)
-    return components(_links(pairs, sets, like))
+def _found_and_active(rows: DataFrame, like: Similarity) -> tuple[DataFrame, DataFrame]:
+    """doc_id, n and class of every row, and class and least id of every active class."""
+    spark = rows.sparkSession
+    small = shared_path(spark, "llm-found")
+
+    def active() -> DataFrame:
+        classes = stored(_classes(rows, like), "classes")
+        classes.select("doc_id", "n", "class").write.parquet(small)
+        classes = classes.where("class is not null")
+        known = classes.groupBy("class").agg(
+            F.min("doc_id").alias("least_id"), F.max("owner").alias("owner"), F.max("needed").alias("needed")
+        )
+        shared = _active(classes, like, 1 << 15)
+        return known.join(shared, "owner").where("shared >= needed").select("class", "least_id")
+
+    actives = kept(spark, "active", active)
+    return spark.read.schema("doc_id long, n long, class binary").parquet(small), actives
 
 
 def one_per_component(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:

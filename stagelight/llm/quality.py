@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from stagelight.llm.common import in_pieces, keyed_text, ship, stored
 from stagelight.llm.text_arrays import BYTE_VALUE, GOLDEN, Block, mixed
+from stagelight.plans.shared import scratch
 
 U64 = np.uint64
 
@@ -149,11 +150,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from, shape: Shape = Shape())
         .limit(shape.max_rows)
     )
     sample = docs.join(F.broadcast(chosen), "doc_id").groupBy("text").agg(F.max("label").alias("label"))
-    counts = stored(_counts(sample.select("text", "label"), shape).withColumn("mark", F.xxhash64("buckets", "shares")), "grams")
-    rows = counts.orderBy("mark", "label").toLocalIterator()  # at most max_rows of bounded size
-    return train(
-        [(r["label"], np.frombuffer(r["buckets"], np.uint16), np.frombuffer(r["shares"], np.float32)) for r in rows], shape
-    )
+    with scratch(docs.sparkSession):
+        counts = _counts(sample.select("text", "label"), shape).withColumn("mark", F.xxhash64("buckets", "shares"))
+        rows = [
+            (row["label"], np.frombuffer(row["buckets"], np.uint16), np.frombuffer(row["shares"], np.float32))
+            for row in stored(counts, "grams").orderBy("mark", "label").toLocalIterator()  # max_rows of bounded size
+        ]
+    return train(rows, shape)
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

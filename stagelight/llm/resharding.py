@@ -97,30 +97,31 @@ class Plan:
     parted: DataFrame
     columns: dict[str, Column]
 
-    def assigned(self, docs: DataFrame, shard_col: str) -> DataFrame:
-        """``docs`` with columns ``shard_col`` and those of ``columns``, under names that start with ``shard_col``.
+    def assigned(self, docs: DataFrame, shard_col: str) -> tuple[DataFrame, str]:
+        """``docs`` with the new shard in ``shard_col`` and the old one in a further column, whose name is returned.
 
         ``whole`` has old shards x blocks rows and is broadcast; only documents of blocks that a cut parts are joined
         by their id.
         """
-        named = {f"{shard_col}_{name}": column for name, column in self.columns.items()}
-        old, block, crc, identity = (f"{shard_col}_{name}" for name in ("old", "block", "crc", "id"))
-        marked = docs.withColumns({k: v for k, v in named.items() if k != block})
-        marked = marked.withColumn(block, named[block](F.col(identity), F.col(crc)))
+        names = ["old", "block", "id", "crc", "p_old", "p_id", "p_crc", "p_shard"]
+        old, block, identity, crc, p_old, p_id, p_crc, p_shard = (unused(docs, f"{shard_col}_{n}") for n in names)
+        marked = docs.withColumns({old: self.columns["old"], identity: self.columns["id"], crc: self.columns["crc"]})
+        marked = marked.withColumn(block, self.columns["block"](F.col(identity), F.col(crc)))
         whole = self.whole.select(
             F.col("old_shard").alias(old), F.col("block").alias(block), F.col("shard").alias(shard_col)
         )
         placed = marked.join(F.broadcast(whole), [old, block])
-        own = [F.col(f"`{c}`") for c in marked.columns]
+        own = [F.col(f"`{c}`") for c in docs.columns] + [F.col(old)]
         parted = self.parted.select(
-            F.col("old_shard").alias("p_old"), F.col("doc_id").alias("p_id"), F.col("text_crc32").alias("p_crc"), "shard"
-        )
-        same = (F.col(old) == F.col("p_old")) & F.col(identity).eqNullSafe(F.col("p_id")) & (F.col(crc) == F.col("p_crc"))
-        split = placed.where(F.col(shard_col).isNull()).drop(shard_col)
-        split = split.join(parted.withColumnRenamed("shard", "p_shard"), same)
-        return placed.where(F.col(shard_col).isNotNull()).select(*own, shard_col).unionByName(
-            split.select(*own, F.col("p_shard").alias(shard_col))
+            F.col("old_shard").alias(p_old),
+            F.col("doc_id").alias(p_id),
+            F.col("text_crc32").alias(p_crc),
+            F.col("shard").alias(p_shard),
         )
+        same = (F.col(old) == F.col(p_old)) & F.col(identity).eqNullSafe(F.col(p_id)) & (F.col(crc) == F.col(p_crc))
+        split = placed.where(F.col(shard_col).isNull()).join(parted, same)
+        kept = placed.where(F.col(shard_col).isNotNull()).select(*own, shard_col)
+        return kept.unionByName(split.select(*own, F.col(p_shard).alias(shard_col))), old
 
 
 def planned(
@@ -206,14 +207,13 @@ def rewritten(docs: DataFrame, plan: Plan, shard_col: str = "shard") -> DataFram
     shard. The new column is ``shard_col``, or as ``unused`` names it; all other columns stay.
     """
     shard = unused(docs, shard_col)
-    placed = plan.assigned(docs, shard)
+    placed, old = plan.assigned(docs, shard)
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    old = F.col(f"{shard}_old")
     path = shared_path(docs.sparkSession, "llm-shards")
-    moved = placed.where(F.col(shard) != old).select(*columns, shard)
+    moved = placed.where(F.col(shard) != F.col(old)).select(*columns, shard)
     moved.write.partitionBy(shard).parquet(path)
     again = docs.sparkSession.read.schema(moved.schema).parquet(path)
-    return placed.where(F.col(shard) == old).select(*columns, shard).unionByName(again)
+    return placed.where(F.col(shard) == F.col(old)).select(*columns, shard).unionByName(again)
 
 
 def with_slots(rows: DataFrame, key_cols: list[str], shard_col: str = "shard", blocks: int = 512) -> DataFrame:

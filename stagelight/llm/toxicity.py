@@ -15,12 +15,12 @@ from dataclasses import dataclass, field
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagelight.llm.common import keyed_text, ship, stored, unused
+from stagelight.plans.shared import scratch
 
 #: Letters of other scripts and the Latin letter each looks like.
 LOOKS_LIKE = {
@@ -187,29 +187,30 @@ def fit(
     every score 0.
     """
     ship(docs.sparkSession)
-    sample = labelled_sample(docs, labels, "toxic", learn_from, max_rows)
-    sample = stored(sample.groupBy("text").agg(F.max("label").alias("label")), "toxic-sample")
-    toxic_docs = sample.agg(F.sum("label")).first()[0] or 0
-    counts = sample.mapInArrow(_word_counts, "word string, toxic long, other long")
-    counts = counts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-    terms = _terms(counts, max(min_docs, math.ceil(min_share * toxic_docs)), min_ratio, max_terms)
-    weights = {t: round(math.log((terms[t][0] + 0.5) / (terms[t][1] + 0.5)), 6) for t in _chosen(terms)}
-    benign: list[str] = []
-    if weights:
-        starts = F.array(*(F.lit(t) for t in weights))
-        words = counts.where((F.col("toxic") == 0) & F.exists(starts, lambda t: F.col("word").startswith(t)))
-        benign = [row["word"] for row in words.orderBy(F.desc("other"), "word").limit(max_terms).collect()]
-    lexicon = Lexicon(weights, tuple(folded(e) for e in (*exceptions, *benign)))
-
-    def densities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [lexicon.density(text) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.float64()), batch.column("label")], names=["density", "label"]
-            )
-
-    rows = sample.mapInArrow(densities, "density double, label int").collect()
-    return Lexicon(lexicon.weights, lexicon.exceptions, _best_threshold([(r["density"], r["label"]) for r in rows]))
+    with scratch(docs.sparkSession):
+        sample = labelled_sample(docs, labels, "toxic", learn_from, max_rows)
+        sample = stored(sample.groupBy("text").agg(F.max("label").alias("label")), "toxic-sample")
+        toxic_docs = sample.agg(F.sum("label")).first()[0] or 0
+        counts = sample.mapInArrow(_word_counts, "word string, toxic long, other long")
+        counts = counts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+        terms = _terms(counts, max(min_docs, math.ceil(min_share * toxic_docs)), min_ratio, max_terms)
+        weights = {t: round(math.log((terms[t][0] + 0.5) / (terms[t][1] + 0.5)), 6) for t in _chosen(terms)}
+        benign: list[str] = []
+        if weights:
+            starts = F.array(*(F.lit(t) for t in weights))
+            words = counts.where((F.col("toxic") == 0) & F.exists(starts, lambda t: F.col("word").startswith(t)))
+            benign = [row["word"] for row in words.orderBy(F.desc("other"), "word").limit(max_terms).collect()]
+        lexicon = Lexicon(weights, tuple(folded(e) for e in (*exceptions, *benign)))
+
+        def densities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = [lexicon.density(text) for text in batch.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found, pa.float64()), batch.column("label")], names=["density", "label"]
+                )
+
+        rows = sample.mapInArrow(densities, "density double, label int").collect()
+        return Lexicon(lexicon.weights, lexicon.exceptions, _best_threshold([(r["density"], r["label"]) for r in rows]))
 
 
 def _best_threshold(found: list[tuple[float, int]]) -> float:
@@ -234,9 +235,9 @@ def scored(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", score_col:
     ship(docs.sparkSession)
     name = unused(docs, score_col)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: lexicon.score(text) if text else 0.0).astype("float64")
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array([lexicon.score(text.as_py() or "") for text in texts], pa.float64())
 
     return docs.withColumn(name, score(F.col(f"`{text_col}`")))
 
