@@ -4,11 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagelight.llm import bpe, decontamination, exact_dedup, line_dedup, ngram_join, quality, resharding, secrets_scan, token_output, toxicity
+from stagelight.llm import (
+    bpe,
+    decontamination,
+    exact_dedup,
+    line_dedup,
+    ngram_join,
+    quality,
+    resharding,
+    secrets_scan,
+    token_output,
+    toxicity,
+)
 from stagelight.llm.common import keyed_text, stored, table
 from stagelight.plans.shared import shared_path
 
@@ -76,15 +86,8 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row per written sequence, read back from the shards: where it lies, which one it is, and its ids' digest."""
     docs = table(spark, sf_dir, "documents")
     shards = token_output.materialised(docs, shared_path(spark, "llm-tokens"), *bpe.public_ranks(), end_id=50_256)
-    found = token_output.read(spark, shards)
-    order = shards.order
-
-    @F.pandas_udf("long")
-    def sequence(slots: pd.Series) -> pd.Series:
-        return pd.Series(order.sequences(slots.to_numpy()))
-
     last = F.lit(shards.tokens) - F.lit(shards.length) * (shards.sequences - 1)
-    return found.select("slot", "shard", "byte_offset", sequence("slot").alias("sequence"), "ids").select(
+    return token_output.read(spark, shards).select(
         "slot",
         "shard",
         "byte_offset",

@@ -5,8 +5,8 @@ keyed Feistel permutation with cycle-walking gives every sequence its slot. Slot
 shard per task and file, so that a reader finds slot s at byte (s % per_shard) * stride of file s // per_shard and can
 go on from any slot.
 
-The stream is numbered without moving it: a first pass counts tokens per partition, a second one starts each partition
-at the sum of those before it. A checksum of ids and counts shows that both passes saw the same rows.
+Texts are encoded once. The ids are written compressed, each piece with its place in its task's part of the stream; the
+parts are then laid one after the other, so the stream is numbered without being moved.
 """
 
 from __future__ import annotations
@@ -24,8 +24,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagelight.llm.common import in_pieces, keyed_text, ship
+from stagelight.llm.common import in_pieces, keyed_text, ship, stored
 from stagelight.llm.text_arrays import GOLDEN, mixed
+from stagelight.plans.shared import scratch
 
 U64 = np.uint64
 SEPARATOR = b"\n"  # the writer ends every record with it, so the stride is one byte longer than the ids
@@ -113,15 +114,34 @@ def encoding(rank_file: bytes, pattern: str) -> tiktoken.Encoding:
     return _encodings[key]
 
 
-def _streams(batches: Iterator[pa.RecordBatch], encode, end_id: int, kind: str) -> Iterator[tuple[bytes, np.ndarray]]:
-    """Per piece of a batch: something that identifies its rows, and the ids of its texts with their end marks."""
-    for batch in batches:
-        for piece in in_pieces(batch):
-            ids = [encode(text) for text in piece.column("text").to_pylist() if text]
-            end = np.array([end_id], dtype=kind)
-            parts = [part for own in ids for part in (own.astype(kind), end)]
-            seen = repr(piece.column("doc_id").to_pylist()).encode() + bytes(str([len(own) for own in ids]), "ascii")
-            yield seen, np.concatenate(parts) if parts else np.zeros(0, dtype=kind)
+def _packed(ids: bytes) -> bytes:
+    return bytes(pa.Codec("zstd", 3).compress(ids))
+
+
+def _unpacked(packed: bytes, size: int) -> bytes:
+    return bytes(pa.Codec("zstd").decompress(packed, size))
+
+
+def _encoded(rows: DataFrame, rank_file: bytes, pattern: str, end_id: int, kind: str) -> DataFrame:
+    """part, start, tokens and packed ids: the ids of a few texts with their end marks, and where they begin in the
+    part of the stream that the task has. Written out, so that every row has its place for good."""
+    shared = rows.sparkSession.sparkContext.broadcast(rank_file)  # one vocabulary file, under 1 MB
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoding(shared.value, pattern).encode_to_numpy
+        part, start, end = TaskContext.get().partitionId(), 0, np.array([end_id], dtype=kind)
+        for batch in batches:
+            for piece in in_pieces(batch, limit=1 << 21):
+                texts = (text for text in piece.column("text").to_pylist() if text)
+                found = [x for t in texts for x in (encode(t, disallowed_special=()).astype(kind), end)]
+                if not found:
+                    continue
+                ids = np.concatenate(found)
+                row = {"part": part, "start": start, "tokens": len(ids), "ids": _packed(ids.tobytes())}
+                yield pa.RecordBatch.from_pylist([row])
+                start += len(ids)
+
+    return stored(rows.mapInArrow(run, "part long, start long, tokens long, ids binary"), "tokens")
 
 
 def materialised(
@@ -138,95 +158,81 @@ def materialised(
 ) -> Shards:
     """Write the token ids of ``docs`` in training order under ``path`` and return what a reader needs.
 
-    ``docs`` must give the same rows in the same partitions each time it is evaluated, as a table that is read does; if
-    it does not, the job stops with an error. Null and empty texts add nothing, not even an end mark. Repeated rows
-    each add their tokens. An empty table gives no shards. Texts of any length are encoded whole. The result depends on
-    the layout of the table and on ``key``. Ids take two bytes if they and ``end_id`` fit, else four. Every shard is
-    written by one task through Spark's committer, so a lost executor costs that shard's task alone.
+    Null and empty texts add nothing, not even an end mark. Repeated rows each add their tokens. An empty table gives no
+    shards. Texts of any length are encoded whole. The order of the stream is that in which tasks read the table; the
+    order in the shards follows from it and ``key``. Ids take two bytes if they and ``end_id`` fit, else four. A shard
+    is put together and written by one task through Spark's committer, so a lost executor costs that task alone; it
+    holds one shard of ``shard_bytes`` in memory.
     """
-    spark = docs.sparkSession
-    ship(spark)
+    ship(docs.sparkSession)
     with open(rank_file, "rb") as file:
         content = file.read()
+    with scratch(docs.sparkSession):
+        return _written(keyed_text(docs, id_col, text_col), path, content, pattern, end_id, key, length, shard_bytes)
+
+
+def _written(
+    rows: DataFrame, path: str, content: bytes, pattern: str, end_id: int, key: int, length: int, shard_bytes: int
+) -> Shards:
+    spark = rows.sparkSession
     largest = max(end_id, *(int(line.split()[1]) for line in content.splitlines()))
     width = 2 if largest < 1 << 16 else 4
     kind = f"<u{width}"
-    shared = spark.sparkContext.broadcast(content)  # one vocabulary file, under 1 MB
-    rows = keyed_text(docs, id_col, text_col)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(shared.value, pattern).encode_to_numpy
-        tokens, mark = 0, hashlib.sha256()
-        for seen, ids in _streams(batches, lambda t: encode(t, disallowed_special=()), end_id, kind):
-            tokens += len(ids)
-            mark.update(seen)
-        part = TaskContext.get().partitionId()
-        yield pa.RecordBatch.from_pylist([{"part": part, "tokens": tokens, "mark": mark.hexdigest()}])
-
-    counted = sorted(rows.mapInArrow(count, "part long, tokens long, mark string").collect())  # a row per partition
-    starts, total = {}, 0
-    for part, tokens, mark in counted:
-        starts[part] = (total, mark)
-        total += tokens
+    encoded = _encoded(rows, content, pattern, end_id, kind)
+    sizes = encoded.groupBy("part").agg(F.sum("tokens").alias("tokens")).orderBy("part").collect()  # a row per task
+    begins, total = {}, 0
+    for part, tokens in sizes:
+        begins[part], total = total, total + tokens
     sequences = -(-total // length)
     stride = length * width + len(SEPARATOR)
     shards = Shards(path, sequences, length, width, max(1, shard_bytes // stride), total, key)
     if not sequences:
         return shards
-    begin = spark.sparkContext.broadcast(starts)
+    begin = spark.sparkContext.broadcast(begins)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(shared.value, pattern).encode_to_numpy
-        at, expected = begin.value[TaskContext.get().partitionId()]
-        mark = hashlib.sha256()
-        for seen, ids in _streams(batches, lambda t: encode(t, disallowed_special=()), end_id, kind):
-            mark.update(seen)
-            if not len(ids):
-                continue
-            first, last = at // length, (at + len(ids) - 1) // length
-            edges = np.clip(np.arange(first, last + 2) * length - at, 0, len(ids))
-            raw = ids.tobytes()
-            slots = shards.order.slots(np.arange(first, last + 1))
-            places = np.where(np.arange(first, last + 1) * length >= at, 0, at % length)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array((slots // shards.per_shard).astype(np.int32)),
-                    pa.array(slots),
-                    pa.array(places.astype(np.int32)),
-                    pa.array([raw[a * width : b * width] for a, b in zip(edges, edges[1:], strict=False)], pa.binary()),
-                ],
-                names=["shard", "slot", "place", "ids"],
-            )
-            at += len(ids)
-        if mark.hexdigest() != expected:
-            raise ValueError("the documents changed between counting and cutting; read them from a table")
-
-    fill = np.array([end_id], dtype=kind).tobytes()
+        """For each piece and shard: the slots that the piece has ids of, with their places in them, and those ids."""
+        for batch in batches:
+            for k in range(batch.num_rows):  # one piece at a time: all of a batch would be much at once
+                part, start, tokens, packed = (column[k].as_py() for column in batch.columns)
+                ids = np.frombuffer(_unpacked(packed, tokens * width), dtype=kind)
+                at = begin.value[part] + start
+                numbers = np.arange(at // length, (at + tokens - 1) // length + 1)
+                edges = np.clip(np.append(numbers, numbers[-1] + 1) * length - at, 0, tokens)
+                slots = shards.order.slots(numbers)
+                cells = np.stack([slots, np.where(numbers * length >= at, 0, at % length), np.diff(edges)], axis=1)
+                order = np.argsort(slots, kind="stable")
+                groups = np.split(order, np.flatnonzero(np.diff(slots[order] // shards.per_shard)) + 1)
+                parts = [np.concatenate([ids[edges[k] : edges[k + 1]] for k in own]) for own in groups]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.array([slots[own[0]] // shards.per_shard for own in groups], dtype=np.int32)),
+                        pa.array([cells[own].tobytes() for own in groups], pa.binary()),
+                        pa.array([_packed(ids.tobytes()) for ids in parts], pa.binary()),
+                    ],
+                    names=["shard", "cells", "ids"],
+                )
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Join the pieces of each slot; rows come by slot and place."""
-        slot, parts = None, []
-
-        def record() -> bytes:
-            ids = b"".join(parts)
-            return ids + fill * (length - len(ids) // width)
-
+        """Put the shard of a partition together and give its records in order."""
+        filled, last = None, -1
         for batch in batches:
-            done = []
-            for own, ids in zip(batch.column("slot").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-                if own != slot and slot is not None:
-                    done.append(record())
-                    parts = []
-                slot = own
-                parts.append(ids)
-            if done:
-                yield pa.RecordBatch.from_arrays([pa.array(done, pa.binary())], names=["record"])
-        if slot is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([record()], pa.binary())], names=["record"])
-
-    pieces = rows.mapInArrow(cut, "shard int, slot long, place int, ids binary")
-    placed = pieces.repartitionById(shards.count, "shard").sortWithinPartitions("slot", "place")
-    records = placed.mapInArrow(whole, "record binary")
+            for k in range(batch.num_rows):
+                shard, raw, packed = (column[k].as_py() for column in batch.columns)
+                if filled is None:
+                    filled = np.full((shards.per_shard, length), end_id, dtype=kind)
+                cells = np.frombuffer(raw, dtype=np.int64).reshape(-1, 3)
+                ids, at = np.frombuffer(_unpacked(packed, int(cells[:, 2].sum()) * width), dtype=kind), 0
+                for slot, place, count in cells.tolist():
+                    filled[slot - shard * shards.per_shard, place : place + count] = ids[at : at + count]
+                    at += count
+                last = max(last, int(cells[:, 0].max()) - shard * shards.per_shard)
+        for first in range(0, last + 1, 1024):
+            records = [row.tobytes() for row in filled[first : min(first + 1024, last + 1)]]
+            yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], names=["record"])
+
+    pieces = encoded.mapInArrow(cut, "shard int, cells binary, ids binary")
+    records = pieces.repartitionById(shards.count, "shard").mapInArrow(whole, "record binary")
     # The text writer puts the bytes of a string as they are and ends each with the separator.
     records.select(F.col("record").cast("string")).write.option("lineSep", SEPARATOR.decode()).text(f"{path}/shards")
     spark.createDataFrame([(json.dumps(asdict(shards)),)], "value string").coalesce(1).write.text(f"{path}/about")
@@ -239,12 +245,12 @@ def opened(spark: SparkSession, path: str) -> Shards:
 
 
 def read(spark: SparkSession, shards: Shards, first_slot: int = 0, last_slot: int | None = None) -> DataFrame:
-    """slot, shard, byte_offset, ids (binary) of the slots from ``first_slot`` to before ``last_slot``.
+    """slot, shard, byte_offset, sequence, ids (binary) of the slots from ``first_slot`` to before ``last_slot``.
 
     Only the files of those slots are read, each as a whole by one task; to resume, pass the next slot.
     """
     ship(spark)
-    schema = "slot long, shard int, byte_offset long, ids binary"
+    schema = "slot long, shard int, byte_offset long, sequence long, ids binary"
     last = shards.sequences if last_slot is None else min(last_slot, shards.sequences)
     if first_slot >= last:
         return spark.createDataFrame([], schema)
@@ -261,15 +267,17 @@ def read(spark: SparkSession, shards: Shards, first_slot: int = 0, last_slot: in
                     raise ValueError(f"shard {shard} holds {len(raw)} bytes, no multiple of {stride}")
                 offsets = np.arange(0, len(raw), stride)
                 slots = shard * per_shard + offsets // stride
-                offsets = offsets[(slots >= first_slot) & (slots < last)]
+                wanted = (slots >= first_slot) & (slots < last)
+                offsets, slots = offsets[wanted], slots[wanted]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(shard * per_shard + offsets // stride),
+                        pa.array(slots),
                         pa.array(np.full(len(offsets), shard, dtype=np.int32)),
                         pa.array(offsets),
+                        pa.array(shards.order.sequences(slots)),
                         pa.array([raw[a : a + ids_bytes] for a in offsets.tolist()], pa.binary()),
                     ],
-                    names=["slot", "shard", "byte_offset", "ids"],
+                    names=["slot", "shard", "byte_offset", "sequence", "ids"],
                 )
 
     return content.select(number, "content").mapInArrow(records, schema)
