@@ -3,21 +3,23 @@
 A line is the set of its character shingles. Every shingle is hashed once; sixteen masks give sixteen orders of the
 hashes, and the least hash under each is a place of the signature. Places stand in a four by four grid whose rows,
 columns and diagonals are the bands: lines that agree on a band meet in a bucket. In a bucket all lines are compared
-with one centre, links are contracted to components, and only lines of different components are compared further.
-Every link is verified by the exact Jaccard similarity of the shingle sets. Of each component the first line stays.
+with one centre, links are contracted to components, and only lines of different components are compared further. A
+folded bit sketch bounds the overlap of a pair from above and spares most comparisons; every link is verified by the
+exact Jaccard similarity of the shingle sets. Of each component the first line stays.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagelight.llm.common import CHUNK_BITS, field_size, stored, unused
+from stagelight.llm.common import CHUNK_BITS, field_size, kept, stored, unused
 from stagelight.llm.components import components
 
 PLACES = 16
+SKETCH_WORDS = 32  # 64-bit words of a sketch
 #: The lines of the affine plane of order four, three classes of parallels on the places 0 to 15.
 BANDS = (
     (0, 1, 2, 3), (4, 5, 6, 7), (8, 9, 10, 11), (12, 13, 14, 15),
@@ -76,10 +78,13 @@ def _signatures(lines: DataFrame, like: Likeness) -> DataFrame:
     return cells.select("key", *hashes).groupBy("key").agg(*(c.alias(f"m{k}") for k, c in enumerate(least)))
 
 
+def _bucket(band: int, mark: str = "") -> Column:
+    return F.xxhash64(F.lit(band), *(F.col(f"m{place}{mark}") for place in BANDS[band]))
+
+
 def _buckets(signatures: DataFrame) -> DataFrame:
     """bucket (a hash of band and places) and key, once per line and band."""
-    hashes = [F.xxhash64(F.lit(k), *(F.col(f"m{p}") for p in band)) for k, band in enumerate(BANDS)]
-    return signatures.select("key", F.explode(F.array(*hashes)).alias("bucket"))
+    return signatures.select("key", F.explode(F.array(*(_bucket(k) for k in range(len(BANDS))))).alias("bucket"))
 
 
 def _chunks(positions: DataFrame) -> DataFrame:
@@ -98,39 +103,106 @@ def _among(rows: DataFrame, chunks: DataFrame, at: Column) -> DataFrame:
     return joined.where(is_set).select(*rows.columns)
 
 
-def _pairs_with_centre(crowded: DataFrame) -> DataFrame:
-    """a and b: every line of a bucket with the bucket's least one."""
-    centres = crowded.groupBy("bucket").agg(F.min("key").alias("a"))
-    pairs = crowded.join(centres, "bucket").where("key <> a")
-    return pairs.select("a", F.col("key").alias("b")).distinct()
+def _first_pairs(crowded: DataFrame) -> DataFrame:
+    """a and b: every line with the least of the lines that are the least of a bucket it is in; one pair a line."""
+    centres = crowded.groupBy("bucket").agg(F.min("key").alias("centre"))
+    pairs = crowded.join(centres, "bucket").groupBy("key").agg(F.min("centre").alias("a"))
+    return pairs.where("a < key").select("a", F.col("key").alias("b"))
 
 
-def _pairs_across(crowded: DataFrame, roots: DataFrame) -> DataFrame:
-    """a and b: lines of one bucket that are in different components after the comparison with centres."""
+def _apart(crowded: DataFrame, roots: DataFrame) -> DataFrame:
+    """bucket, key, root, and the bucket's least key and its root, of buckets with more than one component."""
     placed = crowded.join(roots.withColumnRenamed("node", "key"), "key", "left")
     placed = placed.withColumn("root", F.coalesce("root", "key"))
     several = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("key").alias("c"))
-    placed = stored(placed.join(several.where("low <> high").select("bucket", "c"), "bucket"), "across")
-    other = placed.select("bucket", F.col("key").alias("b"), F.col("root").alias("root_b"))
-    met = placed.join(other, "bucket").where("key < b and root <> root_b and key <> c and b <> c")
-    return met.select(F.col("key").alias("a"), "b").distinct()
+    several = several.where("low <> high").select("bucket", "c")
+    centres = placed.select(F.col("key").alias("c"), F.col("root").alias("root_c")).distinct()
+    return stored(placed.join(several.join(centres, "c"), "bucket"), "apart")
+
+
+def _centre_pairs(apart: DataFrame) -> DataFrame:
+    """a and b: the least line of a bucket with those of other components."""
+    return apart.where("root <> root_c").select(F.col("c").alias("a"), F.col("key").alias("b")).distinct()
+
+
+def _all_pairs(apart: DataFrame, signatures: DataFrame, sketches: DataFrame, like: Likeness) -> DataFrame:
+    """a and b: lines of one bucket that are in different components and may link; from their first common band."""
+    known = signatures.join(sketches, "key")
+    carried = [name for name in known.columns if name != "key"]
+    rows = apart.select("bucket", "key", "root", "c").join(known, "key")
+
+    def side(mark: str) -> DataFrame:
+        return rows.select("bucket", "c", *(F.col(name).alias(f"{name}_{mark}") for name in ("key", "root", *carried)))
+
+    first = F.lit(None).cast("long")
+    for k, band in reversed(list(enumerate(BANDS))):
+        agree = F.lit(True)
+        for place in band:
+            agree = agree & (F.col(f"m{place}_a") == F.col(f"m{place}_b"))
+        first = F.when(agree, _bucket(k, "_a")).otherwise(first)
+    left, right = side("a"), side("b").withColumnRenamed("bucket", "bucket_b").drop("c")
+    further = F.expr("bucket = bucket_b and key_a < key_b and root_a <> root_b and key_a <> c")
+    met = left.join(right, further & _may_link(like) & (first == F.col("bucket")))
+    return met.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
+
+
+def _sketches(texts: DataFrame, like: Likeness) -> DataFrame:
+    """key, n (distinct shingles) and w0, w1, ... of every line: for each bit the parity of the shingles that hash to it.
+
+    Where two sketches differ, one line has a shingle that the other lacks.
+    """
+    dealt = texts.repartition(_tasks(texts.sparkSession), "key")
+    cells = dealt.select("key", "wide", F.explode(F.sequence(F.lit(0), _last(F.col("wide"), like))).alias("place"))
+    cells = cells.select("key", F.xxhash64(_shingle(F.col("wide"), F.col("place"), like)).alias("h")).distinct()
+    word, bit = F.shiftrightunsigned("h", 6).bitwiseAND(SKETCH_WORDS - 1), F.expr("shiftleft(1L, cast(h & 63 as int))")
+    words = [F.bit_xor(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{k}") for k in range(SKETCH_WORDS)]
+    return cells.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *words)
 
 
-def _set_of(line: Column, like: Likeness) -> Column:
-    """The distinct shingles of a line as 64-bit hashes."""
-    wide = F.encode(line, "UTF-16BE")
+def _may_link(like: Likeness) -> Column:
+    """Whether sizes and sketches (columns ending in _a and _b) allow a link. It never rules a link out.
+
+    Lines that differ in d shingles or more share half of the rest of both sizes at most.
+    """
+    differ = F.lit(0)
+    for k in range(SKETCH_WORDS):
+        differ = differ + F.bit_count(F.col(f"w{k}_a").bitwiseXOR(F.col(f"w{k}_b")))
+    total = F.col("n_a") + F.col("n_b")
+    return (total - differ) * (100 + like.percent) >= total * (2 * like.percent)
+
+
+def _possible(pairs: DataFrame, sketches: DataFrame, like: Likeness) -> DataFrame:
+    """The pairs that sizes and sketches allow to link."""
+    for side in ("a", "b"):
+        named = {name: f"{name}_{side}" for name in sketches.columns if name != "key"} | {"key": side}
+        pairs = pairs.join(sketches.withColumnsRenamed(named), side)
+    return pairs.where(_may_link(like)).select("a", "b")
+
+
+def _set_of(wide: Column, like: Likeness) -> Column:
+    """The distinct shingles of a line in UTF-16 as 64-bit hashes."""
     places = F.sequence(F.lit(0), _last(wide, like))
     return F.array_distinct(F.transform(places, lambda place: F.xxhash64(_shingle(wide, place, like))))
 
 
+def _tasks(spark: SparkSession) -> int:
+    """Few bytes take long to compare, so work on lines is dealt to as many tasks as the session shuffles to."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
     """The pairs that link, by the exact similarity of their shingle sets."""
-    left = texts.select(F.col("key").alias("a"), F.col("line").alias("line_a"))
-    right = texts.select(F.col("key").alias("b"), F.col("line").alias("line_b"))
-    joined = pairs.join(left, "a").join(right, "b")
-    sets = joined.select("a", "b", _set_of(F.col("line_a"), like).alias("x"), _set_of(F.col("line_b"), like).alias("y"))
-    shared = F.size(F.array_intersect("x", "y"))
-    return sets.where(shared * 100 >= (F.size("x") + F.size("y") - shared) * like.percent).select("a", "b")
+    left = texts.select(F.col("key").alias("a"), F.col("wide").alias("wide_a"))
+    right = texts.select(F.col("key").alias("b"), F.col("wide").alias("wide_b"))
+    joined = pairs.join(left, "a").join(right, "b").repartition(_tasks(pairs.sparkSession))
+    sets = F.struct(_set_of(F.col("wide_a"), like).alias("x"), _set_of(F.col("wide_b"), like).alias("y"))
+
+    def linked(both: Column) -> Column:
+        shared = F.size(F.array_intersect(both["x"], both["y"]))
+        return shared * 100 >= (F.size(both["x"]) + F.size(both["y"]) - shared) * like.percent
+
+    # Through an array of one, so that the sets are made once and not once for each place that names them.
+    return joined.where(F.exists(F.array(sets), linked)).select("a", "b")
 
 
 def _roots(lines: DataFrame, like: Likeness) -> DataFrame:
@@ -147,16 +219,25 @@ def _roots(lines: DataFrame, like: Likeness) -> DataFrame:
     key_bits = field_size(rows, like.max_bits)
     key_at = F.pmod("key", F.lit(key_bits))
     chunks = stored(_chunks(crowded.select(key_at.alias("at"))), "chunks")
-    texts = stored(_among(lines.select("key", "line"), chunks, key_at).dropDuplicates(["key"]), "lines")
-    links = stored(_verified(_pairs_with_centre(crowded), texts, like), "links")
-    more = _verified(_pairs_across(crowded, components(links)), texts, like)
-    return components(links.unionByName(more))
+    texts = _among(lines.select("key", "line"), chunks, key_at).dropDuplicates(["key"])
+    texts = stored(texts.select("key", F.encode("line", "UTF-16BE").alias("wide")), "lines")
+    sketches = stored(_sketches(texts, like), "sketches")
+    first = stored(_possible(_first_pairs(crowded), sketches, like), "pairs")
+    links = stored(_verified(first, texts, like), "links")
+    # Each way of pairing looks only at what the links so far leave apart, so the dearest one has little left to do.
+    apart = _apart(crowded, components(links))
+    second = _possible(_centre_pairs(apart).join(first, ["a", "b"], "left_anti"), sketches, like)
+    second = stored(second, "pairs")
+    links = links.unionByName(stored(_verified(second, texts, like), "links"))
+    tried = first.unionByName(second)
+    third = _all_pairs(_apart(crowded, components(links)), signatures, sketches, like).join(tried, ["a", "b"], "left_anti")
+    return components(links.unionByName(_verified(stored(third, "pairs"), texts, like)))
 
 
 def _dropped(docs: DataFrame, id_col: str, text_col: str, like: Likeness) -> DataFrame:
     """doc_id, text_hash and the numbers of the lines that go."""
     lines = _lines(docs, id_col, text_col)
-    roots = _roots(lines, like).withColumnRenamed("node", "key")
+    roots = kept(docs.sparkSession, "roots", lambda: _roots(lines, like)).withColumnRenamed("node", "key")
     # Lines that link to none are told apart by a second hash, so that two never fall together.
     second = F.xxhash64(F.lit(1), "line").alias("second")
     order = F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1)).cast("decimal(20,0)") * F.lit(1 << 32) + F.col("line_no")
@@ -183,15 +264,15 @@ def deduplicated(
     that repeat id and text keep the same lines. Other columns stay; where a new name is taken, ``unused`` names the
     column. Bands find a pair at the threshold with a probability of 0.98, one at 0.9 with 0.999.
     """
-    n_lines, n_kept, hashed = (unused(docs, name) for name in ("n_lines", "n_kept", "text_hash"))
+    n_lines, n_kept, hashed, gone_id, gone_hash, gone_list = (
+        unused(docs, name) for name in ("n_lines", "n_kept", "text_hash", "gone_id", "gone_hash", "gone")
+    )
     text, identity = F.col(f"`{text_col}`"), F.col(f"`{id_col}`").cast("long")
     found = _dropped(docs, id_col, text_col, like).select(
-        F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"), "gone"
+        F.col("doc_id").alias(gone_id), F.col("text_hash").alias(gone_hash), F.col("gone").alias(gone_list)
     )
-    gone_list = unused(docs, "gone")
-    found = found.withColumnRenamed("gone", gone_list)
     marked = docs.withColumn(hashed, F.xxhash64(F.coalesce(text.cast("string"), F.lit(""))))
-    same = identity.eqNullSafe(F.col("gone_id")) & (F.col(hashed) == F.col("gone_hash"))
+    same = identity.eqNullSafe(F.col(gone_id)) & (F.col(hashed) == F.col(gone_hash))
     joined = marked.join(found, same, "left")
     parts = F.split(text, "\n")
     counted = F.size(F.filter(parts, lambda line: F.trim(line) != "")).cast("long")
