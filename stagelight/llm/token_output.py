@@ -114,8 +114,8 @@ def encoding(rank_file: bytes, pattern: str) -> tiktoken.Encoding:
     return _encodings[key]
 
 
-def _packed(ids: bytes) -> bytes:
-    return bytes(pa.Codec("zstd", 3).compress(ids))
+def _packed(ids: bytes, level: int = 3) -> bytes:
+    return bytes(pa.Codec("zstd", level).compress(ids))
 
 
 def _unpacked(packed: bytes, size: int) -> bytes:
@@ -137,7 +137,7 @@ def _encoded(rows: DataFrame, rank_file: bytes, pattern: str, end_id: int, kind:
                 if not found:
                     continue
                 ids = np.concatenate(found)
-                row = {"part": part, "start": start, "tokens": len(ids), "ids": _packed(ids.tobytes())}
+                row = {"part": part, "start": start, "tokens": len(ids), "ids": _packed(ids.tobytes(), 9)}
                 yield pa.RecordBatch.from_pylist([row])
                 start += len(ids)
 
@@ -262,22 +262,23 @@ def read(spark: SparkSession, shards: Shards, first_slot: int = 0, last_slot: in
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, raw in zip(batch.column("shard").to_pylist(), batch.column("content").to_pylist(), strict=True):
+            for k in range(batch.num_rows):
+                shard, raw = batch.column("shard")[k].as_py(), memoryview(batch.column("content")[k].as_buffer())
                 if len(raw) % stride:
                     raise ValueError(f"shard {shard} holds {len(raw)} bytes, no multiple of {stride}")
-                offsets = np.arange(0, len(raw), stride)
-                slots = shard * per_shard + offsets // stride
-                wanted = (slots >= first_slot) & (slots < last)
-                offsets, slots = offsets[wanted], slots[wanted]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(slots),
-                        pa.array(np.full(len(offsets), shard, dtype=np.int32)),
-                        pa.array(offsets),
-                        pa.array(shards.order.sequences(slots)),
-                        pa.array([raw[a : a + ids_bytes] for a in offsets.tolist()], pa.binary()),
-                    ],
-                    names=["slot", "shard", "byte_offset", "sequence", "ids"],
-                )
+                begin, end = max(0, first_slot - shard * per_shard), min(len(raw) // stride, last - shard * per_shard)
+                for start in range(begin, end, 1024):
+                    places = np.arange(start, min(start + 1024, end))
+                    slots, offsets = shard * per_shard + places, places * stride
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(slots),
+                            pa.array(np.full(len(places), shard, dtype=np.int32)),
+                            pa.array(offsets),
+                            pa.array(shards.order.sequences(slots)),
+                            pa.array([bytes(raw[a : a + ids_bytes]) for a in offsets.tolist()], pa.binary()),
+                        ],
+                        names=["slot", "shard", "byte_offset", "sequence", "ids"],
+                    )
 
     return content.select(number, "content").mapInArrow(records, schema)
