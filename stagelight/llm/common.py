@@ -85,6 +85,7 @@ def in_pieces(batch: pa.RecordBatch, column: str = "text", limit: int = 1 << 20)
         size += length or 0
     if start < batch.num_rows:
         yield batch.slice(start)
+    pa.default_memory_pool().release_unused()
 
 
 #: A chunk of bitmap_construct_agg has this many bits.
