@@ -80,7 +80,8 @@ class Scanner:
         """All spans (kind, start, end) in code points, end exclusive, by start and then kind.
 
         Within a kind, matches are leftmost and do not overlap; one that fails its length or checksum is dropped but
-        still takes its place, as it would for a scan with the pattern alone.
+        still takes its place, as it would for a scan with the pattern alone. After a number that is no card the search
+        goes on at the next run of digits.
         """
         if not text:
             return []
@@ -118,7 +119,7 @@ class Scanner:
         return found
 
     def _cards(self, raw: bytes, text: str) -> list[Span]:
-        """Card numbers, looked for only where four digits stand together."""
+        """Card numbers, looked for only where four digits stand together; one that fails takes no place."""
         marks, found, at = raw.translate(_IS_DIGIT), [], 0
         tried = -1
         while (at := marks.find(b"\1\1\1\1", at)) >= 0:
@@ -127,7 +128,7 @@ class Scanner:
                 digits = re.sub("[ -]", "", match[0])
                 if digits[0] in CARD_LEADS and luhn_holds(digits):
                     found.append(("card", begin, match.end()))
-                tried = match.end() - 1
+                    tried = match.end() - 1
             end = marks.find(b"\0", at)
             at = len(marks) if end < 0 else end
         return found

@@ -79,3 +79,9 @@ def test_null_ids_and_empty_table(spark):
     rows = scanned(documents(spark, ["token=abcdefgh"], ids=[None])).collect()
     assert rows[0]["doc_id"] is None and len(rows[0]["spans"]) == 1
     assert by_id(scanned(spark.createDataFrame([], DOCS))) == {}
+
+
+def test_card_after_digits_that_fail():
+    text = "2024 4111 1111 1111 1111, 12-31 5500-0055-5555-5559"
+    cards = [text[s:e] for kind, s, e in Scanner().spans(text) if kind == "card"]
+    assert cards == ["4111 1111 1111 1111", "5500-0055-5555-5559"]
