@@ -16,6 +16,7 @@ from stagelight.llm import (
     quality,
     resharding,
     secrets_scan,
+    token_alignment,
     token_output,
     toxicity,
 )
@@ -126,6 +127,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.summarised(table(spark, sf_dir, "documents"), *token_alignment.public_files())
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -138,4 +143,5 @@ def queries() -> dict[str, Query]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_quality": op9_quality,
         "op10_toxicity": op10_toxicity,
+        "op13_token_alignment": op13_token_alignment,
     }
