@@ -12,7 +12,8 @@ SF_DIR = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", list(oracle_sql()))
 def test_as_the_oracle(spark, name):
     connection = duckdb.connect()
-    connection.execute(f"create view documents as select * from '{SF_DIR}/documents.parquet'")
+    for view in ("documents", "conversations"):
+        connection.execute(f"create view {view} as select * from '{SF_DIR}/{view}.parquet'")
     result = connection.execute(oracle_sql()[name])
     names = [d[0] for d in result.description]
     expected = sorted(map(repr, result.fetchall()))
