@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stagelight.llm import (
     bpe,
     chat_format,
+    collocations,
     decontamination,
     exact_dedup,
     line_dedup,
@@ -169,6 +170,10 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.formatted(chat_format.canonical(_collected(conversations))))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mined(table(spark, sf_dir, "documents"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.summarised(table(spark, sf_dir, "documents"), *token_alignment.public_files())
 
@@ -186,5 +191,6 @@ def queries() -> dict[str, Query]:
         "op9_quality": op9_quality,
         "op10_toxicity": op10_toxicity,
         "op11_chat_format": op11_chat_format,
+        "op12_collocations": op12_collocations,
         "op13_token_alignment": op13_token_alignment,
     }
