@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,24 +13,52 @@ from stagelight.plans.shared import written
 from stagelight.schemas import RECRUITERS, ROLES, SOURCES, TABLES
 
 CALENDAR_BLOCK = 4096
-_ATTRIBUTES = {"dim_education": "education_level", "dim_location": "location"}
+ATTRIBUTES = {"dim_education": "education_level", "dim_location": "location"}
+#: Dimensions whose members are given.
+LISTED = ["dim_python", "dim_internship", "dim_recruiter", "dim_source", "dim_role"]
 
 
-def attribute_dims(candidates: DataFrame, names: Sequence[str] = tuple(_ATTRIBUTES)) -> dict[str, DataFrame]:
+def _values(candidates: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """The distinct non-NULL values of some columns, from one scan."""
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in columns]
+    return candidates.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull()).distinct()
+
+
+def attribute_dims(candidates: DataFrame, names: Sequence[str] = tuple(ATTRIBUTES)) -> dict[str, DataFrame]:
     """Dimensions of the distinct non-NULL values of candidate columns, numbered in order of value.
 
     Each is written to the shared folder, so that joins know its real size; one scan of candidates serves all of them.
     """
-    columns = {_ATTRIBUTES[name]: name for name in names}
-    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in columns]
-    values = candidates.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull()).distinct()
-    keyed = numbered(values)
-    dims = {}
+    columns = {ATTRIBUTES[name]: name for name in names}
+    keyed = numbered(_values(candidates, columns))
+    return {name: written(_members(keyed, name), name) for name in names}
+
+
+def _members(keyed: DataFrame, name: str) -> DataFrame:
+    key, value = TABLES[name].names
+    own = keyed.where(F.col("column_name") == value)
+    return own.select(F.col("key").alias(key), F.col("value").alias(value))
+
+
+def new_members(candidates: DataFrame, stored: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """What candidates add to stored attribute dimensions: members that are not there yet, numbered on from the highest
+    stored key in order of value.
+
+    Stored members keep their keys, there is no gap, and candidates that were added before add nothing. One scan of
+    candidates serves all of ``stored``. New members are range-partitioned to be numbered; the highest key is an
+    aggregate of a row per dimension.
+    """
+    columns = {ATTRIBUTES[name]: name for name in stored}
+    known = highest = None
     for column, name in columns.items():
-        own = keyed.where(F.col("column_name") == column)
-        own = own.select(F.col("key").alias(TABLES[name].names[0]), F.col("value").alias(column))
-        dims[name] = written(own, name)
-    return dims
+        key, value = TABLES[name].names
+        rows = stored[name].select(F.lit(column).alias("column_name"), F.col(value).alias("value"), F.col(key).alias("key"))
+        known = rows if known is None else known.unionByName(rows)
+    highest = known.groupBy("column_name").agg(F.max("key").alias("highest"))
+    fresh = _values(candidates, columns).join(known, ["column_name", "value"], "left_anti")
+    keyed = numbered(fresh).join(highest, "column_name", "left")
+    keyed = keyed.withColumn("key", F.col("key") + F.coalesce("highest", F.lit(0)))
+    return {name: written(_members(keyed, name), name) for name in stored}
 
 
 def dim_education(candidates: DataFrame) -> DataFrame:
@@ -85,11 +113,31 @@ def dim_time(applications: DataFrame) -> DataFrame:
     The range is complete however long it is. It is unfolded in two steps, blocks of days and then days, so that no
     row holds a long range; the blocks are dealt to all tasks.
     """
-    span = applications.agg(
-        F.unix_date(F.min("applied_at")).cast("long").alias("first"),
-        F.unix_date(F.max("applied_at")).cast("long").alias("last"),
+    return _calendar(_span(applications, "applied_at"))
+
+
+def _span(rows: DataFrame, column: str) -> DataFrame:
+    """First and last day of a date column as day numbers; one row."""
+    return rows.agg(
+        F.unix_date(F.min(column)).cast("long").alias("first"), F.unix_date(F.max(column)).cast("long").alias("last")
     )
-    blocks = span.select("last", F.explode(F.sequence("first", "last", F.lit(CALENDAR_BLOCK))).alias("begin"))
+
+
+def new_days(applications: DataFrame, stored: DataFrame) -> DataFrame:
+    """The days that applications add to a stored calendar: before its first day and after its last, without a gap."""
+    own = _span(applications, "applied_at").select(F.lit(1).alias("one"), "first", "last")
+    old = _span(stored, "date_key").select(F.lit(1).alias("one"), F.col("first").alias("begin"), F.col("last").alias("end"))
+    both = own.join(old, "one")  # one row each
+    before = F.struct(F.col("first"), F.coalesce(F.col("begin") - 1, "last").alias("last"))
+    after = F.struct((F.col("end") + 1).alias("first"), F.col("last"))
+    spans = both.select(F.inline(F.array(before, after))).where(F.col("first") <= F.col("last"))
+    return _calendar(spans)
+
+
+def _calendar(spans: DataFrame) -> DataFrame:
+    """The days of spans of day numbers, first to last."""
+    known = spans.where(F.col("first").isNotNull())
+    blocks = known.select("last", F.explode(F.sequence("first", "last", F.lit(CALENDAR_BLOCK))).alias("begin"))
     end = F.least(F.col("begin") + CALENDAR_BLOCK - 1, F.col("last"))
     days = blocks.repartition("begin").select(F.explode(F.sequence("begin", end)).alias("number"))
     days = days.select(F.date_from_unix_date(F.col("number").cast("int")).alias("date_key"))

@@ -1,8 +1,11 @@
 """The stored tables. A load replaces them all at once, so loading the same rows twice gives the same tables.
 
 A load writes to a folder of its own, ``load-...``, and checks what it wrote; only then a line in ``_loads`` makes it
-the one that is read. A load that fails leaves the tables as they were. Tables that lie directly in the folder, as the
-incremental load writes them, are read where there is no such line.
+the one that is read. A load that fails leaves the tables as they were. A line may say that its load adds to those before
+it, as batches do (``sources.batches``); then a table is read from the folders of all of them. Tables that lie directly
+in the folder, as the incremental load writes them, are read where there is no such line.
+
+Beside its tables a load keeps an index of the candidate ids in it, as bits.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,13 +22,23 @@ from pyspark.sql import functions as F
 from stagelight.operators import star
 from stagelight.operators.load import journeys
 from stagelight.operators.marts import applications_flat
-from stagelight.operators.quality import constraint_violations
 from stagelight.operators.stages import closed_stage_events
+from stagelight.plans.bitmaps import BITS, INDEX, count_bits, key_index
 from stagelight.plans.shared import remove, scratch
 from stagelight.schemas import BASE_DATE, CONSTRAINTS, STAGES, TABLES, Stage
 
 BASE_TABLES = ["candidates", "applications", "stage_events"]
-LOADS = "number long, load string"
+KEY_INDEX = "key_index"
+LOADS = "number long, load string, appends boolean, batches array<string>"
+
+
+class Load(NamedTuple):
+    """A load that came to its end: its folder, whether it adds to the one before, and the batches in it."""
+
+    number: int
+    load: str
+    appends: bool
+    batches: tuple[str, ...]
 
 
 def conformed(df: DataFrame, name: str) -> DataFrame:
@@ -32,34 +46,57 @@ def conformed(df: DataFrame, name: str) -> DataFrame:
     return df.select([df[f.name].cast(f.dataType).alias(f.name) for f in TABLES[name]])
 
 
-def _loads(spark: SparkSession, folder: str) -> list[tuple[int, str]]:
-    """Number and folder of every load that came to its end, oldest first. A line per load."""
+def all_loads(spark: SparkSession, folder: str) -> list[Load]:
+    """Every load that came to its end, oldest first. A line per load."""
     try:
         rows = spark.read.schema(LOADS).json(f"{folder}/_loads").collect()
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" not in str(missing):
             raise
         return []
-    return sorted((row["number"], row["load"]) for row in rows)
+    loads = [Load(r["number"], r["load"], bool(r["appends"]), tuple(r["batches"] or ())) for r in rows]
+    return sorted(loads)
+
+
+def current_loads(loads: Sequence[Load]) -> list[Load]:
+    """The loads whose tables are read: the last one that replaced all others, and those added since."""
+    start = max((k for k, load in enumerate(loads) if not load.appends), default=0)
+    return list(loads[start:])
 
 
-def current_folder(spark: SparkSession, folder: str) -> str:
-    """Where the tables of the last finished load lie."""
-    loads = _loads(spark, folder)
-    return f"{folder}/{loads[-1][1]}" if loads else folder
+def commit(spark: SparkSession, folder: str, load: str, appends: bool = False, batches: Sequence[str] = ()) -> None:
+    """Make a written load one that is read. The line is committed as a whole; one load at a time may do this."""
+    loads = all_loads(spark, folder)
+    number = loads[-1].number + 1 if loads else 1
+    line = spark.createDataFrame([(number, load, appends, list(batches))], LOADS).coalesce(1)
+    line.write.mode("append").json(f"{folder}/_loads")
 
 
-def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}")
+def drop_old_loads(spark: SparkSession, folder: str) -> None:
+    """Remove what is no longer read, but for the tables that were read before the last replacement."""
+    loads = all_loads(spark, folder)
+    now = len(loads) - len(current_loads(loads))
+    before = now - len(current_loads(loads[:now]))
+    for old in loads[:before]:
+        remove(spark, f"{folder}/{old.load}")
+
+
+def _read(spark: SparkSession, folder: str, loads: Sequence[Load], name: str) -> DataFrame:
+    """A table over its loads. Dimensions of given members are in the first one alone."""
+    places = [f"{folder}/{load.load}" for load in loads] or [folder]
+    if name in star.LISTED:
+        places = places[:1]
+    schema = INDEX if name == KEY_INDEX else TABLES[name]
+    return spark.read.schema(schema).parquet(*[f"{place}/{name}" for place in places])
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return _read(spark, current_folder(spark, folder), name)
+    return _read(spark, folder, current_loads(all_loads(spark, folder)), name)
 
 
 def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    current = current_folder(spark, folder)
-    return {name: _read(spark, current, name) for name in TABLES}
+    loads = current_loads(all_loads(spark, folder))
+    return {name: _read(spark, folder, loads, name) for name in TABLES}
 
 
 def write_table(df: DataFrame, folder: str, name: str) -> DataFrame:
@@ -68,7 +105,14 @@ def write_table(df: DataFrame, folder: str, name: str) -> DataFrame:
     if name.startswith("dim_"):
         writer = writer.option("compression", "uncompressed")
     writer.parquet(f"{folder}/{name}")
-    return _read(df.sparkSession, folder, name)
+    return _read(df.sparkSession, folder, [], name)
+
+
+def write_index(candidates: DataFrame, folder: str) -> DataFrame:
+    """Write the index of candidate ids, in order, so that a range of ids is read alone; and read it back."""
+    ordered = key_index(candidates, "candidate_id").repartitionByRange("chunk").sortWithinPartitions("chunk")
+    ordered.write.parquet(f"{folder}/{KEY_INDEX}")
+    return _read(candidates.sparkSession, folder, [], KEY_INDEX)
 
 
 def base_frames(rows: DataFrame, stages: Sequence[Stage] = STAGES) -> dict[str, DataFrame]:
@@ -98,11 +142,16 @@ def write_star(
     return tables | {name: write_table(fact, folder, name) for name, fact in facts.items()}
 
 
-def _require_sound(tables: dict[str, DataFrame]) -> None:
-    """Fail on a NULL or repeated candidate_id, and on NULLs in required columns. All ids derive from that one."""
-    found = constraint_violations(tables, {"candidates": CONSTRAINTS["candidates"]}).first()
-    if found.violations:
-        raise ValueError(f"{found.violations} of {found.rows_checked} raw rows have no serial_no or repeat one")
+def require_keys(index: DataFrame) -> None:
+    """Fail on a NULL or repeated candidate_id, from which all ids derive: then there are more rows than bits."""
+    found = index.agg(F.sum("n").alias("rows"), F.sum(count_bits([F.col(b) for b in BITS])).alias("keys")).first()
+    if found.rows and found.rows != found["keys"]:
+        broken = found.rows - found["keys"]
+        raise ValueError(f"{broken} of {found.rows} raw rows have no serial_no or repeat one")
+
+
+def require_values(tables: dict[str, DataFrame]) -> None:
+    """Fail on a NULL in a required column."""
     for name, df in tables.items():
         missing = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in CONSTRAINTS[name].required] or [F.lit(0)])
         broken = {column: n for column, n in missing.first().asDict().items() if n}
@@ -134,20 +183,18 @@ def write_tables(
     """
     spark = raw.sparkSession
     rows = journeys(raw, base, applied_on, stages)
-    loads = _loads(spark, folder)
     load = f"load-{uuid.uuid4().hex}"
     own = f"{folder}/{load}"
     try:
         tables = {name: write_table(df, own, name) for name, df in base_frames(rows, stages).items()}
+        index = write_index(tables["candidates"], own)
         if check:
-            _require_sound(tables)
+            require_keys(index)
+            require_values(tables)
         tables |= write_star(tables, applications_flat(rows), own, assigned)
     except BaseException:
         remove(spark, own)
         raise
-    number = loads[-1][0] + 1 if loads else 1
-    line = spark.createDataFrame([(number, load)], LOADS).coalesce(1)
-    line.write.mode("append").json(f"{folder}/_loads")  # committed as a whole: from here on the load is read
-    for _, old in loads[:-1]:
-        remove(spark, f"{folder}/{old}")
+    commit(spark, folder, load)
+    drop_old_loads(spark, folder)
     return tables
