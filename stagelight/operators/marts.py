@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from stagelight.functions.dates import month_text
 from stagelight.functions.funnel import band_rank, has_stage, name_bit
 from stagelight.functions.funnel import score_band as band_of
-from stagelight.functions.rates import nonzero, rate
+from stagelight.functions.rates import nonzero, rate, rounded_ratio
 from stagelight.operators.stages import reached_stages
 from stagelight.schemas import STAGES, Stage
 
@@ -76,7 +76,7 @@ def stage_durations(closed_events: DataFrame) -> DataFrame:
     """Mean days in each stage over events that have an exit, longest first."""
     days = F.datediff("stage_exited_at", "stage_entered_at")
     means = closed_events.where(F.col("stage_exited_at").isNotNull()).groupBy("stage_name")
-    means = means.agg(F.round(F.avg(days), 2).alias("avg_days_in_stage"))
+    means = means.agg(rounded_ratio(F.sum(days), F.count(days), 2).alias("avg_days_in_stage"))
     return means.orderBy(F.desc("avg_days_in_stage"), "stage_name")
 
 

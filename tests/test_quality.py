@@ -1,9 +1,12 @@
 """Constraint counts on tables that break every kind of rule."""
 
 import datetime as dt
+import random
+
+from pyspark.sql import functions as F
 
 from stagelight.operators import quality
-from stagelight.schemas import CONSTRAINTS, TABLES
+from stagelight.schemas import CONSTRAINTS, TABLES, Rules
 
 DAY = dt.date(2024, 1, 1)
 
@@ -79,3 +82,68 @@ def test_every_declared_rule_is_reported(spark):
     )
     assert len(rules) == declared == 48
     assert set(rules.values()) == {(0, 0)}
+
+
+def brute(tables, constraints):
+    rows = {name: [r.asDict() for r in df.collect()] for name, df in tables.items()}
+    found = {}
+    for name, rules in constraints.items():
+        own = rows[name]
+        keys = [r[rules.key] for r in own]
+        found[name, rules.key, "primary_key"] = (len(own), len(own) - len(set(keys) - {None}))
+        for column in rules.required:
+            found[name, column, "not_null"] = (len(own), sum(r[column] is None for r in own))
+        for column in rules.unique:
+            values = [r[column] for r in own if r[column] is not None]
+            found[name, column, "unique"] = (len(values), len(values) - len(set(values)))
+        for column, (parent, key) in rules.foreign.items():
+            known = {r[key] for r in rows[parent]}
+            values = [r[column] for r in own if r[column] is not None]
+            found[name, column, "foreign_key"] = (len(values), sum(v not in known for v in values))
+    return found
+
+
+def test_random_keys_of_every_kind_as_brute_force(spark):
+    rng = random.Random(3)
+
+    def number():
+        return rng.choice([None, rng.randrange(-40, 600), rng.randrange(-40, 600), rng.randrange(-(2**63), 2**63)])
+
+    def day():
+        return rng.choice([None, dt.date(1969, 1, 1) + dt.timedelta(rng.randrange(700))])
+
+    def text():
+        return rng.choice([None, "", f"t{rng.randrange(60)}"])
+
+    parent = [(number(), day(), text()) for _ in range(500)]
+    child = [(number(), number(), day(), text(), number()) for _ in range(900)]
+    child += [(k, rng.choice([p[0] for p in parent[:50]]), None, None, None) for k in range(300)]
+    tables = {
+        "a": spark.createDataFrame(parent, "id long, day date, name string").repartition(3),
+        "b": spark.createDataFrame(child, "id long, a_id long, day date, name string, also long").repartition(5),
+        "c": spark.createDataFrame([(t,) for t in "xyzx"], "code string"),
+        "d": spark.createDataFrame(parent, "id long, day date, name string"),
+    }
+    constraints = {
+        "a": Rules("id", unique=("day", "name")),
+        "b": Rules("id", required=("day",), foreign={"a_id": ("a", "id"), "also": ("a", "id")}),
+        "c": Rules("code"),
+        "d": Rules("day", foreign={"name": ("c", "code")}),
+    }
+    rows = quality.constraint_violations(tables, constraints).collect()
+    assert {(r.table_name, r.column_name, r.rule): (r.rows_checked, r.violations) for r in rows} == brute(
+        tables, constraints
+    )
+
+
+def test_integral_keys_cross_the_shuffle_as_bits(spark):
+    """Of 2^20 keys and as many references a row per 256 keys and task is left, and no key becomes a string."""
+    keys = spark.range(0, 1 << 20, 1, 8)
+    tables = {"a": keys, "b": keys.select((F.col("id") + 5).alias("id"), F.col("id").alias("a_id"))}
+    plan = quality._Plan(tables, {"a": Rules("id"), "b": Rules("id", foreign={"a_id": ("a", "id")})})
+    chunks = quality._chunks(quality._sent(tables, plan.sent), range(plan.slots))
+    assert chunks.count() <= 2 * (1 << 20) // 256 + 2
+    text = chunks._jdf.queryExecution().executedPlan().toString()
+    assert "as string" not in text and "SortAggregate" not in text
+    rows = quality.constraint_violations(tables, {"a": Rules("id"), "b": Rules("id", foreign={"a_id": ("a", "id")})})
+    assert [r.violations for r in rows.collect()] == [0, 0, 0]
