@@ -36,7 +36,12 @@ def funnel_counts(reached: DataFrame, stages: Sequence[Stage] = STAGES) -> DataF
 
     Counts rows: application ids must be unique, as in ``reached_stages`` of any events and ``journeys`` of sound rows.
     """
-    return _stage_rows(reached.agg(*_stage_sums(stages)), [], stages)
+    return funnel_of_sums(reached.agg(*_stage_sums(stages)), stages)
+
+
+def funnel_of_sums(sums: DataFrame, stages: Sequence[Stage] = STAGES) -> DataFrame:
+    """The same from one row of applications per stage, a column each in lower case."""
+    return _stage_rows(sums, [], stages)
 
 
 def stage_counts_unfiltered(events: DataFrame, stages: Sequence[Stage] = STAGES) -> DataFrame:
@@ -66,8 +71,12 @@ def conversion_overall(reached: DataFrame, stages: Sequence[Stage] = STAGES) ->
 
     Counts rows: application ids must be unique, as for ``funnel_counts``.
     """
+    return overall_of_sums(reached.agg(*_stage_sums(stages)), stages)
+
+
+def overall_of_sums(sums: DataFrame, stages: Sequence[Stage] = STAGES) -> DataFrame:
     names = [s.name.lower() for s in stages]
-    counts = reached.agg(*_stage_sums(stages)).select([nonzero(F.col(n)).alias(n) for n in names])
+    counts = sums.select([nonzero(F.col(n)).alias(n) for n in names])
     steps = [rate(F.col(b), F.col(a)).alias(f"conv_{a}_to_{b}") for a, b in zip(names, names[1:])]
     return counts.select(*names, *steps, rate(F.col(names[-1]), F.col(names[0])).alias("conv_overall"))
 
@@ -75,14 +84,23 @@ def conversion_overall(reached: DataFrame, stages: Sequence[Stage] = STAGES) ->
 def stage_durations(closed_events: DataFrame) -> DataFrame:
     """Mean days in each stage over events that have an exit, longest first."""
     days = F.datediff("stage_exited_at", "stage_entered_at")
-    means = closed_events.where(F.col("stage_exited_at").isNotNull()).groupBy("stage_name")
-    means = means.agg(rounded_ratio(F.sum(days), F.count(days), 2).alias("avg_days_in_stage"))
+    closed = closed_events.where(F.col("stage_exited_at").isNotNull()).groupBy("stage_name")
+    return durations_of_sums(closed.agg(F.sum(days).alias("days"), F.count(days).alias("n")))
+
+
+def durations_of_sums(sums: DataFrame) -> DataFrame:
+    """The same from the days and number of events per stage."""
+    means = sums.select("stage_name", rounded_ratio(F.col("days"), F.col("n"), 2).alias("avg_days_in_stage"))
     return means.orderBy(F.desc("avg_days_in_stage"), "stage_name")
 
 
 def _conversion(groups: DataFrame, column: str, apps: Column, hires: Column, rate_name: str) -> DataFrame:
-    totals = groups.groupBy(column).agg(apps.alias("apps"), hires.alias("hires"))
-    return totals.withColumn(rate_name, rate(F.col("hires"), F.col("apps")))
+    return conversion_of_sums(groups.groupBy(column).agg(apps.alias("apps"), hires.alias("hires")), rate_name)
+
+
+def conversion_of_sums(sums: DataFrame, rate_name: str = "conversion_rate") -> DataFrame:
+    """Applications and hires per group with their rate."""
+    return sums.withColumn(rate_name, rate(F.col("hires"), F.col("apps")))
 
 
 def _conversion_of_rows(flat: DataFrame, column: str, rate_name: str = "conversion_rate") -> DataFrame:
@@ -155,12 +173,18 @@ def with_reached(fact: DataFrame, fact_stage_event: DataFrame, stages: Sequence[
     return fact.join(reached_stages(fact_stage_event, stages), "application_id")
 
 
+SLICE_KEYS = ["role_key", "source_key", "recruiter_key"]
+
+
 def funnel_by_slice(
     reached_fact: DataFrame, dims: dict[str, DataFrame], stages: Sequence[Stage] = STAGES
 ) -> DataFrame:
     """Applications per role, source, recruiter and stage: aggregate on the keys, then look the names up."""
-    keys = ["role_key", "source_key", "recruiter_key"]
-    rows = _stage_rows(reached_fact.groupBy(keys).agg(*_stage_sums(stages)), keys, stages)
+    return slices_of_sums(reached_fact.groupBy(SLICE_KEYS).agg(*_stage_sums(stages)), dims, stages)
+
+
+def slices_of_sums(sums: DataFrame, dims: dict[str, DataFrame], stages: Sequence[Stage] = STAGES) -> DataFrame:
+    rows = _stage_rows(sums, SLICE_KEYS, stages)
     for name in ["role", "source", "recruiter"]:
         rows = rows.join(dims[f"dim_{name}"], f"{name}_key")
     return rows.select("role_name", "source_name", "recruiter_name", "stage_name", "apps")
@@ -169,12 +193,19 @@ def funnel_by_slice(
 def cohort_conversion(reached_fact: DataFrame, stages: Sequence[Stage] = STAGES) -> DataFrame:
     """Applications per month of application and stage, stages as columns; NULL where a stage has none."""
     by_month = reached_fact.groupBy(month_text(F.col("applied_date_key")).alias("cohort_month"))
-    counts = by_month.agg(*_stage_sums(stages))
+    return cohorts_of_sums(by_month.agg(*_stage_sums(stages)), stages)
+
+
+def cohorts_of_sums(sums: DataFrame, stages: Sequence[Stage] = STAGES) -> DataFrame:
     names = [s.name.lower() for s in stages]
-    return counts.select("cohort_month", *[nonzero(F.col(n)).alias(n) for n in names]).orderBy("cohort_month")
+    return sums.select("cohort_month", *[nonzero(F.col(n)).alias(n) for n in names]).orderBy("cohort_month")
 
 
 def score_band(fact: DataFrame) -> DataFrame:
     """Applications, hires and hire rate per score band, in band order. A NULL score counts as 'Very High'."""
     banded = fact.select(band_of(F.col("score")).alias("score_band"), "hired")
-    return _conversion_of_rows(banded, "score_band", "hire_rate").orderBy(band_rank(F.col("score_band")))
+    return in_band_order(_conversion_of_rows(banded, "score_band", "hire_rate"))
+
+
+def in_band_order(bands: DataFrame) -> DataFrame:
+    return bands.orderBy(band_rank(F.col("score_band")))

@@ -19,20 +19,22 @@ from stagelight.operators.load import journeys
 from stagelight.operators.marts import applications_flat
 from stagelight.plans.bitmaps import BITS, count_bits, unfolded
 from stagelight.plans.shared import remove, scratch, written
-from stagelight.schemas import BASE_DATE, STAGES, TABLES, Stage
+from stagelight.schemas import BASE_DATE, STAGES, Stage
 from stagelight.sources.raw import rename_raw, text_reader, typed
 from stagelight.sources.warehouse import (
-    KEY_INDEX,
+    STATES_TABLE,
     all_loads,
     base_frames,
     commit,
     current_loads,
     drop_old_loads,
-    read_table,
+    read_index,
+    read_states,
     read_tables,
     require_keys,
     require_values,
     write_index,
+    write_states,
     write_table,
 )
 
@@ -89,12 +91,13 @@ def append_tables(
             index = write_index(rows, own)
             require_keys(index)
             if current:
-                refuse_stored(index, read_table(spark, folder, KEY_INDEX))
+                refuse_stored(index, read_index(spark, folder))
             tables = {name: write_table(df, own, name) for name, df in base_frames(rows, stages).items()}
             require_values(tables)
             dims = _merged_dims(tables, read_tables(spark, folder) if current else {}, own)
             write_table(star.fact_application(applications_flat(rows), dims, assigned), own, "fact_application")
             write_table(star.fact_stage_event(tables["stage_events"]), own, "fact_stage_event")
+            write_states(rows, own, stages, assigned)
     except BaseException:
         remove(spark, own)
         raise
@@ -142,7 +145,7 @@ def append_files(
     return added
 
 
-def compacted(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def compacted(spark: SparkSession, folder: str, stages: Sequence[Stage] = STAGES) -> dict[str, DataFrame]:
     """Write the tables of many batches again as one load that replaces them; keys and names of batches are kept."""
     current = current_loads(all_loads(spark, folder))
     load = f"load-{uuid.uuid4().hex}"
@@ -150,9 +153,10 @@ def compacted(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     try:
         tables = {name: write_table(df, own, name) for name, df in read_tables(spark, folder).items()}
         write_index(tables["candidates"], own)
+        read_states(spark, folder, stages).coalesce(1).write.parquet(f"{own}/{STATES_TABLE}")
     except BaseException:
         remove(spark, own)
         raise
     commit(spark, folder, load, batches=[batch for one in current for batch in one.batches])
     drop_old_loads(spark, folder)
-    return {name: read_table(spark, folder, name) for name in TABLES}
+    return read_tables(spark, folder)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from stagelight.operators import marts
 from stagelight.operators.stages import reached_stages
+from stagelight.operators.states import view_frames
 from stagelight.schemas import STAGES, Stage
 
 
@@ -32,12 +33,18 @@ def result_frames(tables: Mapping[str, DataFrame], stages: Sequence[Stage] = STA
     }
 
 
-def create_views(tables: Mapping[str, DataFrame], stages: Sequence[Stage] = STAGES) -> list[str]:
+def create_views(
+    tables: Mapping[str, DataFrame], stages: Sequence[Stage] = STAGES, states: DataFrame | None = None
+) -> list[str]:
     """Create or replace a temporary view per table and result; returns their names.
 
-    A view is a plan, not data: what a query over it selects and filters still reaches the Parquet scan.
+    A view is a plan, not data: what a query over it selects and filters still reaches the Parquet scan. With the stored
+    ``states`` of all loads (``warehouse.read_states``) the aggregate views add those up, and read neither events nor
+    applications.
     """
     frames = {**tables, **result_frames(tables, stages)}
+    if states is not None:
+        frames |= view_frames(states, tables, stages)
     for name, df in frames.items():
         df.createOrReplaceTempView(name)
     return list(frames)

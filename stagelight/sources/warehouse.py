@@ -5,7 +5,8 @@ the one that is read. A load that fails leaves the tables as they were. A line m
 it, as batches do (``sources.batches``); then a table is read from the folders of all of them. Tables that lie directly
 in the folder, as the incremental load writes them, are read where there is no such line.
 
-Beside its tables a load keeps an index of the candidate ids in it, as bits.
+Beside its tables a load keeps an index of the candidate ids in it, as bits, and its states of the aggregate views
+(``operators.states``).
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ from typing import NamedTuple
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from stagelight.operators import star
+from stagelight.operators import star, states
 from stagelight.operators.load import journeys
 from stagelight.operators.marts import applications_flat
 from stagelight.operators.stages import closed_stage_events
@@ -28,7 +30,7 @@ from stagelight.plans.shared import remove, scratch
 from stagelight.schemas import BASE_DATE, CONSTRAINTS, STAGES, TABLES, Stage
 
 BASE_TABLES = ["candidates", "applications", "stage_events"]
-KEY_INDEX = "key_index"
+KEY_INDEX, STATES_TABLE = "key_index", "view_states"
 LOADS = "number long, load string, appends boolean, batches array<string>"
 
 
@@ -81,19 +83,30 @@ def drop_old_loads(spark: SparkSession, folder: str) -> None:
         remove(spark, f"{folder}/{old.load}")
 
 
-def _read(spark: SparkSession, folder: str, loads: Sequence[Load], name: str) -> DataFrame:
+def _read(
+    spark: SparkSession, folder: str, loads: Sequence[Load], name: str, schema: StructType | str | None = None
+) -> DataFrame:
     """A table over its loads. Dimensions of given members are in the first one alone."""
     places = [f"{folder}/{load.load}" for load in loads] or [folder]
     if name in star.LISTED:
         places = places[:1]
-    schema = INDEX if name == KEY_INDEX else TABLES[name]
-    return spark.read.schema(schema).parquet(*[f"{place}/{name}" for place in places])
+    return spark.read.schema(schema or TABLES[name]).parquet(*[f"{place}/{name}" for place in places])
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return _read(spark, folder, current_loads(all_loads(spark, folder)), name)
 
 
+def read_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The index of all stored candidate ids."""
+    return _read(spark, folder, current_loads(all_loads(spark, folder)), KEY_INDEX, INDEX)
+
+
+def read_states(spark: SparkSession, folder: str, stages: Sequence[Stage] = STAGES) -> DataFrame:
+    """What every load adds to the aggregate views."""
+    return _read(spark, folder, current_loads(all_loads(spark, folder)), STATES_TABLE, states.schema(stages))
+
+
 def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     loads = current_loads(all_loads(spark, folder))
     return {name: _read(spark, folder, loads, name) for name in TABLES}
@@ -112,7 +125,14 @@ def write_index(candidates: DataFrame, folder: str) -> DataFrame:
     """Write the index of candidate ids, in order, so that a range of ids is read alone; and read it back."""
     ordered = key_index(candidates, "candidate_id").repartitionByRange("chunk").sortWithinPartitions("chunk")
     ordered.write.parquet(f"{folder}/{KEY_INDEX}")
-    return _read(candidates.sparkSession, folder, [], KEY_INDEX)
+    return _read(candidates.sparkSession, folder, [], KEY_INDEX, INDEX)
+
+
+def write_states(
+    rows: DataFrame, folder: str, stages: Sequence[Stage] = STAGES, assigned: dict[str, Column] | None = None
+) -> None:
+    """Write the states of a load's journeys: a few rows per group, in one file."""
+    states.load_states(rows, stages, assigned).coalesce(1).write.parquet(f"{folder}/{STATES_TABLE}")
 
 
 def base_frames(rows: DataFrame, stages: Sequence[Stage] = STAGES) -> dict[str, DataFrame]:
@@ -175,7 +195,8 @@ def write_tables(
     table requires, stops the load with an error, and the tables of the load before stay; ``check=False`` skips those
     counts for rows known to be sound. The load before the last stays in the folder for whoever still reads it.
 
-    Every big table is a projection of the raw rows, so no write shuffles them, but four of them read ``raw``. Where
+    Every big table is a projection of the raw rows, so no write shuffles them, but four of them read ``raw``, and
+    so do the states of views. Where
     that is dear, as with text or a join, store it first and remove it afterwards::
 
         with scratch(spark):
@@ -192,6 +213,7 @@ def write_tables(
             require_keys(index)
             require_values(tables)
         tables |= write_star(tables, applications_flat(rows), own, assigned)
+        write_states(rows, own, stages, assigned)
     except BaseException:
         remove(spark, own)
         raise

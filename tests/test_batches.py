@@ -10,9 +10,19 @@ import golden
 from stagelight.operators import marts, star
 from stagelight.plans.bitmaps import key_index, unfolded
 from stagelight.schemas import RAW, RAW_SOURCE_NAMES, TABLES
+from stagelight.operators.states import view_frames
 from stagelight.sources import batches
 from stagelight.sources.batches import append_files, append_tables, compacted
-from stagelight.sources.warehouse import all_loads, current_loads, read_table, read_tables, write_tables
+from stagelight.sources.views import create_views, result_frames
+from stagelight.sources.warehouse import (
+    all_loads,
+    current_loads,
+    read_index,
+    read_states,
+    read_table,
+    read_tables,
+    write_tables,
+)
 
 PARTS = {"b": (0, 250), "a": (250, 260), "c": (260, 614)}
 
@@ -113,13 +123,14 @@ def test_stored_ids_are_refused_before_a_row_is_written(spark, tmp_path, monkeyp
     append_tables(part(spark, "b"), folder, "b")
     append_tables(part(spark, "a"), folder, "a")
     read, written = [], []
-    own_read, own_write = batches.read_table, batches.write_table
-    monkeypatch.setattr(batches, "read_table", lambda s, f, name: (read.append(name), own_read(s, f, name))[1])
+    own_read, own_write = batches.read_index, batches.write_table
+    monkeypatch.setattr(batches, "read_index", lambda s, f: (read.append("index"), own_read(s, f))[1])
+    monkeypatch.setattr(batches, "read_tables", lambda *a: read.append("tables"))
     monkeypatch.setattr(batches, "write_table", lambda df, f, name: (written.append(name), own_write(df, f, name))[1])
     again = part(spark, "c").union(part(spark, "a").limit(3))
     with pytest.raises(ValueError, match=r"3 ids of the batch are stored already, among them \[251, 252, 253\]"):
         append_tables(again, folder, "c")
-    assert read == ["key_index"] and written == []
+    assert read == ["index"] and written == []
     assert read_table(spark, folder, "candidates").count() == 260
     for broken in (part(spark, "c").union(part(spark, "c").limit(1)), part(spark, "c", {"serial_no": None})):
         with pytest.raises(ValueError, match="raw rows have no serial_no or repeat one"):
@@ -131,7 +142,7 @@ def test_the_test_for_stored_ids_reads_the_index_in_range(spark, tmp_path):
     folder = str(tmp_path)
     append_tables(part(spark, "b"), folder, "b")
     index = key_index(part(spark, "c").withColumnRenamed("serial_no", "candidate_id"), "candidate_id")
-    stored = read_table(spark, folder, "key_index").where(F.col("chunk").between(1, 2))
+    stored = read_index(spark, folder).where(F.col("chunk").between(1, 2))
     shared = batches.shared_keys(index, stored)
     assert shared.count() == 0
     plan = shared._jdf.queryExecution().executedPlan().toString()
@@ -204,6 +215,28 @@ def test_many_batches_become_one_load_that_knows_them(spark, tmp_path, whole):
         append_tables(part(spark, "b"), folder, "other name")
 
 
+def test_views_over_batches_read_states_and_equal_a_recomputation(spark, tmp_path):
+    folder = str(tmp_path)
+    for name in "ab":
+        append_tables(part(spark, name), folder, name)
+    odd = part(spark, "c", {"score": None, "education": None})
+    append_tables(odd.unionByName(odd.withColumn("serial_no", F.col("serial_no") + 1000)), folder, "c")
+    for _ in range(2):
+        tables = read_tables(spark, folder)
+        views = view_frames(read_states(spark, folder), tables)
+        for name, df in result_frames(tables).items():
+            if name in views:
+                assert views[name].columns == df.columns
+                assert rows_of(views[name]) == rows_of(df), name
+                read = {p.split("/")[-2] for p in views[name].inputFiles()}
+                assert read <= {"view_states", "dim_role", "dim_source", "dim_recruiter"}
+        compacted(spark, folder)
+    create_views(tables, states=read_states(spark, folder))
+    assert spark.sql("select sum(apps) from v_score_band").first()[0] == 968
+    empty = view_frames(read_states(spark, folder).limit(0), tables)
+    assert empty["v_funnel_counts"].count() == 0 and empty["v_conversion_overall"].first().applied is None
+
+
 def test_files_are_batches(spark, tmp_path, whole):
     source, folder = tmp_path / "raw", str(tmp_path / "tables")
     source.mkdir()
