@@ -230,6 +230,13 @@ def _violations() -> str:
     return "\nunion all ".join(rules)
 
 
+def _lasting(name: str, column: str) -> str:
+    """Members numbered by the batch they first came in, then by value."""
+    return f"""select cast(row_number() over (order by batch, {column}) as int) as {name}_key, {column}
+from (select {column}, min(case location when 'Urban' then 1 when 'Semiurban' then 2 else 3 end) as batch
+      from app where {column} is not null group by {column})"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         "raw_row_count": _with([_RAW], "select count(*) as raw_rows from raw"),
@@ -272,6 +279,24 @@ def oracle_sql() -> dict[str, str]:
         "export_csv": _with(_CLOSED_EVENTS, _export_lines()),
         "constraint_violations": _with([*_STAR, _TIME, _EVENT, _CLOSED], _violations()),
     }
+    for name, column in [("education", "education_level"), ("location", "location")]:
+        sql[f"dim_{name}_by_batches"] = _with(_BASE, _lasting(name, column))
+    sql["stored_ids"] = _with(
+        [_RAW],
+        """select count(*) as batch_rows, count(distinct serial_no) as batch_ids,
+             count(distinct serial_no) filter (location = 'Urban') as stored_ids from raw""",
+    )
+    sql["applications_flat_star_by_batches"] = sql["applications_flat_star"]
+    sql["dim_time_by_batches"] = sql["dim_time"]
+    for name in [
+        "funnel_by_slice",
+        "cohort_conversion",
+        "stage_durations",
+        "conversion_overall",
+        "conversion_by_education",
+        "score_band",
+    ]:
+        sql[f"{name}_from_states"] = sql[name]
     for role, part in [("recruiter", _RECRUITER), ("source", _SOURCE), ("role", _ROLE)]:
         match = f"{role}_key = candidate_id % 4 + 1"
         sql[f"dim_{role}"] = _with([*_BASE, part], _members(f"{role}_key", f"{role}_name", f"dim_{role}", match))

@@ -7,13 +7,16 @@ result through the operators that work on stored tables; both have the same orac
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagelight.operators import load, marts, quality, stages, star
+from stagelight.operators import load, marts, quality, stages, star, states
+from stagelight.plans.bitmaps import BITS, count_bits, key_index
 from stagelight.plans.shared import shared_path, written
 from stagelight.schemas import TABLES
+from stagelight.sources import batches, warehouse
 from stagelight.sources.export import export_results
 from stagelight.sources.orders import raw_from_orders
 
@@ -119,6 +122,71 @@ def _constraint_violations(raw: DataFrame) -> DataFrame:
     return quality.constraint_violations(tables)
 
 
+#: Three deliveries of the raw rows, each with a location of its own.
+DELIVERIES = ["Urban", "Semiurban", "Rural"]
+
+
+def _delivered(raw: DataFrame) -> list[DataFrame]:
+    return [raw.where(F.col("location") == place) for place in DELIVERIES]
+
+
+def _applications_flat_star_by_batches(raw: DataFrame) -> DataFrame:
+    """The star after two batches, the first of them offered twice."""
+    spark, folder = raw.sparkSession, shared_path(raw.sparkSession, "batches")
+    first, *rest = _delivered(raw)
+    for name, rows in [("first", first), ("first", first), ("rest", reduce(DataFrame.unionByName, rest))]:
+        batches.append_tables(rows, folder, name)
+    tables = warehouse.read_tables(spark, folder)
+    return marts.applications_flat_star(tables["fact_application"], tables)
+
+
+def _dim_by_batches(name: str) -> Query:
+    """A dimension after three batches and one of them again: members keep the key they got first."""
+
+    def run(raw: DataFrame) -> DataFrame:
+        first, *rest = _delivered(raw)
+        dim = star.attribute_dims(load.candidates(first), [name])[name]
+        for rows in [*rest, first]:
+            dim = dim.unionByName(star.new_members(load.candidates(rows), {name: dim})[name])
+        return dim
+
+    return _of_raw(run)
+
+
+def _dim_time_by_batches(raw: DataFrame) -> DataFrame:
+    """The calendar after three batches, the one in the middle of time first."""
+    rows = load.applications(raw)
+    middle = rows.where(F.col("application_id").between(10_000, 20_000))
+    days = written(star.dim_time(middle), "days")
+    for batch in (rows.where(F.col("application_id") > 20_000), rows.where(F.col("application_id") < 10_000)):
+        days = days.unionByName(written(star.new_days(batch, days), "days"))
+    return days
+
+
+def _stored_ids(raw: DataFrame) -> DataFrame:
+    """All raw rows as a batch, tested against the index of the first delivery."""
+    first, *_ = _delivered(raw)
+    index = written(key_index(raw, "serial_no"), "index")
+    stored = written(key_index(first, "serial_no"), "index")
+    bits = [F.col(b) for b in BITS]
+    none = F.lit(0).cast("long")
+    own = index.select(F.col("n").alias("rows"), count_bits(bits).cast("long").alias("ids"), none.alias("stored"))
+    shared = batches.shared_keys(index, stored).select(none.alias("rows"), none.alias("ids"), F.col("n").alias("stored"))
+    sums = [F.sum(c).alias(name) for c, name in (("rows", "batch_rows"), ("ids", "batch_ids"), ("stored", "stored_ids"))]
+    return own.unionByName(shared).agg(*sums)
+
+
+def _of_states(view: str) -> Query:
+    """A view from the stored states of three batches."""
+
+    def run(raw: DataFrame) -> DataFrame:
+        kept = [written(states.load_states(load.journeys(rows)), "states") for rows in _delivered(raw)]
+        dims = star.listed_dims(raw.sparkSession)
+        return states.view_frames(reduce(DataFrame.unionByName, kept), dims)[view]
+
+    return _of_raw(run)
+
+
 def queries() -> dict[str, Query]:
     return {
         # load
@@ -168,6 +236,18 @@ def queries() -> dict[str, Query]:
         ),
         "cohort_conversion_by_order_date": _of_raw(_cohort_by_order_date),
         "score_band": _of_journeys(marts.score_band),
+        # batches
+        "applications_flat_star_by_batches": _of_raw(_applications_flat_star_by_batches),
+        "dim_location_by_batches": _dim_by_batches("dim_location"),
+        "dim_education_by_batches": _dim_by_batches("dim_education"),
+        "dim_time_by_batches": _of_raw(_dim_time_by_batches),
+        "stored_ids": _of_raw(_stored_ids),
+        "funnel_by_slice_from_states": _of_states("v_funnel_by_slice"),
+        "cohort_conversion_from_states": _of_states("v_cohort_conversion"),
+        "stage_durations_from_states": _of_states("v_stage_durations"),
+        "conversion_overall_from_states": _of_states("v_conversion_overall"),
+        "conversion_by_education_from_states": _of_states("v_conversion_by_edu"),
+        "score_band_from_states": _of_states("v_score_band"),
         # export and data quality
         "export_csv": _of_raw(_export_csv),
         "constraint_violations": _of_raw(_constraint_violations),
