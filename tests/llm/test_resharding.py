@@ -113,3 +113,20 @@ def test_query(spark, rng, tmp_path):
         assert (row["size"], row["text_crc32"], row["law"], row["grown_shard"]) == (len(raw) + 8, zlib.crc32(raw), "bytes", None)
     sizes = np.bincount([r["shard"] for r in rows], weights=[r["size"] for r in rows], minlength=24)
     assert len(sizes) == 24 and sizes.max() - sizes.min() <= 2 * max(r["size"] for r in rows)
+
+
+def test_many_rows_alike_are_dealt_like_any_others(spark, rng, tmp_path):
+    """Of 1,000 rows 400 share id, text and source."""
+    texts = ["the same text in all of them " * 3] * 400 + [prose(rng, rng.randrange(10, 20)) for _ in range(600)]
+    ids = [7] * 400 + list(range(1000, 1600))
+    docs = documents(spark, texts, ids).withColumn("source", F.when(F.col("doc_id") == 7, "hot").otherwise((F.col("doc_id") % 9).cast("string")))
+    docs.repartition(5).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = op2_resharding(spark, str(tmp_path)).collect()
+    sizes, slots = Counter(), defaultdict(list)
+    for row in rows:
+        sizes[row["shard"]] += row["size"]
+        slots[row["shard"]].append(row["slot"])
+    largest, mean = max(r["size"] for r in rows), sum(sizes.values()) / 24
+    assert len(rows) == 1000 and set(sizes) == set(range(24))
+    assert all(abs(size - mean) <= 3 * largest for size in sizes.values())
+    assert all(sorted(own) == list(range(len(own))) for own in slots.values())
