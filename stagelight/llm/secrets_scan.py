@@ -72,6 +72,18 @@ def luhn_holds(digits: str) -> bool:
     return total % 10 == 0
 
 
+class Points:
+    """Code points before rising byte positions of a text, each counted on from the one before."""
+
+    def __init__(self, raw: bytes):
+        self.raw, self.byte, self.points = raw, 0, 0
+
+    def before(self, byte: int) -> int:
+        self.points += len(self.raw[self.byte : byte].decode())
+        self.byte = byte
+        return self.points
+
+
 class Scanner:
     def __init__(self):
         self.keywords = _keywords()
@@ -109,11 +121,11 @@ class Scanner:
 
     def _runs(self, raw: bytes, text: str) -> list[Span]:
         """Maximal runs of lower-case hexadecimal digits of full length."""
-        marks, found, at = raw.translate(_IS_HEX), [], 0
+        marks, found, at, points = raw.translate(_IS_HEX), [], 0, Points(raw)
         while (at := marks.find(b"\1" * LEAST_HEX, at)) >= 0:
             end = marks.find(b"\0", at)
             end = len(marks) if end < 0 else end
-            start = len(raw[:at].decode())
+            start = points.before(at)
             found.append(("hex", start, start + end - at))
             at = end
         return found
@@ -121,9 +133,9 @@ class Scanner:
     def _cards(self, raw: bytes, text: str) -> list[Span]:
         """Card numbers, looked for only where four digits stand together; one that fails takes no place."""
         marks, found, at = raw.translate(_IS_DIGIT), [], 0
-        tried = -1
+        tried, points = -1, Points(raw)
         while (at := marks.find(b"\1\1\1\1", at)) >= 0:
-            begin = len(raw[:at].decode())
+            begin = points.before(at)
             if begin > tried and (match := CARD.match(text, begin)):
                 digits = re.sub("[ -]", "", match[0])
                 if digits[0] in CARD_LEADS and luhn_holds(digits):

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 import zlib
 
 import pytest
@@ -85,3 +86,12 @@ def test_card_after_digits_that_fail():
     text = "2024 4111 1111 1111 1111, 12-31 5500-0055-5555-5559"
     cards = [text[s:e] for kind, s, e in Scanner().spans(text) if kind == "card"]
     assert cards == ["4111 1111 1111 1111", "5500-0055-5555-5559"]
+
+
+def test_long_texts_take_linear_time():
+    for part, count in (("1999 é ", 400_000), ("0123456789abcdef" * 2 + " é ", 80_000), ("token=abcdefgh ", 200_000)):
+        text = part * count
+        begun = time.perf_counter()
+        found = SCANNER.spans(text)
+        assert time.perf_counter() - begun < 20
+        assert [s for s in found if s[0] in ("assign", "access", "hex")] == brute(text)
