@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagelight.llm.common import bit_field, bits_at, field_size, in_pieces, kept, keyed_text, ship, stored
+from stagelight.llm.common import bit_field, bits_at, field_size, in_pieces, kept, keyed_text, ship, stored, unused
 from stagelight.llm.components import components
 from stagelight.llm.text_arrays import Block, distinct_per_doc, mixed, shingle_hashes
 from stagelight.plans.shared import shared_path
@@ -72,8 +72,8 @@ def class_key(hashes: np.ndarray) -> bytes:
 
 
 def _classes(rows: DataFrame, like: Similarity) -> DataFrame:
-    """Per row: doc_id, n, class (null for an empty set), its first 8 bytes, the shared first shingles that it needs, and
-    its first shingles as packed hashes."""
+    """Per row: doc_id, text_hash, n, class (null for an empty set), its first 8 bytes, the shared first shingles that it
+    needs, and its first shingles as packed hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,16 +87,18 @@ def _classes(rows: DataFrame, like: Similarity) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column("doc_id"),
+                        piece.column("text_hash"),
                         pa.array(sizes),
                         pa.array(keys, pa.binary()),
                         pa.array(owners, pa.int64()),
                         pa.array(like.needed(sizes)),
                         pa.array(heads, pa.binary()),
                     ],
-                    names=["doc_id", "n", "class", "owner", "needed", "head"],
+                    names=["doc_id", "text_hash", "n", "class", "owner", "needed", "head"],
                 )
 
-    return rows.mapInArrow(run, "doc_id long, n long, class binary, owner long, needed long, head binary")
+    schema = "doc_id long, text_hash long, n long, class binary, owner long, needed long, head binary"
+    return rows.mapInArrow(run, schema)
 
 
 def _active(classes: DataFrame, like: Similarity, block_rows: int) -> DataFrame:
@@ -321,7 +323,8 @@ def linked(
     block_rows: int = 512,
     max_bits: int = 1 << 28,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id (the least id reachable by links).
+    """One row per row of ``docs``: doc_id, n_shingles, component_id (the least id reachable by links), text_hash, and
+    first_hash, the least text_hash that comes with that id.
 
     Words are runs of characters other than ASCII white space, with A to Z lower-cased; a set holds the distinct
     shingles of the whole text, or the whole of a shorter text as one. Null and empty texts have an empty set and are
@@ -331,7 +334,7 @@ def linked(
     """
     spark = docs.sparkSession
     ship(spark)
-    rows = keyed_text(docs, id_col, text_col)
+    rows = keyed_text(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
     found, active = _found_and_active(rows, like)
 
     def roots() -> DataFrame:
@@ -340,26 +343,29 @@ def linked(
 
     def placed() -> DataFrame:
         root = F.coalesce("root", "class").alias("root")
-        known = found.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least_id"))
+        row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+        known = found.where("class is not null").groupBy("class").agg(F.min(row).alias("least"))
         linked = kept(spark, "roots", roots).withColumnRenamed("node", "class")
-        placed = stored(known.join(linked, "class", "left").select("class", "least_id", root), "placed")
-        least = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
-        return placed.join(least, "root").select("class", "component_id")
+        placed = stored(known.join(linked, "class", "left").select("class", "least", root), "placed")
+        least = placed.groupBy("root").agg(F.min("least").alias("least"))
+        first = [F.col("least.doc_id").alias("component_id"), F.col("least.text_hash").alias("first_hash")]
+        return placed.drop("least").join(least, "root").select("class", *first)
 
     named = kept(spark, "components", placed)
-    own = found.where("class is null").withColumn("component_id", F.col("doc_id"))
-    result = ["doc_id", F.col("n").alias("n_shingles"), "component_id"]
+    own = found.where("class is null")
+    own = own.withColumns({"component_id": F.col("doc_id"), "first_hash": F.col("text_hash")})
+    result = ["doc_id", F.col("n").alias("n_shingles"), "component_id", "text_hash", "first_hash"]
     return found.where("class is not null").join(named, "class").select(*result).unionByName(own.select(*result))
 
 
 def _found_and_active(rows: DataFrame, like: Similarity) -> tuple[DataFrame, DataFrame]:
-    """doc_id, n and class of every row, and class and least id of every active class."""
+    """doc_id, text_hash, n and class of every row, and class and least id of every active class."""
     spark = rows.sparkSession
     small = shared_path(spark, "llm-found")
 
     def active() -> DataFrame:
         classes = stored(_classes(rows, like), "classes")
-        classes.select("doc_id", "n", "class").write.parquet(small)
+        classes.select("doc_id", "text_hash", "n", "class").write.parquet(small)
         classes = classes.where("class is not null")
         known = classes.groupBy("class").agg(
             F.min("doc_id").alias("least_id"), F.max("owner").alias("owner"), F.max("needed").alias("needed")
@@ -368,13 +374,22 @@ def _found_and_active(rows: DataFrame, like: Similarity) -> tuple[DataFrame, Dat
         return known.join(shared, "owner").where("shared >= needed").select("class", "least_id")
 
     actives = kept(spark, "active", active)
-    return spark.read.schema("doc_id long, n long, class binary").parquet(small), actives
+    return spark.read.schema("doc_id long, text_hash long, n long, class binary").parquet(small), actives
 
 
-def one_per_component(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the documents that link to one with a smaller id. ``found`` is the result of ``linked``.
+def one_per_component(
+    docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` without the documents that link to one that comes first. ``found`` is the result of ``linked``.
 
-    Rows without an id stay; rows that repeat an id stay or go together.
+    Rows are told apart by id and text, so a row that repeats the id of another text goes or stays by its own links. A
+    row goes if its component has a smaller id. Where a component has no id at all, the text with the least hash stays.
+    A row without an id in a component with ids stays, and rows that share the smallest id stay together.
     """
-    gone = found.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    own_id, own_hash = unused(docs, "gone_id"), unused(docs, "gone_hash")
+    other = F.col("component_id").isNull() & (F.col("text_hash") != F.col("first_hash"))
+    is_gone = F.coalesce(F.col("component_id") < F.col("doc_id"), F.lit(False)) | other
+    gone = found.where(is_gone).select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash)).distinct()
+    hashed = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(own_id)) & (hashed == F.col(own_hash))
+    return docs.join(gone, same, "left_anti")

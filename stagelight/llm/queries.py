@@ -57,7 +57,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.linked(table(spark, sf_dir, "documents"))
+    return ngram_join.linked(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

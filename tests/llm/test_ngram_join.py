@@ -106,3 +106,16 @@ def test_components_of_paths_stars_and_rings(spark):
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == dict.fromkeys(range(41), 0) | dict.fromkeys(range(100, 160), 100) | dict.fromkeys((200, 201, 202), 200)
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_one_per_component_loses_no_text_of_a_repeated_or_missing_id(spark, rng):
+    base = prose(rng, 200)
+    near = base + " end"
+    other, third = prose(rng, 50), prose(rng, 60)
+    texts = [base, near, other, third, third + " x", third + " y", None]
+    docs = documents(spark, texts, ids=[1, 2, 2, None, None, None, None], clashing=("gone_id", "text_hash"))
+    left = ngram_join.one_per_component(docs, ngram_join.linked(docs)).collect()
+    found = sorted(((r["doc_id"] or 0), r["text"] or "") for r in left)
+    thirds = [text for _, text in found if text.startswith(third)]
+    assert len(thirds) == 1
+    assert found == sorted([(1, base), (2, other), (0, ""), (0, thirds[0])])
