@@ -38,6 +38,11 @@ class Likeness:
     max_bits: int = 1 << 28  # of a bit field that spares shuffles; when it is full, more rows are shuffled
 
 
+def _says_something(line: Column) -> Column:
+    """Whether a line has more than ASCII white space, as the carriage return of a blank line is."""
+    return F.btrim(line, F.lit(" \t\n\x0b\x0c\r")) != ""
+
+
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, text_hash, line_no, line and key, a 64-bit hash of it, for every line that is not blank."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
@@ -46,7 +51,7 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.xxhash64(text).alias("text_hash"),
         F.posexplode(F.split(text, "\n")).alias("line_no", "line"),
     )
-    return rows.where(F.trim("line") != "").withColumn("key", F.xxhash64("line"))
+    return rows.where(_says_something(F.col("line"))).withColumn("key", F.xxhash64("line"))
 
 
 def _last(wide: Column, like: Likeness) -> Column:
@@ -249,7 +254,7 @@ def _dropped(docs: DataFrame, id_col: str, text_col: str, like: Likeness) -> Dat
     firsts = linked.select("key", "second", "root").join(firsts, "root").select("key", "second", "first")
     firsts = stored(firsts.unionByName(alone.select("key", "second", "first")), "firsts")
     gone = places.join(firsts, ["key", "second"]).where("place > first")
-    return gone.groupBy("doc_id", "text_hash").agg(F.collect_list("line_no").alias("gone"))
+    return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("gone"))
 
 
 def deduplicated(
@@ -259,10 +264,12 @@ def deduplicated(
 
     Lines end at line feeds. Lines whose shingle sets have a Jaccard similarity of ``like.percent`` link; of all lines
     that links connect, equal lines among them, the first stays: the one in the document with the smallest id, highest
-    up. A null id counts last. Blank lines are no lines: they stay where they are and are not counted. A line shorter
+    up. A null id counts last. Lines of ASCII white space alone, as between paragraphs of texts with carriage returns,
+    are no lines: they stay where they are and are not counted. A line shorter
     than a shingle is one as a whole, so it links to equal lines only. Null texts stay null and have no lines. Rows
     that repeat id and text keep the same lines. Other columns stay; where a new name is taken, ``unused`` names the
-    column. Bands find a pair at the threshold with a probability of 0.98, one at 0.9 with 0.999.
+    column. Bands find a pair at the threshold with a probability of 0.96 where both lines
+    have 5 to 50 shingles in all and 0.98 where they have 200, by simulation; one at 0.9 with 0.999.
     """
     n_lines, n_kept, hashed, gone_id, gone_hash, gone_list = (
         unused(docs, name) for name in ("n_lines", "n_kept", "text_hash", "gone_id", "gone_hash", "gone")
@@ -275,12 +282,12 @@ def deduplicated(
     same = identity.eqNullSafe(F.col(gone_id)) & (F.col(hashed) == F.col(gone_hash))
     joined = marked.join(found, same, "left")
     parts = F.split(text, "\n")
-    counted = F.size(F.filter(parts, lambda line: F.trim(line) != "")).cast("long")
+    counted = F.size(F.filter(parts, _says_something)).cast("long")
     # As a map, so that a line is looked up and not searched for in a long list.
-    gone = F.map_from_arrays(F.array_distinct(gone_list), F.array_distinct(gone_list))
+    gone = F.map_from_arrays(F.col(gone_list), F.col(gone_list))
     kept = F.filter(parts, lambda line, k: F.element_at(gone, k).isNull())
     kept = F.when(F.col(gone_list).isNull(), text).otherwise(F.array_join(kept, "\n"))
-    left = counted - F.coalesce(F.size(F.array_distinct(gone_list)), F.lit(0))
+    left = counted - F.coalesce(F.size(gone_list), F.lit(0))
     columns = [kept.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     return joined.select(
         *columns, F.coalesce(counted, F.lit(0)).alias(n_lines), F.coalesce(left, F.lit(0)).cast("long").alias(n_kept)

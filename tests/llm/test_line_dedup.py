@@ -118,3 +118,20 @@ def test_bands_are_parallel_classes():
 def test_plan_runs_no_python(spark):
     plan = line_dedup.deduplicated(documents(spark, ["a b c\nd"]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_paragraph_breaks_of_any_kind_stay(spark):
+    text = "first paragraph line\r\n\r\nsecond paragraph\r\n\t\r\n \x0b\x0c\r\nthird"
+    other = "other words here\r\n\r\n\t\n\nmore of these words"
+    rows = by_id(line_dedup.deduplicated(documents(spark, [text, other, text])))
+    assert rows[0]["text"] == text and rows[1]["text"] == other
+    assert (rows[0]["n_lines"], rows[0]["n_kept"]) == (3, 3) and (rows[1]["n_lines"], rows[1]["n_kept"]) == (2, 2)
+    assert rows[2]["n_kept"] == 0 and rows[2]["text"].split("\n") == ["\r", "\t\r", " \x0b\x0c\r"]
+
+
+def test_many_equal_rows_collect_each_line_once(spark):
+    docs = documents(spark, ["the first line\nthe second line"] * 3000, ids=[5] * 1500 + [None] * 1500)
+    gone = line_dedup._dropped(docs, "doc_id", "text", line_dedup.Likeness()).collect()
+    assert [sorted(r["gone"]) for r in gone] == [[0, 1]]
+    rows = line_dedup.deduplicated(docs).collect()
+    assert sum(r["n_kept"] for r in rows) == 2 * 1500 and len(rows) == 3000
