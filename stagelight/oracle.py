@@ -286,6 +286,7 @@ def oracle_sql() -> dict[str, str]:
         """select count(*) as batch_rows, count(distinct serial_no) as batch_ids,
              count(distinct serial_no) filter (location = 'Urban') as stored_ids from raw""",
     )
+    sql["constraint_violations_by_bits"] = sql["constraint_violations"]
     sql["applications_flat_star_by_batches"] = sql["applications_flat_star"]
     sql["dim_time_by_batches"] = sql["dim_time"]
     for name in [

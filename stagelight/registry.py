@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagelight.operators import load, marts, quality, stages, star, states
+from stagelight.operators import key_checks, load, marts, quality, stages, star, states
 from stagelight.plans.bitmaps import BITS, count_bits, key_index
 from stagelight.plans.shared import shared_path, written
 from stagelight.schemas import TABLES
@@ -107,7 +107,7 @@ def _export_csv(raw: DataFrame) -> DataFrame:
     return lines.select(name.alias("export_name"), F.col("value").alias("line"))
 
 
-def _constraint_violations(raw: DataFrame) -> DataFrame:
+def _constraint_violations(raw: DataFrame, check=quality.constraint_violations) -> DataFrame:
     """All tables of a load, from rows that are stored once."""
     rows = written(load.journeys(raw), "journeys")
     candidates = rows.select(TABLES["candidates"].names)
@@ -119,7 +119,7 @@ def _constraint_violations(raw: DataFrame) -> DataFrame:
         "dim_time": star.dim_time(rows),
         "fact_application": star.fact_application(rows, dims),
     }
-    return quality.constraint_violations(tables)
+    return check(tables)
 
 
 #: Three deliveries of the raw rows, each with a location of its own.
@@ -251,4 +251,7 @@ def queries() -> dict[str, Query]:
         # export and data quality
         "export_csv": _of_raw(_export_csv),
         "constraint_violations": _of_raw(_constraint_violations),
+        "constraint_violations_by_bits": _of_raw(
+            lambda raw: _constraint_violations(raw, key_checks.violations_by_bits)
+        ),
     }

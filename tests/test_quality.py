@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from stagelight.operators import quality
+from stagelight.operators import key_checks, quality
 from stagelight.schemas import CONSTRAINTS, TABLES, Rules
 
 DAY = dt.date(2024, 1, 1)
@@ -103,6 +103,22 @@ def brute(tables, constraints):
     return found
 
 
+def test_declared_rules_of_broken_and_empty_tables_by_bits(spark):
+    blank = [None] * 8
+    cases = [
+        {name: spark.createDataFrame([], TABLES[name]) for name in CONSTRAINTS},
+        {
+            "candidates": table(spark, "candidates", [(1, *blank), (2, *blank), (2, *blank), (None, *blank)]),
+            "applications": table(spark, "applications", [(1, 1, DAY, 0), (2, 9, DAY, 1), (3, 9, None, None)]),
+            "dim_python": table(spark, "dim_python", [(1, 0), (2, 0), (3, 2), (4, None)]),
+            "dim_time": table(spark, "dim_time", [(DAY, 2024, 1, 1, 1)]),
+        },
+    ]
+    for tables in cases:
+        plain, bits = (f(tables).collect() for f in (quality.constraint_violations, key_checks.violations_by_bits))
+        assert sorted(map(tuple, bits)) == sorted(map(tuple, plain))
+
+
 def test_random_keys_of_every_kind_as_brute_force(spark):
     rng = random.Random(3)
 
@@ -130,7 +146,7 @@ def test_random_keys_of_every_kind_as_brute_force(spark):
         "c": Rules("code"),
         "d": Rules("day", foreign={"name": ("c", "code")}),
     }
-    rows = quality.constraint_violations(tables, constraints).collect()
+    rows = key_checks.violations_by_bits(tables, constraints).collect()
     assert {(r.table_name, r.column_name, r.rule): (r.rows_checked, r.violations) for r in rows} == brute(
         tables, constraints
     )
@@ -140,10 +156,10 @@ def test_integral_keys_cross_the_shuffle_as_bits(spark):
     """Of 2^20 keys and as many references a row per 256 keys and task is left, and no key becomes a string."""
     keys = spark.range(0, 1 << 20, 1, 8)
     tables = {"a": keys, "b": keys.select((F.col("id") + 5).alias("id"), F.col("id").alias("a_id"))}
-    plan = quality._Plan(tables, {"a": Rules("id"), "b": Rules("id", foreign={"a_id": ("a", "id")})})
-    chunks = quality._chunks(quality._sent(tables, plan.sent), range(plan.slots))
+    plan = key_checks._Plan(tables, {"a": Rules("id"), "b": Rules("id", foreign={"a_id": ("a", "id")})})
+    chunks = key_checks._chunks(key_checks._sent(tables, plan.sent), range(plan.slots))
     assert chunks.count() <= 2 * (1 << 20) // 256 + 2
     text = chunks._jdf.queryExecution().executedPlan().toString()
     assert "as string" not in text and "SortAggregate" not in text
-    rows = quality.constraint_violations(tables, {"a": Rules("id"), "b": Rules("id", foreign={"a_id": ("a", "id")})})
+    rows = key_checks.violations_by_bits(tables, {"a": Rules("id"), "b": Rules("id", foreign={"a_id": ("a", "id")})})
     assert [r.violations for r in rows.collect()] == [0, 0, 0]
