@@ -9,17 +9,18 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagelight.llm.common import keyed_text, ship, stored, unused
+from stagelight.llm.common import in_pieces, keyed_text, ship, stored, unused
 from stagelight.plans.shared import scratch
 
 #: Letters of other scripts and the Latin letter each looks like.
@@ -40,6 +41,9 @@ _signs = "".join(map(re.escape, STANDS_FOR))
 _substituted = re.compile(rf"(?<=[^\W\d_])[{_signs}]+(?=[^\W\d_])|(?<!\w)[{_signs}](?=[^\W\d_]{{2}})")
 _word = re.compile(r"[^\W\d_]+")
 
+#: Bands of near copies: two texts of similarity 0.8 meet in one of them with a probability of 0.999, of 0.2 with 0.08.
+BANDS, BAND_ROWS = 10, 3
+
 
 def folded(text: str) -> str:
     """Lower case, look-alike letters as Latin ones, digits and signs between letters as the letters they stand for."""
@@ -89,29 +93,73 @@ class Lexicon:
                 safe.append((start, end))
             if weight:
                 hits.append((start, end, weight))
-        if safe:
-            hits = [h for h in hits if not any(s <= h[0] and h[1] <= e for s, e in safe)]
         best: dict[int, float] = {}
-        for start, _, weight in hits:  # of the terms that begin at one place, the heaviest
+        for start, weight in _outside(hits, safe):  # of the terms that begin at one place, the heaviest
             best[start] = max(weight, best.get(start, 0.0))
-        return sum(best.values()) / math.sqrt(1 + (text.count(" ") + text.count("\n")) / 50)
+        return math.fsum(best.values()) / math.sqrt(1 + (text.count(" ") + text.count("\n")) / 50)
 
     def score(self, text: str) -> float:
         density = self.density(text)
         return density / (density + self.threshold)
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the words of a batch: toxic and other documents that have them."""
+def _outside(hits: list[tuple[int, int, float]], safe: list[tuple[int, int]]) -> Iterator[tuple[int, float]]:
+    """Start and weight of the hits that lie in no safe stretch; both are gone through once, by their starts."""
+    stretches = iter(sorted(safe))
+    ahead, reach = next(stretches, None), -1
+    for start, end, weight in sorted(hits):
+        while ahead and ahead[0] <= start:
+            reach = max(reach, ahead[1])
+            ahead = next(stretches, None)
+        if end > reach:
+            yield start, weight
+
+
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Band keys of each text: minima of its 5-word shingles, three to a band. A text without words has none."""
+    masks = np.random.default_rng(5).integers(1, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) | np.uint64(1)
     for batch in batches:
-        toxic, other = Counter(), Counter()
-        for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-            (toxic if label else other).update({word for word in _word.findall(folded(text)) if len(word) <= 40})
-        words = [*toxic.keys() | other.keys()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.string()), *(pa.array([c[w] for w in words], pa.int64()) for c in (toxic, other))],
-            names=["word", "toxic", "other"],
-        )
+        bands = []
+        for text in batch.column("text").to_pylist():
+            words = folded(text).split()
+            shingles = {" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else ()
+            hashes = np.fromiter((xxhash.xxh3_64_intdigest(s) for s in shingles), np.uint64, len(shingles))
+            least = [int((mask * (hashes ^ (hashes >> np.uint64(29)))).min()) for mask in masks] if words else []
+            rows = [least[k : k + BAND_ROWS] for k in range(0, len(least), BAND_ROWS)]
+            bands.append([xxhash.xxh3_64_intdigest(f"{k} {row}") >> 1 for k, row in enumerate(rows)])
+        yield pa.RecordBatch.from_arrays([batch.column("text_id"), pa.array(bands, pa.list_(pa.int64()))], names=["text_id", "bands"])
+
+
+def _families(sample: DataFrame) -> DataFrame:
+    """text_id and family of the sampled texts: near copies (similarity of about 0.8 in 5-word shingles) are a family.
+
+    The driver receives a few band keys for each text of the sample, which ``max_rows`` of ``fit`` bounds.
+    """
+    parent: dict[str, str] = {}
+
+    def root(node: str) -> str:
+        while parent[node] != node:
+            parent[node] = node = parent[parent[node]]
+        return node
+
+    first: dict[int, str] = {}
+    signed = sample.mapInArrow(_signed, "text_id string, bands array<long>")
+    for row in signed.orderBy("text_id").collect():
+        parent[row["text_id"]] = row["text_id"]
+        for band in row["bands"]:
+            parent[root(first.setdefault(band, row["text_id"]))] = root(row["text_id"])
+    return sample.sparkSession.createDataFrame([(t, root(t)) for t in parent], "text_id string, family string")
+
+
+def _text_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct words of each text, with its family and label."""
+    for batch in batches:
+        for part in in_pieces(batch):
+            words = [sorted(set(_word.findall(folded(text)))) for text in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("family"), part.column("label"), pa.array(words, pa.list_(pa.string()))],
+                names=["family", "label", "words"],
+            )
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn_from, max_rows: int) -> DataFrame:
@@ -130,76 +178,112 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn_from,
     return docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")  # max_rows bounds the broadcast
 
 
-def _terms(counts: DataFrame, min_docs: int, min_ratio: float, max_terms: int) -> dict[str, tuple[int, int]]:
-    """Word beginnings that are far more frequent in toxic documents, most frequent first."""
-    begins = counts.where(F.length("word") >= 3).select(
-        F.explode(F.expr("transform(sequence(3, length(word)), n -> substring(word, 1, n))")).alias("term"),
-        "toxic",
-        "other",
-    )
-    sums = begins.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-    rows = (
-        sums.where((F.col("toxic") >= min_docs) & (F.col("toxic") >= min_ratio * F.col("other")))
-        .orderBy(F.desc("toxic"), "term")
-        .limit(max_terms)
-        .collect()
-    )
-    return {row["term"]: (row["toxic"], row["other"]) for row in rows}
+def _beginnings(words: DataFrame) -> DataFrame:
+    """Every row of ``words`` with each beginning of its word, of 3 to 40 letters, and the whole word, as ``term``."""
+    cut = "array_union(transform(sequence(3, least(length(word), 40)), n -> substring(word, 1, n)), array(word))"
+    return words.where(F.length("word") >= 3).withColumn("term", F.explode(F.expr(cut)))
+
+
+def _least_and_tests(seen: dict[int, int], share: float, by_chance: float) -> tuple[int, int]:
+    """Families a term must have at least, and the number of words with so many: the tests that chance is shared among.
+
+    ``seen`` counts words by their families. A word with so few families that even all of them toxic would prove nothing
+    is not tested, and so does not count (Tarone's correction).
+    """
+    tests = 0
+    least = max(seen, default=0) + 1
+    for families in sorted(seen, reverse=True):
+        if (tests + seen[families]) * share**families > by_chance:
+            break
+        tests += seen[families]
+        least = families
+    return least, tests
+
+
+def _terms(
+    sums: DataFrame, seen: dict[int, int], families: tuple[int, int], min_ratio: float, by_chance: float
+) -> dict[str, tuple[int, int]]:
+    """Word beginnings that are more frequent in toxic families than chance lets any be.
+
+    If a term had nothing to do with the label, each of its families would be toxic with the share of toxic ones among
+    all; Chernoff's bound on the chance of so many, times the number of tests, must be under ``by_chance``.
+    """
+    share = (families[0] + 1) / (families[0] + families[1] + 2)
+    least, tests = _least_and_tests(seen, share, by_chance)
+    toxic, other = F.col("toxic"), F.col("other")
+    both = toxic + other
+    surprise = toxic * F.log(toxic / (both * share))
+    surprise += F.when(other > 0, other * F.log(other / (both * (1 - share)))).otherwise(0.0)
+    certain = (both >= least) & (toxic > both * share) & (surprise >= math.log(max(tests, 1) / by_chance))
+    rows = sums.where((toxic > 0) & (toxic >= min_ratio * other) & certain).collect()
+    return {row["term"]: (row["toxic"], row["other"]) for row in sorted(rows, key=lambda r: r["term"])}
 
 
 def _chosen(terms: dict[str, tuple[int, int]]) -> list[str]:
     """Of a chain of beginnings the first, extended as long as that loses under a tenth of its documents."""
+    nexts = defaultdict(list)
+    for term in terms:
+        nexts[term[:-1]].append(term)
     longest = dict.fromkeys(terms)
     for term in sorted(terms, key=len, reverse=True):
-        follow = [t for t in (longest.get(term + c) or "" for c in _next_letters(term, terms)) if t]
+        follow = sorted(longest[t] for t in nexts[term])
         keeps = [t for t in follow if terms[t][0] >= 0.9 * terms[term][0]]
         longest[term] = max(keeps, key=lambda t: (terms[t][0], len(t)), default=term)
     chosen: list[str] = []
     for term in sorted(terms, key=len):
-        if not any(term[:k] in terms for k in range(1, len(term))):
+        if not any(term[:k] in terms for k in range(3, min(len(term), 41))):
             chosen.append(longest[term])
     return chosen
 
 
-def _next_letters(term: str, terms: dict[str, tuple[int, int]]) -> set[str]:
-    return {t[len(term)] for t in terms if len(t) == len(term) + 1 and t.startswith(term)}
-
-
 def fit(
     docs: DataFrame,
     labels: DataFrame,
     learn_from=lambda doc_id: F.lit(True),
     exceptions: tuple[str, ...] = (),
     max_rows: int = 16_000,
-    min_docs: int = 3,
-    min_share: float = 0.02,
     min_ratio: float = 12.0,
-    max_terms: int = 4_000,
+    by_chance: float = 0.5,
 ) -> Lexicon:
     """Learn a lexicon from the labelled rows that ``learn_from`` (a condition on the id) admits.
 
     ``docs`` has doc_id and text (see ``keyed_text``), ``labels`` doc_id and toxic. The fit reads at most ``max_rows``
-    labelled documents, chosen by a hash of the id; equal texts count once. A term is a word beginning that at least
-    ``min_docs`` and a share ``min_share`` of the toxic documents have, and ``min_ratio`` times as many toxic as other
-    ones, so that the words of one copied document make no terms; its weight is the logarithm of that ratio.
-    Words of other documents that begin with a term become exceptions unless toxic documents have them too. The
-    threshold is the density that parts the labelled documents best. Without toxic labels the lexicon is empty and
-    every score 0.
+    labelled documents, chosen by a hash of the id. Equal texts and near copies are a family and count once, so the words
+    of one copied document make no terms. A term is a word beginning of up to 40 letters, or a whole longer word, that
+    ``min_ratio`` times as many toxic families have as other ones, and more of them than chance explains: over all words
+    of the sample, fewer than ``by_chance`` terms are expected where words and labels have nothing to do with each other.
+    Very few labels (some ten toxic families) prove next to nothing, so they make few terms or none.
+    This is one rule at every size: what a sample shows more often only gets surer. The weight of a term is the
+    logarithm of its ratio. Words of other documents that begin with a term become exceptions unless toxic documents have
+    them too. The threshold is the density that parts the labelled documents best. There is no cap on terms or
+    exceptions; the sample bounds both. Without toxic labels, or without others, the lexicon is empty and every score 0.
     """
     ship(docs.sparkSession)
     with scratch(docs.sparkSession):
         sample = labelled_sample(docs, labels, "toxic", learn_from, max_rows)
-        sample = stored(sample.groupBy("text").agg(F.max("label").alias("label")), "toxic-sample")
-        toxic_docs = sample.agg(F.sum("label")).first()[0] or 0
-        counts = sample.mapInArrow(_word_counts, "word string, toxic long, other long")
-        counts = counts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-        terms = _terms(counts, max(min_docs, math.ceil(min_share * toxic_docs)), min_ratio, max_terms)
+        sample = sample.groupBy("text").agg(F.max("label").alias("label"))
+        sample = stored(sample.withColumn("text_id", F.sha2("text", 256)), "toxic-sample")
+        joined = sample.join(_families(sample), "text_id").select("text", "family", "label")
+        words = joined.mapInArrow(_text_words, "family string, label int, words array<string>")
+        words = stored(words, "toxic-words")
+        families = words.groupBy("family").agg(F.max("label").alias("label"))
+        toxic_families, all_families = families.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count(F.lit(1))).first()
+        per_family = words.select("family", "label", F.explode("words").alias("word"))
+        per_family = per_family.groupBy("word", "family").agg(F.max("label").alias("label"))
+        per_family = stored(per_family, "toxic-families")
+        sums = [F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("other")]
+        counts = per_family.groupBy("word").agg(*sums)
+        spread = counts.groupBy((F.col("toxic") + F.col("other")).alias("families")).count()
+        seen = {row["families"]: row["count"] for row in spread.collect()}
+        begins = _beginnings(per_family).groupBy("term", "family").agg(F.max("label").alias("label"))
+        begins = begins.groupBy("term").agg(*sums)
+        terms = _terms(begins, seen, (toxic_families, all_families - toxic_families), min_ratio, by_chance)
         weights = {t: round(math.log((terms[t][0] + 0.5) / (terms[t][1] + 0.5)), 6) for t in _chosen(terms)}
         benign: list[str] = []
         if weights:
-            starts = F.array(*(F.lit(t) for t in weights))
-            words = counts.where((F.col("toxic") == 0) & F.exists(starts, lambda t: F.col("word").startswith(t)))
-            benign = [row["word"] for row in words.orderBy(F.desc("other"), "word").limit(max_terms).collect()]
+            chosen = docs.sparkSession.createDataFrame([(t,) for t in weights], "term string")
+            starts = _beginnings(counts.where(F.col("toxic") == 0)).join(chosen, "term")
+            benign = sorted(row["word"] for row in starts.select("word").distinct().collect())
         lexicon = Lexicon(weights, tuple(folded(e) for e in (*exceptions, *benign)))
 
         def densities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

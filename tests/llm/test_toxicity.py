@@ -1,3 +1,5 @@
+import math
+import time
 import zlib
 
 import pytest
@@ -90,3 +92,79 @@ def test_without_labels_or_documents(spark):
 
 def test_very_long_text(spark):
     assert LEXICON.score("word " * 400_000) == 0 < LEXICON.score("word " * 400_000 + "fiend")
+
+
+@pytest.mark.parametrize("toxic", [400, 1200])
+def test_a_rare_word_is_learned_however_many_toxic_documents_there_are(spark, rng, toxic):
+    """Fifteen documents hold a word of their own; the others, five times as many, hold a common one."""
+    texts, marks = [], []
+    for k in range(3 * toxic):
+        words = prose(rng, rng.randrange(20, 60)).split()
+        if k < toxic:
+            words.insert(rng.randrange(len(words)), "zorbled" if k < 15 else "gruxen")
+        texts.append(" ".join(words))
+        marks.append((k, 1, int(k < toxic)))
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    lexicon = toxicity.fit(keyed_text(documents(spark, texts), "doc_id", "text"), labels)
+    assert set(lexicon.weights) == {"zorbled", "gruxen"}
+    assert all((lexicon.score(text) >= 0.5) == bool(mark) for text, (_, _, mark) in zip(texts, marks, strict=True))
+
+
+def test_near_copies_of_one_toxic_text_make_no_terms(spark, rng):
+    docs, labels, _ = corpus(spark, rng)
+    words = [f"garden{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(60)]
+    texts = []
+    for _ in range(80):
+        changed = [*words]
+        changed[rng.randrange(60)] = f"w{rng.randrange(400)}"
+        texts.append(" ".join([*changed, "gruxa"]))
+    more = documents(spark, texts, ids=range(1000, 1080), clashing=("score", "label"))
+    marks = labels.unionByName(spark.createDataFrame([(k, 1, 1) for k in range(1000, 1080)], labels.schema))
+    lexicon = toxicity.fitted(docs.unionByName(more), marks)
+    assert not any(term.startswith("garden") for term in lexicon.weights)
+    assert lexicon.score(" ".join(words)) < 0.5 <= lexicon.score("gruxa")
+
+
+def test_a_word_of_over_forty_letters_is_learned(spark, rng):
+    long = "q" * 45 + "x"
+    texts = [f"{prose(rng, 30)} {long if k < 60 else 'q' * 45 + 'y'}" for k in range(200)]
+    labels = spark.createDataFrame([(k, 1, int(k < 60)) for k in range(200)], "doc_id long, quality int, toxic int")
+    lexicon = toxicity.fit(keyed_text(documents(spark, texts), "doc_id", "text"), labels)
+    assert set(lexicon.weights) == {long}
+
+
+def test_without_other_documents_nothing_is_learned(spark, rng):
+    texts = [prose(rng, 30) for _ in range(40)]
+    labels = spark.createDataFrame([(k, 1, 1) for k in range(40)], "doc_id long, quality int, toxic int")
+    assert toxicity.fit(keyed_text(documents(spark, texts), "doc_id", "text"), labels).weights == {}
+
+
+def plainly(lexicon, text):
+    """The density by looking for every term and exception at every place of the folded text."""
+    text = folded(text)
+    starts = [k for k in range(len(text)) if not (k and text[k - 1].isalpha())]
+    safe = [
+        (k, k + len(e)) for k in starts for e in lexicon.exceptions
+        if text.startswith(e, k) and not text[k + len(e) : k + len(e) + 1].isalpha()
+    ]
+    total = []
+    for k in starts:
+        hits = [
+            w for t, w in lexicon.weights.items()
+            if text.startswith(t, k) and not any(s <= k and k + len(t) <= e for s, e in safe)
+        ]
+        total += [max(hits)] if hits else []
+    return math.fsum(total) / math.sqrt(1 + (text.count(" ") + text.count("\n")) / 50)
+
+
+def test_scores_agree_with_a_search_for_every_term_at_every_place(rng):
+    lexicon = Lexicon({"ab": 1.5, "abba": 2.0, "ba c": 3.0, "c": 0.5}, ("abba c", "ba", "c a", "ab ab ba"), 0.5)
+    for _ in range(3000):
+        text = "".join(rng.choice("aabbc  4\n") for _ in range(rng.randrange(40)))
+        assert lexicon.density(text) == plainly(lexicon, text), text
+
+
+def test_many_hits_and_exceptions_in_one_text_take_linear_time():
+    started = time.time()
+    assert LEXICON.score("village vil fiend " * 100_000) > 0.5
+    assert time.time() - started < 20
