@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -143,23 +143,60 @@ def _families(sample: DataFrame) -> DataFrame:
         return node
 
     first: dict[int, str] = {}
-    signed = sample.mapInArrow(_signed, "text_id string, bands array<long>")
-    for row in signed.orderBy("text_id").collect():
+    signed = sample.mapInArrow(_signed, "text_id string, bands array<long>").collect()
+    for row in sorted(signed, key=lambda r: r["text_id"]):
         parent[row["text_id"]] = row["text_id"]
         for band in row["bands"]:
             parent[root(first.setdefault(band, row["text_id"]))] = root(row["text_id"])
     return sample.sparkSession.createDataFrame([(t, root(t)) for t in parent], "text_id string, family string")
 
 
-def _text_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct words of each text, with its family and label."""
+COUNTS = "term string, word boolean, toxic long, other long"
+
+
+def _beginnings(word: str) -> list[str]:
+    """The beginnings of a word, of 3 to 40 letters, and the word itself."""
+    return [word[:n] for n in range(3, min(len(word), 41))] + [word]
+
+
+def _family_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows in order of family: toxic and other families that have a word or a beginning of one.
+
+    Counts are added up over the families of the task and given out in parts, of at most a few hundred thousand terms
+    beside those of one family.
+    """
+    words, terms = (Counter(), Counter()), (Counter(), Counter())  # of other families, of toxic ones
+    family, label, own = None, 0, set()
+
+    def close() -> None:
+        words[label].update(own)
+        terms[label].update({begin for word in own for begin in _beginnings(word)})
+        own.clear()
+
+    def rows() -> pa.RecordBatch:
+        kinds = [(words, True), (terms, False)]
+        found = [(term, kind, c[1][term], c[0][term]) for c, kind in kinds for term in c[0].keys() | c[1].keys()]
+        for counter in (*words, *terms):
+            counter.clear()
+        columns = zip(*found, strict=True) if found else [[]] * 4
+        types = (pa.string(), pa.bool_(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["term", "word", "toxic", "other"]
+        )
+
     for batch in batches:
         for part in in_pieces(batch):
-            words = [sorted(set(_word.findall(folded(text)))) for text in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("family"), part.column("label"), pa.array(words, pa.list_(pa.string()))],
-                names=["family", "label", "words"],
-            )
+            columns = (part.column(name).to_pylist() for name in ("family", "label", "text"))
+            for its_family, its_label, text in zip(*columns, strict=True):
+                if its_family != family:
+                    close()
+                    family, label = its_family, 0
+                label = max(label, its_label)
+                own.update(word for word in _word.findall(folded(text)) if len(word) >= 3)
+                if sum(map(len, terms)) > 300_000:
+                    yield rows()
+    close()
+    yield rows()
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn_from, max_rows: int) -> DataFrame:
@@ -178,12 +215,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn_from,
     return docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")  # max_rows bounds the broadcast
 
 
-def _beginnings(words: DataFrame) -> DataFrame:
-    """Every row of ``words`` with each beginning of its word, of 3 to 40 letters, and the whole word, as ``term``."""
-    cut = "array_union(transform(sequence(3, least(length(word), 40)), n -> substring(word, 1, n)), array(word))"
-    return words.where(F.length("word") >= 3).withColumn("term", F.explode(F.expr(cut)))
-
-
 def _least_and_tests(seen: dict[int, int], share: float, by_chance: float) -> tuple[int, int]:
     """Families a term must have at least, and the number of words with so many: the tests that chance is shared among.
 
@@ -263,27 +294,26 @@ def fit(
         sample = labelled_sample(docs, labels, "toxic", learn_from, max_rows)
         sample = sample.groupBy("text").agg(F.max("label").alias("label"))
         sample = stored(sample.withColumn("text_id", F.sha2("text", 256)), "toxic-sample")
-        joined = sample.join(_families(sample), "text_id").select("text", "family", "label")
-        words = joined.mapInArrow(_text_words, "family string, label int, words array<string>")
-        words = stored(words, "toxic-words")
-        families = words.groupBy("family").agg(F.max("label").alias("label"))
-        toxic_families, all_families = families.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count(F.lit(1))).first()
-        per_family = words.select("family", "label", F.explode("words").alias("word"))
-        per_family = per_family.groupBy("word", "family").agg(F.max("label").alias("label"))
-        per_family = stored(per_family, "toxic-families")
-        sums = [F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("other")]
-        counts = per_family.groupBy("word").agg(*sums)
+        families = _families(sample)
+        ordered = sample.join(families, "text_id").select("family", "label", "text")
+        totals = ordered.groupBy("family").agg(F.max("label").alias("label"))
+        toxic_families, all_families = totals.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count(F.lit(1))).first()
+        ordered = ordered.repartition("family").sortWithinPartitions("family")
+        sums = [F.sum("toxic").alias("toxic"), F.sum("other").alias("other")]
+        found = ordered.mapInArrow(_family_counts, COUNTS).groupBy("term", "word").agg(*sums)
+        found = stored(found, "toxic-terms")
+        counts = found.where("word")
         spread = counts.groupBy((F.col("toxic") + F.col("other")).alias("families")).count()
         seen = {row["families"]: row["count"] for row in spread.collect()}
-        begins = _beginnings(per_family).groupBy("term", "family").agg(F.max("label").alias("label"))
-        begins = begins.groupBy("term").agg(*sums)
-        terms = _terms(begins, seen, (toxic_families, all_families - toxic_families), min_ratio, by_chance)
+        both = (toxic_families, all_families - toxic_families)
+        terms = _terms(found.where("not word"), seen, both, min_ratio, by_chance)
         weights = {t: round(math.log((terms[t][0] + 0.5) / (terms[t][1] + 0.5)), 6) for t in _chosen(terms)}
         benign: list[str] = []
         if weights:
-            chosen = docs.sparkSession.createDataFrame([(t,) for t in weights], "term string")
-            starts = _beginnings(counts.where(F.col("toxic") == 0)).join(chosen, "term")
-            benign = sorted(row["word"] for row in starts.select("word").distinct().collect())
+            chosen = docs.sparkSession.createDataFrame([(t,) for t in weights], "begin string")
+            cut = "array_union(transform(sequence(3, least(length(term), 40)), n -> substring(term, 1, n)), array(term))"
+            benign = counts.where(F.col("toxic") == 0).select("term", F.explode(F.expr(cut)).alias("begin"))
+            benign = sorted({row["term"] for row in benign.join(chosen, "begin").select("term").collect()})
         lexicon = Lexicon(weights, tuple(folded(e) for e in (*exceptions, *benign)))
 
         def densities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
