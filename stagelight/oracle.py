@@ -287,6 +287,7 @@ def oracle_sql() -> dict[str, str]:
              count(distinct serial_no) filter (location = 'Urban') as stored_ids from raw""",
     )
     sql["constraint_violations_by_bits"] = sql["constraint_violations"]
+    sql["stage_events_closed_by_batches"] = sql["stage_events_closed"]
     sql["applications_flat_star_by_batches"] = sql["applications_flat_star"]
     sql["dim_time_by_batches"] = sql["dim_time"]
     for name in [
@@ -307,7 +308,7 @@ def oracle_sql() -> dict[str, str]:
     for name in ["funnel_counts", "conversion_overall"]:
         sql[f"{name}_from_events"] = sql[name]
     for name in ["funnel_by_slice", "cohort_conversion"]:
-        sql[f"{name}_from_facts"] = sql[name]
+        sql[f"{name}_from_facts"] = sql[f"{name}_from_buckets"] = sql[name]
     for name in [
         "stage_events",
         "fact_application",

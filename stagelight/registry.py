@@ -16,7 +16,7 @@ from stagelight.operators import key_checks, load, marts, quality, stages, star,
 from stagelight.plans.bitmaps import BITS, count_bits, key_index
 from stagelight.plans.shared import shared_path, written
 from stagelight.schemas import TABLES
-from stagelight.sources import batches, warehouse
+from stagelight.sources import batches, bucketed, event_store, warehouse
 from stagelight.sources.export import export_results
 from stagelight.sources.orders import raw_from_orders
 
@@ -140,6 +140,31 @@ def _applications_flat_star_by_batches(raw: DataFrame) -> DataFrame:
     return marts.applications_flat_star(tables["fact_application"], tables)
 
 
+def _stage_events_closed_by_batches(raw: DataFrame) -> DataFrame:
+    """Stored events after three batches by stage, so that later ones update exits of the ones before."""
+    spark, folder = raw.sparkSession, shared_path(raw.sparkSession, "event-store")
+    events = written(stages.stage_events(load.journeys(raw)), "events")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for some in (["Applied", "Hired"], ["Interviewed"], ["Screened", "Offered"]):
+        event_store.merge_events(events.where(F.col("stage_name").isin(some)), folder, "-".join(some), buckets)
+    return event_store.read_events(spark, folder)
+
+
+def _of_buckets(build: Callable[[DataFrame, dict[str, DataFrame]], DataFrame]) -> Query:
+    """Facts with their stages, from both facts stored in buckets of the application; and the dimensions."""
+
+    def run(raw: DataFrame) -> DataFrame:
+        spark = raw.sparkSession
+        fact, dims = _fact(raw)
+        events = star.fact_stage_event(stages.closed_stage_events(load.journeys(raw)))
+        facts = {"fact_application": fact, "fact_stage_event": events}
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        stored = bucketed.write_bucketed(facts, shared_path(spark, "bucketed"), buckets)
+        return build(marts.with_reached(stored["fact_application"], stored["fact_stage_event"]), dims)
+
+    return _of_raw(run)
+
+
 def _dim_by_batches(name: str) -> Query:
     """A dimension after three batches and one of them again: members keep the key they got first."""
 
@@ -242,6 +267,9 @@ def queries() -> dict[str, Query]:
         "dim_education_by_batches": _dim_by_batches("dim_education"),
         "dim_time_by_batches": _of_raw(_dim_time_by_batches),
         "stored_ids": _of_raw(_stored_ids),
+        "stage_events_closed_by_batches": _of_raw(_stage_events_closed_by_batches),
+        "funnel_by_slice_from_buckets": _of_buckets(marts.funnel_by_slice),
+        "cohort_conversion_from_buckets": _of_buckets(lambda reached, dims: marts.cohort_conversion(reached)),
         "funnel_by_slice_from_states": _of_states("v_funnel_by_slice"),
         "cohort_conversion_from_states": _of_states("v_cohort_conversion"),
         "stage_durations_from_states": _of_states("v_stage_durations"),
