@@ -9,10 +9,13 @@ overlap of every two sets; only the parts that can reach the threshold are compu
    once, however many rows have it.
 2. Among active classes, n-grams are ordered from rare to frequent. Two similar sets share one of their first
    n - ceil(0.8 n) + 1 n-grams, so only classes that meet in one of those columns are multiplied.
-3. Classes are dealt to row blocks by the most crowded of their columns, which brings near copies together. Two blocks
-   that meet in a column are multiplied in one task: the classes that meet, all their n-grams, in strips of columns,
-   until no pair of sizes can reach the threshold any more. A task returns a spanning forest of the links it finds, so
-   its output grows with the classes and not with their pairs; components of all links follow.
+3. Where many classes meet, each is multiplied with two leaders first, and what links is contracted. A group of near
+   copies then stands as one before its pairs are looked at, so its work grows with its classes.
+4. Classes are dealt to row blocks by the most crowded of their columns, those of a contracted group together. Two blocks
+   that meet in a column, with classes there that are still apart, are multiplied in one task: those classes, all their
+   n-grams, in strips of columns, until no pair of sizes can reach the threshold any more. A block is bounded by its
+   classes and by their n-grams. A task returns a spanning forest of the links it finds, so its output grows with the
+   classes and not with their pairs; components of all links follow.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagelight.llm.common import bit_field, bits_at, field_size, in_pieces, kept, keyed_text, ship, stored, unused
@@ -204,34 +207,123 @@ def _sets(rows: DataFrame, active: DataFrame, width: int, max_bits: int) -> Data
 
 
 def _columns(sets: DataFrame, like: Similarity) -> DataFrame:
-    """hash and class for each first shingle in rare-first order that classes share, and how many classes meet there."""
+    """hash, class and n for each first shingle in rare-first order that classes share, and how many classes meet there."""
     cells = sets.select("class", F.explode("set").alias("hash"))
     often = cells.groupBy("hash").count().where("count > 1")
     ordered = cells.join(often, "hash").groupBy("class").agg(F.collect_list(F.struct("count", "hash")).alias("cells"))
     # Shingles of one class alone come first; what is left of the first n - ceil(0.8 n) + 1 is taken from the shared.
     least = F.floor((F.col("n") * like.percent + 99) / 100)
     left = (F.size("cells") - least + 1).cast("int").alias("left")
-    chosen = sets.select("class", "n").join(ordered, "class").select("class", "cells", left).where("left > 0")
+    chosen = sets.select("class", "n").join(ordered, "class").select("class", "n", "cells", left).where("left > 0")
     first = F.explode(F.slice(F.sort_array("cells"), F.lit(1), F.col("left"))).alias("cell")
-    placed = stored(chosen.select("class", first).select("class", "cell.hash"), "columns")
+    placed = stored(chosen.select("class", "n", first).select("class", "n", "cell.hash"), "columns")
     meet = placed.groupBy("hash").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     return stored(placed.join(meet, "hash"), "meetings")
 
 
-def _block_pairs(columns: DataFrame, block_rows: int) -> DataFrame:
+@dataclass(frozen=True)
+class Blocks:
+    """How the classes are dealt to products; no choice changes a result."""
+
+    rows: int = 512  # classes of a block
+    shingles: int = 1 << 20  # of all classes of a block; a class alone may have more
+    crowd: int = 64  # classes that meet in a column before leaders are asked, and that ask a leader in one task
+    turns: int = 8  # of leaders, at most
+
+    def parts(self, size: Column, total: Column, rows: int | None = None) -> Column:
+        """Blocks for so many classes with so many shingles."""
+        return F.ceil(F.greatest(size / (rows or self.rows), total / self.shingles))
+
+
+def _apart(columns: DataFrame) -> DataFrame:
+    """The rows of columns in which classes of several roots meet."""
+    several = columns.groupBy("hash").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
+    return columns.join(several.select("hash"), "hash", "left_semi")
+
+
+def _to_leaders(columns: DataFrame, like: Similarity, blocks: Blocks, turn: int) -> DataFrame:
+    """low, high, block, class as in ``_block_pairs``, where a block of classes meets one leader.
+
+    The leaders of a column are the first and the last of its classes in an order that a hash and ``turn`` decide. A
+    class asks the first and the last of the leaders of its columns that have another root and a size that can link, so
+    near copies, which share most of their columns, ask the same ones: two rows a class, however many meet.
+    """
+    one = F.struct(F.xxhash64("class", F.lit(turn)).alias("at"), "class", "root", "n")
+    ends = columns.groupBy("hash").agg(F.array(F.min(one), F.max(one)).alias("leaders"))
+    fits = F.least("n", "leader.n") * 100 >= F.greatest("n", "leader.n") * like.percent
+    asked = (
+        columns.join(ends, "hash")
+        .select("class", "root", "n", F.explode("leaders").alias("leader"))
+        .where((F.col("leader.root") != F.col("root")) & fits)
+        .groupBy("class", "n")
+        .agg(F.min("leader").alias("first"), F.max("leader").alias("last"))
+        .select("class", "n", F.explode(F.array_distinct(F.array("first.class", "last.class"))).alias("leader"))
+    )
+    asked = stored(asked, "asked")
+    sizes = asked.groupBy("leader").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total"))
+    part = F.pmod(F.xxhash64("class"), blocks.parts(F.col("size"), F.col("total"), blocks.crowd))
+    dealt = asked.join(sizes, "leader").select("class", "leader", part.alias("part"))
+    low, high = F.xxhash64("leader", "part").alias("low"), F.xxhash64("leader", "part", F.lit(1)).alias("high")
+    met = dealt.select(low, high, "class", "leader")
+    leaders = met.select("low", "high", F.col("high").alias("block"), F.col("leader").alias("class")).distinct()
+    return met.select("low", "high", F.col("low").alias("block"), "class").unionByName(leaders)
+
+
+def _contracted(
+    columns: DataFrame, sets: DataFrame, like: Similarity, blocks: Blocks
+) -> tuple[DataFrame, DataFrame | None]:
+    """``columns`` with the root of each class, and the links (a, b) that join a class to its root, None without any.
+
+    Crowded columns ask leaders turn by turn, until a turn leaves more than half of the rows that it found apart. What
+    is apart then is multiplied block by block, so an early end loses nothing.
+    """
+    rooted, near, before = columns.withColumn("root", F.col("class")), None, None
+    for turn in range(blocks.turns):
+        crowded = stored(_apart(rooted.where(F.col("members") >= blocks.crowd)), "crowded")
+        count = crowded.count()
+        if not count or (before is not None and 2 * count > before):
+            break
+        before = count
+        found = _links(_to_leaders(crowded, like, blocks, turn), sets, like)
+        roots = components(found if near is None else found.unionByName(near))
+        near = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        known = roots.withColumnRenamed("node", "class")
+        rooted = columns.join(known, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    return rooted, near
+
+
+def _block_pairs(columns: DataFrame, blocks: Blocks) -> DataFrame:
     """low, high, block, class: for every two row blocks that meet in a column, themselves included, who meets there.
 
-    A class is at home where most classes meet; a home is cut into blocks of about ``block_rows`` classes. A column of
-    m classes sends m rows to each of its blocks, a ``block_rows``-th of its pairs at most.
+    A contracted group is at home where most classes meet; a home is cut into blocks, a group never, unless it is more
+    than a block: then it has a home of its own. A class is in the pair of its own and another block if that one has a
+    class of another root in one of its columns. A column of m classes that are all apart sends m rows to each of its
+    blocks, a ``blocks.rows``-th of its pairs at most; one of a single group sends none.
     """
-    homes = columns.groupBy("class").agg(F.max(F.struct("members", "hash")).alias("home"))
-    sizes = homes.groupBy("home").agg(F.count(F.lit(1)).alias("size"))
-    part = F.pmod(F.xxhash64("class"), F.ceil(F.col("size") / block_rows))
-    homes = stored(homes.join(sizes, "home").select("class", F.xxhash64("home.hash", part).alias("block")), "homes")
-    placed = columns.join(homes, "class").select("hash", "class", "block")
-    others = placed.groupBy("hash").agg(F.collect_set("block").alias("others"))
-    met = placed.join(others, "hash").select("class", "block", F.explode("others").alias("other"))
-    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    columns = stored(_apart(columns), "apart")
+    at = F.max(F.struct("members", "hash")).alias("at")
+    classes = stored(columns.groupBy("class", "root", "n").agg(at), "classes-apart")
+    size, total = F.col("size"), F.col("total")
+    groups = classes.groupBy("root").agg(F.max("at").alias("at"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("total"))
+    fits = blocks.parts(size, total) <= 1
+    groups = groups.withColumns(
+        {
+            "home": F.when(fits, F.xxhash64("at.hash")).otherwise(F.xxhash64("root", F.lit(1))),
+            "whole": fits,
+        }
+    )
+    homes = groups.groupBy("home").agg(F.sum("size").alias("size"), F.sum("total").alias("total"))
+    groups = groups.select("root", "home", "whole").join(homes, "home")
+    own = F.when(F.col("whole"), F.xxhash64("root")).otherwise(F.xxhash64("class"))
+    block = F.xxhash64("home", F.pmod(own, blocks.parts(size, total))).alias("block")
+    dealt = classes.select("class", "root").join(groups, "root").select("class", block)
+    placed = columns.select("hash", "class", "root").join(stored(dealt, "homes"), "class")
+    ends = placed.groupBy("hash", "block").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+    others = ends.groupBy("hash").agg(F.collect_list(F.struct("block", "least", "most")).alias("others"))
+    met = placed.join(others, "hash").select("class", "root", "block", F.explode("others").alias("with"))
+    met = met.where((F.col("with.least") != F.col("root")) | (F.col("with.most") != F.col("root")))
+    other = F.col("with.block")
+    low, high = F.least("block", other).alias("low"), F.greatest("block", other).alias("high")
     return met.select(low, high, "block", "class").distinct()
 
 
@@ -320,7 +412,7 @@ def linked(
     id_col: str = "doc_id",
     text_col: str = "text",
     like: Similarity = Similarity(),
-    block_rows: int = 512,
+    blocks: Blocks = Blocks(),
     max_bits: int = 1 << 28,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (the least id reachable by links), text_hash, and
@@ -339,7 +431,9 @@ def linked(
 
     def roots() -> DataFrame:
         sets = _sets(rows, active, like.width, max_bits)
-        return components(_links(_block_pairs(_columns(sets, like), block_rows), sets, like))
+        columns, near = _contracted(_columns(sets, like), sets, like, blocks)
+        links = _links(_block_pairs(columns, blocks), sets, like)
+        return components(links if near is None else links.unionByName(near))
 
     def placed() -> DataFrame:
         root = F.coalesce("root", "class").alias("root")

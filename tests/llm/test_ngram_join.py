@@ -2,10 +2,11 @@ import numpy as np
 from helpers import DOCS, by_id, documents, least_reachable, prose, shingles, similar
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from stagelight.llm import ngram_join
 from stagelight.llm.components import components
-from stagelight.llm.ngram_join import Similarity
+from stagelight.llm.ngram_join import Blocks, Similarity
 
 
 def check(spark, texts, **parameters):
@@ -38,8 +39,52 @@ def test_families_passages_and_edges(spark, rng):
 def test_block_size_does_not_matter(spark, rng):
     base = prose(rng, 80)
     texts = [edited(rng, base, k % 4) for k in range(50)]
-    sizes = [check(spark, texts, block_rows=rows) for rows in (3, 512)]
-    assert sizes[0] == sizes[1]
+    chosen = Blocks(3), Blocks(3, crowd=2), Blocks(shingles=100, crowd=2, turns=1), Blocks()
+    results = [check(spark, texts, blocks=blocks) for blocks in chosen]
+    assert all(result == results[0] for result in results)
+
+
+def test_leaders_of_other_texts_lose_no_link(spark, rng):
+    """Families that meet in the columns of a shared passage, variants that link only through their base, loners."""
+    passage = prose(rng, 40, 10**6)
+    texts = []
+    for _ in range(6):
+        base = f"{prose(rng, 60, 10**6)} {passage}"
+        texts += [base] + [edited(rng, base, 2) for _ in range(7)]
+    texts += [f"{prose(rng, 30, 10**6)} {passage}" for _ in range(6)]
+    check(spark, texts, blocks=Blocks(4, crowd=2))
+    check(spark, texts, blocks=Blocks(crowd=4))
+
+
+def near_copies(spark, count):
+    """Sets of 96 shingles, five in a row of which are a set's own: every two link."""
+    at = F.sequence(F.lit(0), F.lit(95))
+    first = F.col("id") % 18 * 5
+    own = F.transform(at, lambda k: F.when(k.between(first, first + 4), F.xxhash64(k, F.col("id"))).otherwise(F.xxhash64(k)))
+    return spark.range(count).select(
+        F.unhex(F.md5(F.col("id").cast("string"))).alias("class"), F.lit(96).cast("long").alias("n"), F.sort_array(own).alias("set")
+    )
+
+
+def test_rows_of_products_grow_with_a_group_of_near_copies(spark):
+    rows = []
+    for count in (2_000, 8_000):
+        sets = ngram_join.stored(near_copies(spark, count), "sets")
+        columns = ngram_join._columns(sets, Similarity())
+        asked = ngram_join._to_leaders(columns.withColumn("root", F.col("class")), Similarity(), Blocks(), 0).count()
+        rooted, near = ngram_join._contracted(columns, sets, Similarity(), Blocks())
+        assert components(near).groupBy("root").count().collect()[0]["count"] == count
+        rows.append(asked + ngram_join._block_pairs(rooted, Blocks()).count())
+    assert rows[0] < 3 * 2_000 and rows[1] < 3 * 8_000
+
+
+def test_blocks_are_bounded_by_their_shingles(spark):
+    sets = ngram_join.stored(near_copies(spark, 400), "sets")
+    columns = ngram_join._columns(sets, Similarity()).withColumn("root", F.col("class"))
+    for rows, shingles in ((512, 96 * 20), (20, 1 << 20)):
+        pairs = ngram_join._block_pairs(columns, Blocks(rows, shingles))
+        assert max(r["count"] for r in pairs.groupBy("low", "high").count().collect()) <= 2 * 2 * 20
+    assert pairs.select("class").distinct().count() == 400
 
 
 def test_exact_threshold(spark):
