@@ -39,7 +39,7 @@ def test_families_passages_and_edges(spark, rng):
 def test_block_size_does_not_matter(spark, rng):
     base = prose(rng, 80)
     texts = [edited(rng, base, k % 4) for k in range(50)]
-    chosen = Blocks(3), Blocks(3, crowd=2), Blocks(shingles=100, crowd=2, turns=1), Blocks()
+    chosen = Blocks(3), Blocks(3, shingles=200, crowd=4, turns=1), Blocks()
     results = [check(spark, texts, blocks=blocks) for blocks in chosen]
     assert all(result == results[0] for result in results)
 
@@ -52,8 +52,7 @@ def test_leaders_of_other_texts_lose_no_link(spark, rng):
         base = f"{prose(rng, 60, 10**6)} {passage}"
         texts += [base] + [edited(rng, base, 2) for _ in range(7)]
     texts += [f"{prose(rng, 30, 10**6)} {passage}" for _ in range(6)]
-    check(spark, texts, blocks=Blocks(4, crowd=2))
-    check(spark, texts, blocks=Blocks(crowd=4))
+    check(spark, texts, blocks=Blocks(4, crowd=2, turns=3))
 
 
 def near_copies(spark, count):
