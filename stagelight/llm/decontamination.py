@@ -1,8 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Documents and benchmark items are cut into overlapping passages, weighted by TF-IDF over the words of the benchmark. A
-randomised SVD, computed over Spark, gives a latent space; passages of documents whose cosine to an item's passage is
-high become candidates. A longest common subsequence of words around the candidate, and for paraphrases the item's
+randomised SVD of the passages of all texts, computed over Spark, gives a latent space; passages of documents whose
+cosine to an item's passage is high become candidates. A longest common subsequence of words around the candidate, and for paraphrases the item's
 answer, decides. Runs of three words find what is verbatim, or nearly so, whatever its length and surroundings: as many
 of them as the changes that a verbatim item may have must leave make a candidate too. Each document is judged by itself, so search and filter are one pass without a shuffle.
 """
@@ -35,6 +35,7 @@ KIND = pa.list_(
     )
 )
 BLOCKS = 16  # row blocks in which matrix products are summed
+PAIRED = 4096  # words up to which a task adds up products of word pairs in a square of 64 MB at most
 GRAM = 3  # words of a run by which the exact search finds items
 FACTORS = mixed(np.arange(1, GRAM + 1, dtype=U64) + GOLDEN) | U64(1)
 
@@ -53,7 +54,7 @@ class Search:
     min_words: int = 5  # shorter items are found verbatim only
     few_words: int = 3  # items of still fewer words would be in any text and are not searched
     answer_words: int = 3  # an item without an answer of its own ends with it
-    sample_docs: int = 20_000  # documents whose passages the SVD is fitted on, besides all items; equal ones count once
+    sample_docs: int = 20_000  # not read any more: the SVD is fitted on all texts and items; equal texts count once
     block_items: int = 20_000  # items searched in one pass
 
 
@@ -187,28 +188,63 @@ def _gram_hashes(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mixed(total)
 
 
-def _document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, int]:
-    """Documents with each word, and all documents."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(vocabulary)
+def _distinct(texts: DataFrame, vocabulary: Vocabulary, stride: int) -> DataFrame:
+    """Every distinct text, by two hashes, with its copies and known words: for each its stride and its number."""
+    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, rows = np.zeros(len(shared.value.hashes), dtype=np.int64), 0
         for batch in batches:
             for piece in in_pieces(batch):
                 hashes, docs, _ = word_hashes(piece.column("text").to_pylist())
                 at, numbers = shared.value.numbers(hashes)
-                seen = np.unique(docs[at] * len(counts) + numbers)
-                counts += np.bincount(seen % len(counts), minlength=len(counts))
-                rows += piece.num_rows
+                sizes = np.bincount(docs, minlength=piece.num_rows)
+                strides = (at - (np.cumsum(sizes) - sizes)[docs[at]]) // stride
+                bounds = np.searchsorted(docs[at], np.arange(piece.num_rows + 1))
+                columns = [_binaries(values, bounds) for values in (strides, numbers)]
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("h"), piece.column("g"), *columns], names=["h", "g", "strides", "words"]
+                )
+
+    hashed = texts.select("text", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("g"))
+    rows = hashed.mapInArrow(run, "h long, g long, strides binary, words binary").groupBy("h", "g")
+    return rows.agg(F.count(F.lit(1)).alias("copies"), F.first("strides").alias("strides"), F.first("words").alias("words"))
+
+
+def _binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The values between neighbouring bounds as 32-bit integers, one binary each."""
+    buffers = pa.py_buffer((4 * bounds).astype(np.int32)), pa.py_buffer(values.astype("<i4"))
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, *buffers])
+
+
+def _known(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, stride and number of each known word of rows of ``_distinct``."""
+    strides, words = (
+        np.frombuffer(b"".join(piece.column(name).to_pylist()), dtype="<i4").astype(np.int64) for name in ("strides", "words")
+    )
+    sizes = pa.compute.binary_length(piece.column("words")).to_numpy(zero_copy_only=False) // 4
+    return np.repeat(np.arange(piece.num_rows), sizes), strides, words
+
+
+def _document_frequencies(distinct: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    """Documents with each of ``size`` words, and all documents, copies among them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, rows = np.zeros(size, dtype=np.int64), 0
+        for batch in batches:
+            for piece in in_pieces(batch, "words"):
+                copies = piece.column("copies").to_numpy()
+                docs, _, words = _known(piece)
+                seen = np.unique(docs * size + words)
+                np.add.at(counts, seen % size, copies[seen // size])
+                rows += int(copies.sum())
         has = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(has, -1)), pa.array(np.append(counts[has], rows))], names=["word", "docs"]
         )
 
-    sums = docs.select("text").mapInArrow(run, "word long, docs long").groupBy("word").agg(F.sum("docs").alias("docs"))
-    rows = sums.collect()  # a row per word of the item block at most
-    counts, total = np.zeros(len(vocabulary.hashes), dtype=np.int64), 0
+    found = distinct.select("copies", "strides", "words").mapInArrow(run, "word long, docs long")
+    rows = found.groupBy("word").agg(F.sum("docs").alias("docs")).collect()  # a row per word of the item block at most
+    counts, total = np.zeros(size, dtype=np.int64), 0
     for row in rows:
         if row["word"] < 0:
             total = row["docs"]
@@ -253,6 +289,19 @@ class Passages:
             result[words[cuts]] += np.add.reduceat(rows, cuts, axis=0)
         return result
 
+    def add_pairs(self, square: np.ndarray) -> None:
+        """Add transposed rows times rows to the upper half of ``square``, which has a row and a column per word."""
+        flat, weight = square.reshape(-1), self.weight.astype(square.dtype)
+        line = self.word * len(square)
+        np.add.at(flat, line + self.word, weight * weight)
+        at = np.arange(len(self.word))
+        for ahead in range(1, len(self.word)):  # cells of a passage are in order of their words
+            at = at[: np.searchsorted(at, len(self.word) - ahead)]
+            at = at[self.passage[at] == self.passage[at + ahead]]
+            if not len(at):
+                break
+            np.add.at(flat, line[at] + self.word[at + ahead], weight[at] * weight[at + ahead])
+
 
 def passages(
     hashes: np.ndarray,
@@ -267,9 +316,15 @@ def passages(
     sizes = np.bincount(docs)
     first = np.cumsum(sizes) - sizes
     at, words = vocabulary.numbers(hashes) if known is None else known
-    place = at - first[docs[at]]
-    windows = int(place.max()) // stride + 2 if len(place) else 1
-    own = docs[at] * windows + place // stride + 1  # a word lies in window k and in the one that began before it
+    return _rows(docs[at], (at - first[docs[at]]) // stride, words, idf, stride, at_least)
+
+
+def _rows(
+    docs: np.ndarray, strides: np.ndarray, words: np.ndarray, idf: np.ndarray, stride: int, at_least: int
+) -> Passages:
+    """TF-IDF rows of passages from the document, stride and number of each word."""
+    windows = int(strides.max()) + 2 if len(strides) else 1
+    own = docs * windows + strides + 1  # a word lies in window k and in the one that began before it
     ids = np.concatenate((own, own - 1))
     cells, tf = np.unique(ids * len(idf) + np.concatenate((words, words)), return_counts=True)
     ids, words = cells // len(idf), cells % len(idf)
@@ -282,17 +337,32 @@ def passages(
     return Passages(number[passage[use]], words[use], weight, kept // windows, (kept % windows - 1) * stride)
 
 
-def _gram_times(sample: DataFrame, vocabulary, idf: np.ndarray, stride: int, matrix: np.ndarray) -> np.ndarray:
-    """The Gram matrix of all sampled passages times ``matrix``, summed over tasks in blocks of rows."""
-    shared = sample.sparkSession.sparkContext.broadcast((vocabulary, idf, matrix))
+def _gram_times(distinct: DataFrame, idf: np.ndarray, stride: int, matrix: np.ndarray) -> np.ndarray:
+    """The Gram matrix of the passages of all distinct texts times ``matrix``, summed over tasks in blocks of rows.
+
+    Words are numbered anew, frequent ones first, so that most products of pairs fall close together in memory.
+    """
+    order = np.argsort(idf, kind="stable")
+    number = np.empty_like(order)
+    number[order] = np.arange(len(order))
+    shared = distinct.sparkSession.sparkContext.broadcast((number, idf[order], matrix[order]))
+    paired = len(idf) <= PAIRED
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, idf, matrix = shared.value
+        number, idf, matrix = shared.value
         total = np.zeros_like(matrix)
+        square = np.zeros((len(idf), len(idf)), dtype=np.float32) if paired else None
         for batch in batches:
-            for piece in in_pieces(batch, limit=1 << 19):
-                hashes, docs, _ = word_hashes(piece.column("text").to_pylist())
-                total += passages(hashes, docs, vocabulary, idf, stride, 2).gram_times(matrix)
+            for piece in in_pieces(batch, "words", limit=1 << 18):
+                docs, strides, words = _known(piece)
+                rows = _rows(docs, strides, number[words], idf, stride, 2)
+                if paired:
+                    rows.add_pairs(square)
+                else:
+                    total += rows.gram_times(matrix)
+        if paired:
+            narrow = matrix.astype(np.float32)
+            total += square @ narrow + square.T @ narrow - np.diagonal(square)[:, None] * narrow
         if total.any():
             parts = [p.astype(np.float64).tobytes() for p in np.array_split(total, BLOCKS)]
             yield pa.RecordBatch.from_arrays(
@@ -303,13 +373,14 @@ def _gram_times(sample: DataFrame, vocabulary, idf: np.ndarray, stride: int, mat
         total = sum(np.frombuffer(part.as_py()) for part in group["part"])
         return pa.table({"block": group["block"][:1], "part": pa.array([total.tobytes()], pa.binary())})
 
-    parts = sample.mapInArrow(run, "block long, part binary")
+    parts = distinct.select("strides", "words").mapInArrow(run, "block long, part binary")
     sums = parts.groupBy("block").applyInArrow(add, "block long, part binary")
     parts = {row["block"]: row["part"] for row in sums.collect()}  # words x rank numbers in all
     shapes = [p.shape for p in np.array_split(matrix, BLOCKS)]
-    return np.concatenate(
+    product = np.concatenate(
         [np.frombuffer(parts[k]).reshape(s) if k in parts else np.zeros(s) for k, s in enumerate(shapes)]
     )
+    return product[number]
 
 
 @dataclass
@@ -346,16 +417,15 @@ def fit(texts: DataFrame, items: list[tuple[int, str, str | None]], search: Sear
     hashes = np.concatenate(words)
     owners = np.repeat(np.arange(len(words)), [len(w) for w in words])
     vocabulary = Vocabulary(hashes)
-    counts, total = _document_frequencies(texts, vocabulary)
-    idf = np.log((1 + total) / (1 + counts)) + 1.0
-    rows = passages(hashes, owners, vocabulary, idf, search.stride)
-    if not len(rows.doc):
-        return None
     rank = min(search.rank, len(vocabulary.hashes))
-    share = min(1.0, search.sample_docs / max(total, 1))
-    sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20))).dropDuplicates(["text"])
     with scratch(texts.sparkSession):
-        basis = _basis(stored(sample, "sample"), rows, vocabulary, idf, search.stride, rank)
+        distinct = stored(_distinct(texts, vocabulary, search.stride), "distinct")
+        counts, total = _document_frequencies(distinct, len(vocabulary.hashes))
+        idf = np.log((1 + total) / (1 + counts)) + 1.0
+        rows = passages(hashes, owners, vocabulary, idf, search.stride)
+        if not len(rows.doc):
+            return None
+        basis = _basis(distinct, rows, idf, search.stride, rank)
     latent = rows.times(basis)
     sizes = np.linalg.norm(latent, axis=1)
     distinct = np.bincount(rows.passage, minlength=len(rows.doc))
@@ -381,23 +451,22 @@ def fit(texts: DataFrame, items: list[tuple[int, str, str | None]], search: Sear
     )
 
 
-def _basis(sample: DataFrame, items: Passages, vocabulary, idf: np.ndarray, stride: int, rank: int) -> np.ndarray:
-    """Leading right singular vectors of item and sampled passages together, by a randomised range finder.
+def _basis(distinct: DataFrame, items: Passages, idf: np.ndarray, stride: int, rank: int) -> np.ndarray:
+    """Leading right singular vectors of the passages of items and of all distinct texts together, by a randomised range
+    finder: the texts are read once, and the Gram matrix is taken for its Nystrom approximation from one product.
 
-    Items weigh as much as the whole sample, so that the space holds what tells them apart.
+    Items weigh as much as all texts, so that the space holds what tells them apart.
     """
     wide = min(rank + 10, len(idf))
-    start = np.random.default_rng(7).standard_normal((len(idf), wide))
-
-    def product(matrix: np.ndarray) -> np.ndarray:
-        corpus, own = _gram_times(sample, vocabulary, idf, stride, matrix), items.gram_times(matrix)
-        scale = np.linalg.norm(corpus) / max(np.linalg.norm(own), 1e-12)
-        return corpus + own * max(scale, 1.0)
-
-    space, _ = np.linalg.qr(product(start))
-    inner = space.T @ product(space)
-    _, turned = np.linalg.eigh((inner + inner.T) / 2)
-    return space @ turned[:, ::-1][:, :rank]
+    start, _ = np.linalg.qr(np.random.default_rng(7).standard_normal((len(idf), wide)))
+    corpus, own = _gram_times(distinct, idf, stride, start), items.gram_times(start)
+    scale = np.linalg.norm(corpus) / max(np.linalg.norm(own), 1e-12)
+    product = corpus + own * max(scale, 1.0)
+    inner = start.T @ product
+    sizes, turned = np.linalg.eigh((inner + inner.T) / 2)
+    solid = sizes > 1e-6 * sizes[-1]  # less is rounding
+    space, _, _ = np.linalg.svd(product @ (turned[:, solid] / np.sqrt(sizes[solid])), full_matrices=False)
+    return space[:, :rank]
 
 
 def lcs_length(left: np.ndarray, right: np.ndarray) -> int:

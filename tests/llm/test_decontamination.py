@@ -192,3 +192,36 @@ def test_the_search_stands_once_in_the_plan(spark):
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("ArrowEvalPython") == 1, plan
+
+
+def windows(text, item_words):
+    """The known words of all passages of a text, two distinct ones at least."""
+    words = text.split()
+    for start in range(-16, len(words), 16):
+        known = [w for w in words[max(start, 0) : start + 32] if w in item_words]
+        if len(set(known)) >= 2:
+            yield known
+
+
+def test_the_space_is_fitted_on_every_text(spark, rng, monkeypatch):
+    items = [(k, " ".join(f"w{rng.randrange(14)}" for _ in range(40)), None) for k in range(3)]
+    texts = [prose(rng, 70, 40) for _ in range(40)]
+    rows = documents(spark, [*texts, *texts[:5]]).select("text")  # copies count as documents, not as passages
+    vocabulary = sorted({w for _, t, _ in items for w in t.split()})
+    has = np.array([sum(w in t.split() for t in [*texts, *texts[:5]]) for w in vocabulary])
+    idf = np.log(46 / (1 + has)) + 1
+
+    def gram(passages):
+        cells = np.array([[1 + np.log(p.count(w)) if w in p else 0 for w in vocabulary] for p in passages])
+        return (cells * idf).T @ (cells * idf)
+
+    corpus = gram([p for t in texts for p in windows(t, vocabulary)])
+    order = np.argsort([int(decontamination.word_hashes([w])[0][0]) for w in vocabulary])
+    plain, made = decontamination._gram_times, []
+    monkeypatch.setattr(decontamination, "_gram_times", lambda *given: made.append((given[-1], plain(*given))) or made[-1][1])
+    for paired in (decontamination.PAIRED, 0):
+        monkeypatch.setattr(decontamination, "PAIRED", paired)
+        index = decontamination.fit(rows, items, Search(sample_docs=1))
+        assert np.allclose(index.idf, idf[order])
+        matrix, product = made.pop()
+        assert np.allclose(product, corpus[order][:, order] @ matrix, rtol=1e-3, atol=1e-3 * np.abs(product).max())
