@@ -90,8 +90,11 @@ class Occurrences:
 
     def inside(self, words: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
         """Whether each word occurs from ``start`` up to ``stop``, both counted in the block."""
-        first = np.searchsorted(self.keys, words * self.size + starts)
-        return first < np.searchsorted(self.keys, words * self.size + stops)
+        words = words * self.size
+        first = np.searchsorted(self.keys, words + starts)
+        there = first < len(self.keys)
+        there[there] = self.keys[first[there]] < (words + stops)[there]
+        return there
 
 
 class Grams:
@@ -264,16 +267,19 @@ class Passages:
     begin: np.ndarray  # per passage: its first word, counted in the document
 
     def times(self, matrix: np.ndarray) -> np.ndarray:
-        """The product with a matrix that has a row per word: first cells of all passages, then second ones, ..."""
+        """The product with a matrix that has a row per word."""
         result = np.zeros((len(self.doc), matrix.shape[1]), dtype=matrix.dtype)
-        nth = np.arange(len(self.passage)) - np.searchsorted(self.passage, self.passage)
-        order = np.argsort(nth, kind="stable")
-        cuts = np.searchsorted(nth[order], np.arange(nth.max() + 2 if len(nth) else 1))
         weight = self.weight.astype(matrix.dtype)
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            for start in range(a, b, 8192):  # bounds the rows expanded at once
-                part = order[start : min(b, start + 8192)]
-                result[self.passage[part]] += weight[part, None] * matrix[self.word[part]]
+        bounds = np.searchsorted(self.passage, np.arange(len(self.doc) + 1))
+        sizes = np.diff(bounds)
+        order = np.argsort(sizes, kind="stable")  # passages with as many words are multiplied side by side
+        cuts = np.searchsorted(sizes[order], np.arange(sizes.max(initial=0) + 2))
+        for size in range(1, len(cuts) - 1):
+            same, step = order[cuts[size] : cuts[size + 1]], max(1, 1024 // size)
+            for start in range(0, len(same), step):  # the rows laid out at once stay in the processor's cache
+                own = same[start : start + step]
+                cells = bounds[own][:, None] + np.arange(size)
+                result[own] = np.matmul(weight[cells][:, None, :], matrix.take(self.word[cells], axis=0))[:, 0]
         return result
 
     def gram_times(self, matrix: np.ndarray) -> np.ndarray:
@@ -519,18 +525,21 @@ def find(texts: list[str], index: Index) -> list[list[dict]]:
     hits: list[list[dict]] = [[] for _ in texts]
     none = np.zeros(0, dtype=np.int64)
     close_rows, close_items, cosines = [none], [none], [none]
-    for start in range(0, len(rows.doc), 8192):
-        stop = min(start + 8192, len(rows.doc))
+    cover = search.min_cover * index.lengths
+    for start in range(0, len(rows.doc), 2048):
+        stop = min(start + 2048, len(rows.doc))
         cells = slice(*np.searchsorted(rows.passage, (start, stop)))
         part = Passages(rows.passage[cells] - start, rows.word[cells], rows.weight[cells], rows.doc[start:stop], None)
         latent = part.times(index.basis)
-        sizes = np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
+        sizes = np.maximum(np.linalg.norm(latent, axis=1), 1e-9)
         along = latent @ index.latent.T
-        close = (along >= search.min_cosine * sizes) & (along >= search.min_cover * index.lengths)
-        row, col = np.nonzero(close)
-        close_rows.append(row + start)
-        close_items.append(index.item_of[col])
-        cosines.append(along[row, col] / sizes[row, 0])
+        close = np.flatnonzero(along >= cover)
+        row, col = close // along.shape[1], close % along.shape[1]
+        along = along.reshape(-1)[close]
+        near = along >= search.min_cosine * sizes[row]
+        close_rows.append(row[near] + start)
+        close_items.append(index.item_of[col[near]])
+        cosines.append(along[near] / sizes[row[near]])
     row, item, cosine = map(np.concatenate, (close_rows, close_items, cosines))
     order = np.lexsort((-cosine, row, item))
     row, item, cosine = row[order], item[order], cosine[order]

@@ -1,4 +1,5 @@
 import re
+import tracemalloc
 
 import numpy as np
 from helpers import DOCS, by_id, documents, prose
@@ -225,3 +226,32 @@ def test_the_space_is_fitted_on_every_text(spark, rng, monkeypatch):
         assert np.allclose(index.idf, idf[order])
         matrix, product = made.pop()
         assert np.allclose(product, corpus[order][:, order] @ matrix, rtol=1e-3, atol=1e-3 * np.abs(product).max())
+
+
+def test_products_lay_out_few_rows_at_once():
+    random = np.random.default_rng(3)
+    sizes = np.append(random.integers(1, 33, 8_000), 300)
+    owners = np.repeat(np.arange(len(sizes)), sizes)
+    words, weights = random.integers(0, 500, len(owners)), random.random(len(owners))
+    matrix = random.random((500, 128)).astype(np.float32)
+    rows = decontamination.Passages(owners, words, weights, np.arange(len(sizes)), np.zeros(len(sizes), dtype=np.int64))
+    dense = np.zeros((len(sizes), 500))
+    np.add.at(dense, (owners, words), weights)
+    tracemalloc.start()
+    product = rows.times(matrix)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(product, dense @ matrix, rtol=1e-4)
+    assert peak < product.nbytes + 24 * len(owners)
+
+
+def test_words_inside_regions():
+    random = np.random.default_rng(4)
+    at = np.flatnonzero(random.random(400) < 0.7)
+    numbers = random.integers(0, 20, len(at))
+    words, starts = random.integers(0, 21, 900), random.integers(0, 400, 900)
+    stops = np.minimum(starts + random.integers(0, 40, 900), 400)
+    found = decontamination.Occurrences(at, numbers, 400).inside(words, starts, stops)
+    assert found.tolist() == [
+        bool(np.any((numbers == w) & (at >= a) & (at < b))) for w, a, b in zip(words, starts, stops, strict=True)
+    ]
