@@ -29,6 +29,9 @@ from stagelight.llm.text_arrays import GOLDEN, mixed
 from stagelight.plans.shared import scratch
 
 U64 = np.uint64
+#: Known to the library as a special token and never allowed as one, so texts with it are encoded like any others.
+#: Without any special token the library would search for the empty string, at every character of a text.
+MARK = "\0<|mark|>\0"
 SEPARATOR = b"\n"  # the writer ends every record with it, so the stride is one byte longer than the ids
 
 
@@ -110,7 +113,8 @@ def encoding(rank_file: bytes, pattern: str) -> tiktoken.Encoding:
     if key not in _encodings:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, rank_file.splitlines())}
         _encodings.clear()
-        _encodings[key] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        special = {MARK: max(ranks.values()) + 1}
+        _encodings[key] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
     return _encodings[key]
 
 
@@ -137,7 +141,7 @@ def _encoded(rows: DataFrame, rank_file: bytes, pattern: str, end_id: int, kind:
                 if not found:
                     continue
                 ids = np.concatenate(found)
-                row = {"part": part, "start": start, "tokens": len(ids), "ids": _packed(ids.tobytes(), 9)}
+                row = {"part": part, "start": start, "tokens": len(ids), "ids": _packed(ids.tobytes(), 7)}
                 yield pa.RecordBatch.from_pylist([row])
                 start += len(ids)
 

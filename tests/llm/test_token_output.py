@@ -91,3 +91,11 @@ def test_query(spark, rng, tmp_path):
     stored_docs(spark, rng, tmp_path)
     rows = op7_token_output(spark, str(tmp_path)).collect()
     assert sorted(r["sequence"] for r in rows) == sorted(r["slot"] for r in rows) == list(range(len(rows)))
+
+
+def test_the_mark_is_searched_for_and_read_as_text(rng):
+    with open(RANK_FILE, "rb") as file:
+        own = token_output.encoding(file.read(), PATTERN)
+    assert own.special_tokens_set == {token_output.MARK}  # for none, the library stops at every character
+    for text in ("", token_output.MARK, f"{prose(rng, 30)}{token_output.MARK * 2} {prose(rng, 3)}", "<|mark|>\0", "\0\0\0"):
+        assert own.encode_to_numpy(text, disallowed_special=()).tolist() == library().encode_ordinary(text)
