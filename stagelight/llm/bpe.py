@@ -72,7 +72,7 @@ class Ranks:
         return found
 
 
-def merged(pieces: list[bytes], ranks: Ranks, cells: int = 1 << 21) -> list[bytes]:
+def merged(pieces: list[bytes], ranks: Ranks, cells: int = 1 << 18) -> list[bytes]:
     """The ids of each piece as little-endian 32-bit integers.
 
     A piece that is a token as a whole is that token, even where merges would not lead there.
@@ -152,9 +152,9 @@ def _merge_group(pieces: list[bytes], width: int, ranks: Ranks) -> list[bytes]:
 
 
 class Encoder:
-    """Encodes and decodes whole texts; remembers pieces, at most ``remember`` of them."""
+    """Encodes and decodes whole texts; remembers pieces, at most ``remember`` of them: about 200 bytes each."""
 
-    def __init__(self, rank_file: bytes, pattern: str, remember: int = 800_000):
+    def __init__(self, rank_file: bytes, pattern: str, remember: int = 200_000):
         self.ranks = Ranks(rank_file, pattern)
         self.known: dict[str, bytes] = {}
         self.remember = remember

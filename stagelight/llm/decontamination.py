@@ -197,7 +197,7 @@ def _distinct(texts: DataFrame, vocabulary: Vocabulary, stride: int) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in in_pieces(batch):
+            for piece in in_pieces(batch, limit=1 << 19):
                 hashes, docs, _ = word_hashes(piece.column("text").to_pylist())
                 at, numbers = shared.value.numbers(hashes)
                 sizes = np.bincount(docs, minlength=piece.num_rows)
@@ -681,7 +681,7 @@ def _hits(spark, finder, index):
     def hits(texts: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([texts], names=["text"])
         find_in = finder(shared.value)
-        found = [h for piece in in_pieces(batch) for h in find_in(piece.column("text").to_pylist())]
+        found = [h for piece in in_pieces(batch, limit=1 << 19) for h in find_in(piece.column("text").to_pylist())]
         return pa.array(found, KIND)
 
     return hits.asNondeterministic()

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -61,6 +62,18 @@ def test_memory_of_pieces_is_bounded(library):
         assert ids(small, text) == library.encode_ordinary(text)
 
 
+def test_merging_many_pieces_takes_little_memory_at_once(own):
+    random = np.random.default_rng(5)
+    pieces = [bytes(row) for row in random.integers(97, 123, (60_000, 8), dtype=np.uint8)]
+    tracemalloc.start()
+    found = bpe.merged(pieces, own.ranks)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found[:50] == [bpe.merged([p], own.ranks)[0] for p in pieces[:50]]
+    assert peak < 32 << 20
+    assert bpe.Encoder.__init__.__defaults__ == (200_000,)  # about 40 MB a worker
+
+
 def test_round_trip_and_digests(spark, library):
     texts = ["Hello world", "", None, "  two\n\nlines é ", "x" * 70_000, "Hello world"]
     docs = documents(spark, texts, ids=[0, 1, 2, 3, 4, 4], clashing=("ids", "decoded", "n_tokens"))
