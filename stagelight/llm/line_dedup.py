@@ -4,13 +4,14 @@ A line is the set of its character shingles. Every shingle is hashed once; sixte
 hashes, and the least hash under each is a place of the signature. Places stand in a four by four grid whose rows,
 columns and diagonals are the bands: lines that agree on a band meet in a bucket. In a bucket all lines are compared
 with one centre, links are contracted to components, and only lines of different components are compared further. A
-folded bit sketch bounds the overlap of a pair from above and spares most comparisons; every link is verified by the
+bit sketch bounds the overlap of a pair from above and spares most comparisons; every link is verified by the
 exact Jaccard similarity of the shingle sets. Of each component the first line stays.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,8 @@ from stagelight.llm.components import components
 
 PLACES = 16
 SKETCH_WORDS = 32  # 64-bit words of a sketch
+ABREAST = 8  # neighbouring shingles that share a row where sketches and sets are made
+MINIMA_ABREAST = 4  # and where minima are: sixteen times more code for each
 #: The lines of the affine plane of order four, three classes of parallels on the places 0 to 15.
 BANDS = (
     (0, 1, 2, 3), (4, 5, 6, 7), (8, 9, 10, 11), (12, 13, 14, 15),
@@ -63,24 +66,51 @@ def _shingle(wide: Column, place: Column, like: Likeness) -> Column:
     return F.substring(wide, F.shiftleft(place, 1) + 1, F.lit(2 * like.width))
 
 
+def _hashed(parts: DataFrame, like: Likeness) -> DataFrame:
+    """key and h0, h1, ...: hashes of neighbouring shingles; the last row of a text repeats its last one."""
+    starts = F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(MINIMA_ABREAST))).alias("place")
+    places = [F.least(F.col("place") + k, F.col("last")) for k in range(MINIMA_ABREAST)]
+    hashes = [F.hash(_shingle(F.col("wide"), place, like)).alias(f"h{k}") for k, place in enumerate(places)]
+    return parts.select("key", "wide", "last", starts).select("key", *hashes)
+
+
+def _sets(texts: DataFrame, keys: list[str], sides: dict[str, str], like: Likeness) -> DataFrame:
+    """``keys`` and, for every name and text in UTF-16 of ``sides``, the distinct shingles as 64-bit hashes.
+
+    Rows have to lie dealt by ``keys``, which no two share. Shingles are hashed in rows of neighbours and gathered, as
+    generated code does that many times faster than a function over the places of an array.
+    """
+    texts = texts.select(*keys, *sides.values(), *(_last(F.col(wide), like).alias(f"last_{name}") for name, wide in sides.items()))
+    most = [F.col(f"last_{name}") for name in sides]
+    most = F.greatest(*most) if len(most) > 1 else most[0]
+    starts = F.explode(F.sequence(F.lit(0), most, F.lit(ABREAST))).alias("place")
+
+    def row_of(name: str, wide: str) -> Column:
+        places = [F.least(F.col("place") + k, F.col(f"last_{name}")) for k in range(ABREAST)]
+        return F.array(*(F.xxhash64(_shingle(F.col(wide), place, like)) for place in places)).alias(name)
+
+    rows = texts.select("*", starts).select(*keys, *(row_of(*side) for side in sides.items()))
+    gathered = (F.array_distinct(F.flatten(F.collect_list(name))).alias(name) for name in sides)
+    return rows.groupBy(*keys).agg(*gathered)
+
+
 def _signatures(lines: DataFrame, like: Likeness) -> DataFrame:
     """key and the places m0 to m15 of the signature of every distinct line.
 
-    Four neighbouring shingles share a row, so that the aggregation touches a quarter of the rows. A mask turns the
-    order of the hashes: the least under it is the hash nearest to the mask.
+    Neighbouring shingles share a row, so that the aggregation touches a fraction of the rows. A mask turns the order
+    of the hashes: the least under it is the hash nearest to the mask.
     """
     starts = F.explode(F.sequence(F.lit(0), F.length("line"), F.lit(like.stretch))).alias("start")
     piece = F.substring("line", F.col("start") + 1, F.lit(like.stretch + like.width - 1))
+    piece = F.when(F.octet_length("line") <= like.stretch, F.col("line")).otherwise(piece)  # most lines are one piece
     parts = lines.select("key", "line", starts).where((F.col("start") == 0) | (F.col("start") < F.length("line")))
     parts = parts.select("key", F.encode(piece, "UTF-16BE").alias("wide"))
     parts = parts.select("key", "wide", _last(F.col("wide"), like).alias("last"))
-    cells = parts.select("key", "wide", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(4))).alias("place"))
-    places = [F.least(F.col("place") + k, F.col("last")) for k in range(4)]
-    hashes = [F.hash(_shingle(F.col("wide"), place, like)).alias(f"h{k}") for k, place in enumerate(places)]
+    cells = _hashed(parts, like)
     masks = [(0x9E3779B1 * (k + 1) * (2 * k + 1) + 0x7F4A7C15 * k) & 0xFFFFFFFF for k in range(PLACES)]
     masks = [F.lit(mask - (mask >> 31 << 32)) for mask in masks]  # as signed 32-bit numbers
-    least = [F.min(F.least(*(F.col(f"h{j}").bitwiseXOR(mask) for j in range(4)))) for mask in masks]
-    return cells.select("key", *hashes).groupBy("key").agg(*(c.alias(f"m{k}") for k, c in enumerate(least)))
+    least = [F.min(F.least(*(F.col(f"h{j}").bitwiseXOR(mask) for j in range(MINIMA_ABREAST)))) for mask in masks]
+    return cells.groupBy("key").agg(*(c.alias(f"m{k}") for k, c in enumerate(least)))
 
 
 def _bucket(band: int, mark: str = "") -> Column:
@@ -108,21 +138,28 @@ def _among(rows: DataFrame, chunks: DataFrame, at: Column) -> DataFrame:
     return joined.where(is_set).select(*rows.columns)
 
 
+def _crowded(signatures: DataFrame) -> DataFrame:
+    """bucket, key and c, the least key of the bucket, of all buckets with two lines or more.
+
+    Positions are shuffled once; both the aggregation and the join use them as they lie.
+    """
+    dealt = _buckets(signatures).repartition(_tasks(signatures.sparkSession), "bucket")
+    ends = dealt.groupBy("bucket").agg(F.min("key").alias("c"), F.max("key").alias("high"))
+    return dealt.join(ends.where("c < high").select("bucket", "c").hint("shuffle_hash"), "bucket")
+
+
 def _first_pairs(crowded: DataFrame) -> DataFrame:
     """a and b: every line with the least of the lines that are the least of a bucket it is in; one pair a line."""
-    centres = crowded.groupBy("bucket").agg(F.min("key").alias("centre"))
-    pairs = crowded.join(centres, "bucket").groupBy("key").agg(F.min("centre").alias("a"))
-    return pairs.where("a < key").select("a", F.col("key").alias("b"))
+    return crowded.groupBy("key").agg(F.min("c").alias("a")).where("a < key").select("a", F.col("key").alias("b"))
 
 
 def _apart(crowded: DataFrame, roots: DataFrame) -> DataFrame:
     """bucket, key, root, and the bucket's least key and its root, of buckets with more than one component."""
     placed = crowded.join(roots.withColumnRenamed("node", "key"), "key", "left")
     placed = placed.withColumn("root", F.coalesce("root", "key"))
-    several = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("key").alias("c"))
-    several = several.where("low <> high").select("bucket", "c")
-    centres = placed.select(F.col("key").alias("c"), F.col("root").alias("root_c")).distinct()
-    return stored(placed.join(several.join(centres, "c"), "bucket"), "apart")
+    of_centre = F.max(F.when(F.col("key") == F.col("c"), F.col("root"))).alias("root_c")
+    several = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), of_centre)
+    return stored(placed.join(several.where("low <> high").select("bucket", "root_c"), "bucket"), "apart")
 
 
 def _centre_pairs(apart: DataFrame) -> DataFrame:
@@ -130,25 +167,18 @@ def _centre_pairs(apart: DataFrame) -> DataFrame:
     return apart.where("root <> root_c").select(F.col("c").alias("a"), F.col("key").alias("b")).distinct()
 
 
-def _all_pairs(apart: DataFrame, signatures: DataFrame, sketches: DataFrame, like: Likeness) -> DataFrame:
-    """a and b: lines of one bucket that are in different components and may link; from their first common band."""
-    known = signatures.join(sketches, "key")
-    carried = [name for name in known.columns if name != "key"]
-    rows = apart.select("bucket", "key", "root", "c").join(known, "key")
+def _all_pairs(apart: DataFrame, sketches: DataFrame, like: Likeness) -> DataFrame:
+    """a and b: lines of one bucket that are in different components and may link."""
+    rows = apart.select("bucket", "key", "root", "c").join(sketches, "key")
 
     def side(mark: str) -> DataFrame:
+        carried = [name for name in sketches.columns if name != "key"]
         return rows.select("bucket", "c", *(F.col(name).alias(f"{name}_{mark}") for name in ("key", "root", *carried)))
 
-    first = F.lit(None).cast("long")
-    for k, band in reversed(list(enumerate(BANDS))):
-        agree = F.lit(True)
-        for place in band:
-            agree = agree & (F.col(f"m{place}_a") == F.col(f"m{place}_b"))
-        first = F.when(agree, _bucket(k, "_a")).otherwise(first)
     left, right = side("a"), side("b").withColumnRenamed("bucket", "bucket_b").drop("c")
     further = F.expr("bucket = bucket_b and key_a < key_b and root_a <> root_b and key_a <> c")
-    met = left.join(right, further & _may_link(like) & (first == F.col("bucket")))
-    return met.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
+    met = left.join(right, further & _may_link(like))
+    return met.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
 
 
 def _sketches(texts: DataFrame, like: Likeness) -> DataFrame:
@@ -156,12 +186,16 @@ def _sketches(texts: DataFrame, like: Likeness) -> DataFrame:
 
     Where two sketches differ, one line has a shingle that the other lacks.
     """
-    dealt = texts.repartition(_tasks(texts.sparkSession), "key")
-    cells = dealt.select("key", "wide", F.explode(F.sequence(F.lit(0), _last(F.col("wide"), like))).alias("place"))
-    cells = cells.select("key", F.xxhash64(_shingle(F.col("wide"), F.col("place"), like)).alias("h")).distinct()
-    word, bit = F.shiftrightunsigned("h", 6).bitwiseAND(SKETCH_WORDS - 1), F.expr("shiftleft(1L, cast(h & 63 as int))")
-    words = [F.bit_xor(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{k}") for k in range(SKETCH_WORDS)]
-    return cells.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *words)
+    sets = _sets(texts.repartition(_tasks(texts.sparkSession), "key"), ["key"], {"x": "wide"}, like)
+    n = F.size("x").alias("n")
+    rows = sets.select("key", n, "x", F.explode(F.sequence(F.lit(0), F.size("x") - 1, F.lit(ABREAST))).alias("place"))
+    rows = rows.select("key", "n", *(F.get("x", F.col("place") + k).alias(f"h{k}") for k in range(ABREAST)))
+    words = []
+    for k in range(SKETCH_WORDS):
+        of_word = f"if((h{{0}} >>> 6 & {SKETCH_WORDS - 1}) = {k}, shiftleft(1L, cast(h{{0}} & 63 as int)), 0L)"
+        bits = reduce(Column.bitwiseXOR, (F.expr(of_word.format(j)) for j in range(ABREAST)))
+        words.append(F.bit_xor(bits).alias(f"w{k}"))
+    return rows.groupBy("key").agg(F.max("n").alias("n"), *words)
 
 
 def _may_link(like: Likeness) -> Column:
@@ -184,12 +218,6 @@ def _possible(pairs: DataFrame, sketches: DataFrame, like: Likeness) -> DataFram
     return pairs.where(_may_link(like)).select("a", "b")
 
 
-def _set_of(wide: Column, like: Likeness) -> Column:
-    """The distinct shingles of a line in UTF-16 as 64-bit hashes."""
-    places = F.sequence(F.lit(0), _last(wide, like))
-    return F.array_distinct(F.transform(places, lambda place: F.xxhash64(_shingle(wide, place, like))))
-
-
 def _tasks(spark: SparkSession) -> int:
     """Few bytes take long to compare, so work on lines is dealt to as many tasks as the session shuffles to."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -199,28 +227,19 @@ def _verified(pairs: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
     """The pairs that link, by the exact similarity of their shingle sets."""
     left = texts.select(F.col("key").alias("a"), F.col("wide").alias("wide_a"))
     right = texts.select(F.col("key").alias("b"), F.col("wide").alias("wide_b"))
-    joined = pairs.join(left, "a").join(right, "b").repartition(_tasks(pairs.sparkSession))
-    sets = F.struct(_set_of(F.col("wide_a"), like).alias("x"), _set_of(F.col("wide_b"), like).alias("y"))
-
-    def linked(both: Column) -> Column:
-        shared = F.size(F.array_intersect(both["x"], both["y"]))
-        return shared * 100 >= (F.size(both["x"]) + F.size(both["y"]) - shared) * like.percent
-
-    # Through an array of one, so that the sets are made once and not once for each place that names them.
-    return joined.where(F.exists(F.array(sets), linked)).select("a", "b")
+    joined = pairs.join(left, "a").join(right, "b").repartition(_tasks(pairs.sparkSession), "a", "b")
+    sets = _sets(joined, ["a", "b"], {"x": "wide_a", "y": "wide_b"}, like)
+    shared = F.size(F.array_intersect("x", "y")).alias("shared")
+    both = sets.select("a", "b", F.size("x").alias("m"), F.size("y").alias("n"), shared)
+    # Stored before it is filtered: a filter would be moved below the sets and make them anew wherever it names them.
+    return stored(both, "compared").where(f"shared * 100 >= (m + n - shared) * {like.percent}").select("a", "b")
 
 
 def _roots(lines: DataFrame, like: Likeness) -> DataFrame:
     """node and root for the key of every line that links to another one."""
     signatures = stored(_signatures(lines, like), "signatures")
     rows = signatures.count()
-    bits = field_size(len(BANDS) * rows, like.max_bits)
-    at = F.pmod("bucket", F.lit(bits))
-    often = _buckets(signatures).select(at.alias("at")).groupBy("at").count().where("count > 1").select("at")
-    crowded = _among(_buckets(signatures), stored(_chunks(often), "chunks"), at)
-    crowded = stored(crowded, "crowded")
-    meet = crowded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    crowded = stored(crowded.join(meet, "bucket"), "buckets")
+    crowded = stored(_crowded(signatures), "buckets")
     key_bits = field_size(rows, like.max_bits)
     key_at = F.pmod("key", F.lit(key_bits))
     chunks = stored(_chunks(crowded.select(key_at.alias("at"))), "chunks")
@@ -228,14 +247,14 @@ def _roots(lines: DataFrame, like: Likeness) -> DataFrame:
     texts = stored(texts.select("key", F.encode("line", "UTF-16BE").alias("wide")), "lines")
     sketches = stored(_sketches(texts, like), "sketches")
     first = stored(_possible(_first_pairs(crowded), sketches, like), "pairs")
-    links = stored(_verified(first, texts, like), "links")
+    links = _verified(first, texts, like)
     # Each way of pairing looks only at what the links so far leave apart, so the dearest one has little left to do.
     apart = _apart(crowded, components(links))
     second = _possible(_centre_pairs(apart).join(first, ["a", "b"], "left_anti"), sketches, like)
     second = stored(second, "pairs")
-    links = links.unionByName(stored(_verified(second, texts, like), "links"))
+    links = links.unionByName(_verified(second, texts, like))
     tried = first.unionByName(second)
-    third = _all_pairs(_apart(crowded, components(links)), signatures, sketches, like).join(tried, ["a", "b"], "left_anti")
+    third = _all_pairs(_apart(crowded, components(links)), sketches, like).join(tried, ["a", "b"], "left_anti")
     return components(links.unionByName(_verified(stored(third, "pairs"), texts, like)))
 
 
@@ -246,10 +265,11 @@ def _dropped(docs: DataFrame, id_col: str, text_col: str, like: Likeness) -> Dat
     # Lines that link to none are told apart by a second hash, so that two never fall together.
     second = F.xxhash64(F.lit(1), "line").alias("second")
     order = F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1)).cast("decimal(20,0)") * F.lit(1 << 32) + F.col("line_no")
-    places = lines.select("doc_id", "text_hash", "line_no", "key", second, order.cast("decimal(38,0)").alias("place"))
+    places = stored(lines.select("doc_id", "text_hash", "line_no", "key", second), "places")
+    places = places.withColumn("place", order.cast("decimal(38,0)"))
     kinds = places.groupBy("key", "second").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
-    kinds = kinds.join(roots, "key", "left")
-    linked, alone = kinds.where("root is not null"), kinds.where("root is null and n > 1")
+    kinds = stored(kinds.join(roots, "key", "left").where("root is not null or n > 1"), "kinds")
+    linked, alone = kinds.where("root is not null"), kinds.where("root is null")
     firsts = linked.groupBy("root").agg(F.min("first").alias("first"))
     firsts = linked.select("key", "second", "root").join(firsts, "root").select("key", "second", "first")
     firsts = stored(firsts.unionByName(alone.select("key", "second", "first")), "firsts")

@@ -135,3 +135,27 @@ def test_many_equal_rows_collect_each_line_once(spark):
     assert [sorted(r["gone"]) for r in gone] == [[0, 1]]
     rows = line_dedup.deduplicated(docs).collect()
     assert sum(r["n_kept"] for r in rows) == 2 * 1500 and len(rows) == 3000
+
+
+def test_lines_that_repeat_their_shingles(spark, rng):
+    """A shingle counts once in a line's size, sketch and overlap."""
+    texts = []
+    for _ in range(12):
+        period = prose(rng, rng.randrange(2, 6), vocabulary=9)
+        texts += [" ".join([period] * n) + end for n in (2, 3, 9) for end in ("", " end", f" w{rng.randrange(99)} w1 w2 w3")]
+    check(spark, texts)
+
+
+def test_lines_are_split_once_for_places_and_compared_without_lambdas(spark, rng, monkeypatch):
+    plans, write = {}, line_dedup.stored
+
+    def spy(df, label):
+        plans.setdefault(label, []).append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, label)
+
+    monkeypatch.setattr(line_dedup, "stored", spy)
+    line = prose(rng, 30)
+    rows = by_id(line_dedup.deduplicated(documents(spark, [f"{line}\nother", f"{line} end\nother"])))
+    assert [rows[k]["n_kept"] for k in (0, 1)] == [2, 0]
+    assert len(plans["firsts"]) == 1 and "split(" not in plans["firsts"][0]
+    assert not [label for label, found in plans.items() if any("lambda" in plan for plan in found)]
