@@ -21,7 +21,8 @@ from stagelight.llm.components import components
 
 PLACES = 16
 SKETCH_WORDS = 32  # 64-bit words of a sketch
-ABREAST = 8  # neighbouring shingles that share a row where sketches and sets are made
+ABREAST = 16  # neighbouring shingles that share a row where sets are made
+BITS_ABREAST = 8  # where sketches are: for more, their generated code is too long to be compiled
 MINIMA_ABREAST = 4  # and where minima are: sixteen times more code for each
 #: The lines of the affine plane of order four, three classes of parallels on the places 0 to 15.
 BANDS = (
@@ -43,7 +44,7 @@ class Likeness:
 
 def _says_something(line: Column) -> Column:
     """Whether a line has more than ASCII white space, as the carriage return of a blank line is."""
-    return F.btrim(line, F.lit(" \t\n\x0b\x0c\r")) != ""
+    return F.ltrim(line, F.lit(" \t\n\x0b\x0c\r")) != ""  # a trim on the right lays out the whole line
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -153,32 +154,46 @@ def _first_pairs(crowded: DataFrame) -> DataFrame:
     return crowded.groupBy("key").agg(F.min("c").alias("a")).where("a < key").select("a", F.col("key").alias("b"))
 
 
-def _apart(crowded: DataFrame, roots: DataFrame) -> DataFrame:
-    """bucket, key, root, and the bucket's least key and its root, of buckets with more than one component."""
-    placed = crowded.join(roots.withColumnRenamed("node", "key"), "key", "left")
-    placed = placed.withColumn("root", F.coalesce("root", "key"))
-    of_centre = F.max(F.when(F.col("key") == F.col("c"), F.col("root"))).alias("root_c")
-    several = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), of_centre)
-    return stored(placed.join(several.where("low <> high").select("bucket", "root_c"), "bucket"), "apart")
+def _placed(rows: DataFrame, roots: DataFrame, node: str, root: str) -> DataFrame:
+    """``rows`` with the root of column ``node``; a node without links is its own."""
+    named = roots.select(F.col("node").alias(node), F.col("root").alias(root))
+    return rows.join(named, node, "left").withColumn(root, F.coalesce(root, node))
 
 
-def _centre_pairs(apart: DataFrame) -> DataFrame:
+def _centre_pairs(crowded: DataFrame, roots: DataFrame) -> DataFrame:
     """a and b: the least line of a bucket with those of other components."""
-    return apart.where("root <> root_c").select(F.col("c").alias("a"), F.col("key").alias("b")).distinct()
+    pairs = crowded.where("key <> c").select(F.col("c").alias("a"), F.col("key").alias("b")).distinct()
+    return _placed(_placed(pairs, roots, "a", "root_a"), roots, "b", "root_b").where("root_a <> root_b").select("a", "b")
+
+
+def _apart(crowded: DataFrame, roots: DataFrame) -> DataFrame:
+    """bucket, key, root and met, the buckets of the key, where lines beside the centre have more than one component."""
+    placed = _placed(crowded.where("key <> c").select("bucket", "key"), roots, "key", "root")
+    several = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    apart = stored(placed.join(several.where("low <> high").select("bucket"), "bucket"), "apart")
+    return apart.join(apart.groupBy("key").agg(F.collect_list("bucket").alias("met")), "key")
 
 
 def _all_pairs(apart: DataFrame, sketches: DataFrame, like: Likeness) -> DataFrame:
-    """a and b: lines of one bucket that are in different components and may link."""
-    rows = apart.select("bucket", "key", "root", "c").join(sketches, "key")
+    """a and b, lines of one bucket that are in different components and may link, once a pair, and their roots."""
+    rows = apart.join(sketches, "key")
 
     def side(mark: str) -> DataFrame:
-        carried = [name for name in sketches.columns if name != "key"]
-        return rows.select("bucket", "c", *(F.col(name).alias(f"{name}_{mark}") for name in ("key", "root", *carried)))
+        # Nothing is null here; said so, the condition is short enough to be compiled.
+        never_null = (F.coalesce(name, F.lit(0)).alias(f"{name}_{mark}") for name in rows.columns if name != "met")
+        return rows.select(*never_null, F.col("met").alias(f"met_{mark}"))
+
+    different = F.expr("bucket_a = bucket_b and key_a < key_b and root_a <> root_b")
+    # Two lines that share several buckets meet in the least of them alone.
+    once = F.col("bucket_a") == F.array_min(F.array_intersect("met_a", "met_b"))
+    pairs = side("a").join(side("b"), different & _may_link(like) & once)
+    return pairs.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"), "root_a", "root_b")
+
 
-    left, right = side("a"), side("b").withColumnRenamed("bucket", "bucket_b").drop("c")
-    further = F.expr("bucket = bucket_b and key_a < key_b and root_a <> root_b and key_a <> c")
-    met = left.join(right, further & _may_link(like))
-    return met.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
+def _one_each(pairs: DataFrame) -> DataFrame:
+    """a and b: one pair for any two components that ``pairs`` has pairs of."""
+    ends = (F.least("root_a", "root_b").alias("low"), F.greatest("root_a", "root_b").alias("high"))
+    return pairs.groupBy(*ends).agg(F.min_by("b", "a").alias("b"), F.min("a").alias("a")).select("a", "b")
 
 
 def _sketches(texts: DataFrame, like: Likeness) -> DataFrame:
@@ -188,12 +203,12 @@ def _sketches(texts: DataFrame, like: Likeness) -> DataFrame:
     """
     sets = _sets(texts.repartition(_tasks(texts.sparkSession), "key"), ["key"], {"x": "wide"}, like)
     n = F.size("x").alias("n")
-    rows = sets.select("key", n, "x", F.explode(F.sequence(F.lit(0), F.size("x") - 1, F.lit(ABREAST))).alias("place"))
-    rows = rows.select("key", "n", *(F.get("x", F.col("place") + k).alias(f"h{k}") for k in range(ABREAST)))
+    rows = sets.select("key", n, "x", F.explode(F.sequence(F.lit(0), F.size("x") - 1, F.lit(BITS_ABREAST))).alias("place"))
+    rows = rows.select("key", "n", *(F.get("x", F.col("place") + k).alias(f"h{k}") for k in range(BITS_ABREAST)))
     words = []
     for k in range(SKETCH_WORDS):
         of_word = f"if((h{{0}} >>> 6 & {SKETCH_WORDS - 1}) = {k}, shiftleft(1L, cast(h{{0}} & 63 as int)), 0L)"
-        bits = reduce(Column.bitwiseXOR, (F.expr(of_word.format(j)) for j in range(ABREAST)))
+        bits = reduce(Column.bitwiseXOR, (F.expr(of_word.format(j)) for j in range(BITS_ABREAST)))
         words.append(F.bit_xor(bits).alias(f"w{k}"))
     return rows.groupBy("key").agg(F.max("n").alias("n"), *words)
 
@@ -249,13 +264,20 @@ def _roots(lines: DataFrame, like: Likeness) -> DataFrame:
     first = stored(_possible(_first_pairs(crowded), sketches, like), "pairs")
     links = _verified(first, texts, like)
     # Each way of pairing looks only at what the links so far leave apart, so the dearest one has little left to do.
-    apart = _apart(crowded, components(links))
-    second = _possible(_centre_pairs(apart).join(first, ["a", "b"], "left_anti"), sketches, like)
+    second = _centre_pairs(crowded, components(links)).join(first, ["a", "b"], "left_anti")
+    second = _possible(second, sketches, like)
     second = stored(second, "pairs")
     links = links.unionByName(_verified(second, texts, like))
     tried = first.unionByName(second)
     third = _all_pairs(_apart(crowded, components(links)), sketches, like).join(tried, ["a", "b"], "left_anti")
-    return components(links.unionByName(_verified(stored(third, "pairs"), texts, like)))
+    third = stored(third, "pairs")
+    # Most of these link, and one link joins two components, however many pairs of lines they have.
+    fourth = stored(_one_each(third), "pairs")
+    links = links.unionByName(_verified(fourth, texts, like))
+    roots = components(links)
+    rest = _placed(_placed(third.select("a", "b"), roots, "a", "root_a"), roots, "b", "root_b")
+    rest = rest.where("root_a <> root_b").select("a", "b").join(fourth, ["a", "b"], "left_anti")
+    return components(links.unionByName(_verified(stored(rest, "pairs"), texts, like)))
 
 
 def _dropped(docs: DataFrame, id_col: str, text_col: str, like: Likeness) -> DataFrame:
@@ -300,7 +322,7 @@ def deduplicated(
     )
     marked = docs.withColumn(hashed, F.xxhash64(F.coalesce(text.cast("string"), F.lit(""))))
     same = identity.eqNullSafe(F.col(gone_id)) & (F.col(hashed) == F.col(gone_hash))
-    joined = marked.join(found, same, "left")
+    joined = marked.join(found.hint("shuffle_hash"), same, "left")  # no sort of whole texts
     parts = F.split(text, "\n")
     counted = F.size(F.filter(parts, _says_something)).cast("long")
     # As a map, so that a line is looked up and not searched for in a long list.

@@ -159,3 +159,33 @@ def test_lines_are_split_once_for_places_and_compared_without_lambdas(spark, rng
     assert [rows[k]["n_kept"] for k in (0, 1)] == [2, 0]
     assert len(plans["firsts"]) == 1 and "split(" not in plans["firsts"][0]
     assert not [label for label, found in plans.items() if any("lambda" in plan for plan in found)]
+
+
+def test_lines_that_share_buckets_meet_once(spark):
+    """The join itself gives a pair once, however many bands agree, and nothing is made distinct after it."""
+    words = (f"0L w{k}" for k in range(line_dedup.SKETCH_WORDS))
+    sketches = spark.range(1, 4).selectExpr("id key", "50 n", *words)
+    shared = {1: [10, 11, 12], 2: [10, 11, 12], 3: [12]}
+    rows = [(bucket, key, key, 0, met) for key, met in shared.items() for bucket in met]
+    apart = spark.createDataFrame(rows, "bucket long, key long, root long, c long, met array<long>")
+    pairs = line_dedup._all_pairs(apart, sketches, Likeness())
+    assert sorted((r["a"], r["b"]) for r in pairs.collect()) == [(1, 2), (1, 3), (2, 3)]
+    assert "Aggregate" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_one_pair_of_two_components_is_compared_first(spark):
+    rows = [(k, 100 + k, 1, 2) for k in range(50)] + [(200 + k, 7, 2, 1) for k in range(50)] + [(5, 6, 1, 3)]
+    pairs = spark.createDataFrame(rows, "a long, b long, root_a long, root_b long")
+    found = sorted((r["a"], r["b"]) for r in line_dedup._one_each(pairs).collect())
+    assert found == [(0, 100), (5, 6)]
+
+
+def test_near_copies_of_one_line_as_all_pairs(spark, rng):
+    base = prose(rng, 80).split()
+    texts = []
+    for k in range(40):
+        words = list(base)
+        for j in rng.sample(range(80), 2):
+            words[j] = f"v{k}"
+        texts.append(" ".join(words))
+    check(spark, texts)
