@@ -89,13 +89,12 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row per written sequence, read back from the shards: where it lies, which one it is, and its ids' digest."""
     docs = table(spark, sf_dir, "documents")
     shards = token_output.materialised(docs, shared_path(spark, "llm-tokens"), *bpe.public_ranks(), end_id=50_256)
-    last = F.lit(shards.tokens) - F.lit(shards.length) * (shards.sequences - 1)
     return token_output.read(spark, shards).select(
         "slot",
         "shard",
         "byte_offset",
         "sequence",
-        F.when(F.col("sequence") == shards.sequences - 1, last).otherwise(F.lit(shards.length)).alias("n_tokens"),
+        F.when(F.col("sequence") == shards.sequences - 1, shards.last_tokens).otherwise(shards.length).alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
     )
 

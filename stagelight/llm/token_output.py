@@ -99,6 +99,11 @@ class Shards:
     def count(self) -> int:
         return -(-self.sequences // self.per_shard)
 
+    @property
+    def last_tokens(self) -> int:
+        """Ids of the stream in the last sequence."""
+        return self.tokens - self.length * (self.sequences - 1)
+
     @property
     def order(self) -> Permutation:
         return Permutation(self.sequences, self.key)

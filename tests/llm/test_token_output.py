@@ -1,4 +1,5 @@
 import base64
+import random
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ from hypothesis import strategies as st
 
 from stagelight.llm import bpe, token_output
 from stagelight.llm.queries import op7_token_output
-from stagelight.llm.token_output import Permutation
+from stagelight.llm.token_output import Permutation, Shards
 
 RANK_FILE, PATTERN = bpe.public_ranks()
 END = 50_256
@@ -93,6 +94,19 @@ def test_query(spark, rng, tmp_path):
     assert sorted(r["sequence"] for r in rows) == sorted(r["slot"] for r in rows) == list(range(len(rows)))
 
 
+@pytest.mark.parametrize("sequences", [2, 2**22 + 2, 2**31 + 2])
+def test_query_counts_ids_beyond_32_bits(spark, tmp_path, monkeypatch, sequences):
+    shards = Shards(str(tmp_path), sequences, length=512, width=2, per_shard=8184, tokens=sequences * 512 - 7, key=1)
+    ends = [0, sequences - 1]
+    rows = spark.createDataFrame([(k, k // 8184, 0, k, b"") for k in ends], "slot long, shard int, byte_offset long, sequence long, ids binary")
+    monkeypatch.setattr(token_output, "materialised", lambda *args, **named: shards)
+    monkeypatch.setattr(token_output, "read", lambda *args: rows)
+    stored_docs(spark, random.Random(1), tmp_path, ["a"])
+    found = op7_token_output(spark, str(tmp_path))
+    assert dict(found.dtypes)["n_tokens"] == "int"
+    assert {r["sequence"]: r["n_tokens"] for r in found.collect()} == {0: 512, sequences - 1: 505}
+
+
 def test_the_mark_is_searched_for_and_read_as_text(rng):
     with open(RANK_FILE, "rb") as file:
         own = token_output.encoding(file.read(), PATTERN)
