@@ -6,7 +6,8 @@ shard per task and file, so that a reader finds slot s at byte (s % per_shard) *
 go on from any slot.
 
 Texts are encoded once. The ids are written compressed, each piece with its place in its task's part of the stream; the
-parts are then laid one after the other, so the stream is numbered without being moved.
+parts are then laid one after the other, so the stream is numbered without being moved. A task deals its pieces to the
+shards together, so that a shard gets a few long rows from it, which pack well, and not one for each sequence.
 """
 
 from __future__ import annotations
@@ -14,8 +15,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import asdict, dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -153,6 +155,37 @@ def _encoded(rows: DataFrame, rank_file: bytes, pattern: str, end_id: int, kind:
     return stored(rows.mapInArrow(run, "part long, start long, tokens long, ids binary"), "tokens")
 
 
+def dealt(
+    pieces: Iterable[tuple[int, np.ndarray]], shards: Shards, held: int = 1 << 24
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each shard: the slots that the pieces have ids of, with the place and the number of those ids, and the ids.
+
+    A piece is a place in the stream and the ids from there on. A shard comes once for all pieces of ``held`` bytes: with
+    many shards a piece has a sequence or two for each, which pack badly and make a row each.
+    """
+
+    def grouped(cells: np.ndarray, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        edges = np.append(0, np.cumsum(cells[:, 2]))
+        order = np.argsort(cells[:, 0], kind="stable")
+        for own in np.split(order, np.flatnonzero(np.diff(cells[order, 0] // shards.per_shard)) + 1):
+            parts = [ids[a:b] for a, b in zip(edges[own].tolist(), edges[own + 1].tolist(), strict=True)]
+            yield int(cells[own[0], 0]) // shards.per_shard, cells[own], np.concatenate(parts)
+
+    length, cells, runs, size = shards.length, [], [], 0
+    for at, ids in pieces:
+        numbers = np.arange(at // length, (at + len(ids) - 1) // length + 1)
+        edges = np.clip(np.append(numbers, numbers[-1] + 1) * length - at, 0, len(ids))
+        places = np.where(numbers * length >= at, 0, at % length)
+        cells.append(np.stack([shards.order.slots(numbers), places, np.diff(edges)], axis=1))
+        runs.append(ids)
+        size += cells[-1].nbytes + ids.nbytes
+        if size >= held:
+            yield from grouped(np.concatenate(cells), np.concatenate(runs))
+            cells, runs, size = [], [], 0
+    if runs:
+        yield from grouped(np.concatenate(cells), np.concatenate(runs))
+
+
 def materialised(
     docs: DataFrame,
     path: str,
@@ -171,7 +204,7 @@ def materialised(
     shards. Texts of any length are encoded whole. The order of the stream is that in which tasks read the table; the
     order in the shards follows from it and ``key``. Ids take two bytes if they and ``end_id`` fit, else four. A shard
     is put together and written by one task through Spark's committer, so a lost executor costs that task alone; it
-    holds one shard of ``shard_bytes`` in memory.
+    holds one shard of ``shard_bytes`` in memory, and a task that deals ids to shards about 16 MB of them.
     """
     ship(docs.sparkSession)
     with open(rank_file, "rb") as file:
@@ -200,27 +233,23 @@ def _written(
     begin = spark.sparkContext.broadcast(begins)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """For each piece and shard: the slots that the piece has ids of, with their places in them, and those ids."""
-        for batch in batches:
-            for k in range(batch.num_rows):  # one piece at a time: all of a batch would be much at once
-                part, start, tokens, packed = (column[k].as_py() for column in batch.columns)
-                ids = np.frombuffer(_unpacked(packed, tokens * width), dtype=kind)
-                at = begin.value[part] + start
-                numbers = np.arange(at // length, (at + tokens - 1) // length + 1)
-                edges = np.clip(np.append(numbers, numbers[-1] + 1) * length - at, 0, tokens)
-                slots = shards.order.slots(numbers)
-                cells = np.stack([slots, np.where(numbers * length >= at, 0, at % length), np.diff(edges)], axis=1)
-                order = np.argsort(slots, kind="stable")
-                groups = np.split(order, np.flatnonzero(np.diff(slots[order] // shards.per_shard)) + 1)
-                parts = [np.concatenate([ids[edges[k] : edges[k + 1]] for k in own]) for own in groups]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.array([slots[own[0]] // shards.per_shard for own in groups], dtype=np.int32)),
-                        pa.array([cells[own].tobytes() for own in groups], pa.binary()),
-                        pa.array([_packed(ids.tobytes()) for ids in parts], pa.binary()),
-                    ],
-                    names=["shard", "cells", "ids"],
-                )
+        def pieces() -> Iterator[tuple[int, np.ndarray]]:
+            for batch in batches:
+                for k in range(batch.num_rows):  # one piece at a time: all of a batch would be much at once
+                    part, start, tokens, packed = (column[k].as_py() for column in batch.columns)
+                    yield begin.value[part] + start, np.frombuffer(_unpacked(packed, tokens * width), dtype=kind)
+
+        found = dealt(pieces(), shards)
+        while some := list(islice(found, 64)):
+            numbers, cells, ids = zip(*some, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(numbers, pa.int32()),
+                    pa.array([x.tobytes() for x in cells], pa.binary()),
+                    pa.array([_packed(x.tobytes()) for x in ids], pa.binary()),
+                ],
+                names=["shard", "cells", "ids"],
+            )
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Put the shard of a partition together and give its records in order."""

@@ -62,6 +62,25 @@ def test_shards_hold_the_stream_in_the_keyed_order(spark, rng, tmp_path, length,
     assert sorted(tuple(p[:-1].tolist()) for p in parts) == expected
 
 
+@pytest.mark.parametrize("held, rounds", [(1 << 24, 1), (1 << 14, 9)])
+def test_a_shard_gets_the_sequences_of_many_pieces_in_one_row(rng, held, rounds):
+    stream = np.array([rng.randrange(1 << 16) for _ in range(9 * 2048)], dtype="<u2")
+    shards = Shards("", sequences=-(-len(stream) // 7), length=7, width=2, per_shard=50, tokens=len(stream), key=3)
+    cuts = np.sort([0, *rng.sample(range(1, len(stream)), 200), len(stream)])
+    pieces = [(a, stream[a:b]) for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
+    rng.shuffle(pieces)
+    rows = list(token_output.dealt(iter(pieces), shards, held))
+    assert shards.count <= len(rows) <= shards.count * rounds  # with a piece alone about ten times as many
+    filled = np.full((shards.sequences, 7), END, dtype="<u2")
+    for shard, cells, ids in rows:
+        assert set(cells[:, 0] // 50) == {shard} and cells[:, 2].sum() == len(ids)
+        for (slot, place, count), end in zip(cells.tolist(), np.cumsum(cells[:, 2]).tolist(), strict=True):
+            filled[slot, place : place + count] = ids[end - count : end]
+    order = np.argsort(shards.order.sequences(np.arange(shards.sequences)))
+    assert np.array_equal(filled[order].ravel()[: len(stream)], stream)
+    assert list(token_output.dealt(iter([]), shards)) == []
+
+
 def test_resume_reads_only_what_is_left(spark, rng, tmp_path):
     docs, _ = stored_docs(spark, rng, tmp_path)
     shards = token_output.materialised(docs, str(tmp_path / "out"), RANK_FILE, PATTERN, END, length=16, shard_bytes=1 << 12)
